@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing
+from . import chat, mixing
 from .common import load
 
 
@@ -14,9 +15,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(1).select(F.inline(F.array(*(F.struct(*map(F.lit, row)) for row in chat.TRICKY)))).toDF(*rows.columns)
+    return chat.read_back(chat.windows(rows.union(tricky)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_mix_sources,)}
+    return {f.__name__: f for f in (op7_format_chats, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mix_sources": mixing.SQL}
+    return {"op7_format_chats": chat.SQL, "op10_mix_sources": mixing.SQL}
