@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, langid, mixing
+from . import chat, fingerprints, jaccard, langid, mixing
 from .common import load
 
 
@@ -19,6 +19,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(load(spark, sf_dir, "documents"))
+
+
 def op4_identify_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.with_languages(load(spark, sf_dir, "documents"))
 
@@ -30,8 +34,8 @@ def op7_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_identify_languages, op7_format_chats, op9_fingerprints, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_jaccard_join, op4_identify_languages, op7_format_chats, op9_fingerprints, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_format_chats": chat.SQL, "op10_mix_sources": mixing.SQL}
+    return {"op1_jaccard_join": jaccard.SQL, "op7_format_chats": chat.SQL, "op10_mix_sources": mixing.SQL}
