@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, jaccard, langid, mixing
+from . import chat, fingerprints, jaccard, langid, mixing, packing
 from .common import load
 
 
@@ -27,6 +27,10 @@ def op4_identify_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.with_languages(load(spark, sf_dir, "documents"))
 
 
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(load(spark, sf_dir, "documents"))
+
+
 def op7_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = spark.range(1).select(F.inline(F.array(*(F.struct(*map(F.lit, row)) for row in chat.TRICKY)))).toDF(*rows.columns)
@@ -34,7 +38,7 @@ def op7_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op4_identify_languages, op7_format_chats, op9_fingerprints, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_jaccard_join, op4_identify_languages, op6_pack, op7_format_chats, op9_fingerprints, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
