@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, jaccard, langid, mixing, packing, quality
+from . import chat, fingerprints, html, jaccard, langid, mixing, packing, quality
 from .common import load
 
 
@@ -31,7 +31,11 @@ def op2_classify_quality, op4_identify_languages(spark: SparkSession, sf_dir: st
     return langid.with_languages(load(spark, sf_dir, "documents"))
 
 
-def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op5_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(load(spark, sf_dir, "pages"))
+
+
+def op5_extract_text, op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(load(spark, sf_dir, "documents"))
 
 
@@ -42,7 +46,7 @@ def op7_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_classify_quality, op4_identify_languages, op6_pack, op7_format_chats, op9_fingerprints, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_classify_quality, op4_identify_languages, op5_extract_text, op6_pack, op7_format_chats, op9_fingerprints, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
