@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, html, jaccard, langid, mixing, packing, quality
+from . import ann, chat, fingerprints, html, jaccard, langid, mixing, packing, quality
 from .common import load
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(load(spark, sf_dir, "embeddings"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints_of_edits(load(spark, sf_dir, "documents"))
 
@@ -27,7 +31,7 @@ def op2_classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(load(spark, sf_dir, "documents"))
 
 
-def op2_classify_quality, op4_identify_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op4_identify_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.with_languages(load(spark, sf_dir, "documents"))
 
 
@@ -35,7 +39,7 @@ def op5_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(load(spark, sf_dir, "pages"))
 
 
-def op5_extract_text, op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(load(spark, sf_dir, "documents"))
 
 
@@ -46,7 +50,7 @@ def op7_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_classify_quality, op4_identify_languages, op5_extract_text, op6_pack, op7_format_chats, op9_fingerprints, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_classify_quality, op4_identify_languages, op5_extract_text, op6_pack, op7_format_chats, op8_nearest, op9_fingerprints, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
