@@ -215,10 +215,10 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents that stay: of each component the one with the least id, of rows with that id the first by text."""
+    """The documents that stay: of each component the one with the least id, once if its row repeats; and rows without an id."""
     found = components(docs, words, percent).select(F.col("doc_id").alias("_id"), "component_id").filter("_id = component_id").select("_id").distinct()
-    kept = docs.join(found, docs["doc_id"] == found["_id"], "left_semi")
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+    kept = docs.join(found, docs["doc_id"] == found["_id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.filter("doc_id is null"))
 
 
 #: DuckDB SQL for op1, over the same rows.

@@ -162,3 +162,16 @@ def with_languages(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document, learned from those not held out."""
     model = train(docs.filter(~held_out()))
     return identify(docs.withColumn("held_out", held_out()), model, ("doc_id", "held_out"))
+
+
+def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of docs whose language can be told with a score of `least`."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = shared.value.predict
+        for batch in batches:
+            found = map(predict, batch.column("text").to_pylist())
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

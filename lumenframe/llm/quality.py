@@ -237,3 +237,20 @@ def scored(docs: DataFrame, labels: Labels, weights: np.ndarray, bias: float, ke
 def classify(docs: DataFrame) -> DataFrame:
     """doc_id, weak, score, keep of every document, by a model of the same documents."""
     return scored(docs, *train(docs))
+
+
+def accepted(docs: DataFrame, labels: Labels, weights: np.ndarray, bias: float) -> DataFrame:
+    """The rows of docs that the scorer keeps."""
+    shared = docs.sparkSession.sparkContext.broadcast((weights, bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, bias = shared.value
+        reader = Reader()
+        for batch in batches:
+            keep = []
+            for text in batch.column("text").to_pylist():
+                measures, _, at, value = reader.read(text)
+                keep.append(measures is not None and bool(weights[at] @ value + bias >= 0))
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -4,25 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, fingerprints, html, jaccard, langid, mixing, packing, quality
+from . import ann, chat, fingerprints, html, jaccard, langid, mixing, packing, pseudo, quality
 from .common import load
 
 
-def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.nearest(load(spark, sf_dir, "embeddings"))
-
-
-def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprints_of_edits(load(spark, sf_dir, "documents"))
-
-
-def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
-
-
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(load(spark, sf_dir, "documents"))
 
@@ -31,6 +20,10 @@ def op2_classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(load(spark, sf_dir, "documents"))
 
 
+def op3_score_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo.score(load(spark, sf_dir, "documents"))
+
+
 def op4_identify_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.with_languages(load(spark, sf_dir, "documents"))
 
@@ -49,9 +42,32 @@ def op7_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(rows.union(tricky)))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(load(spark, sf_dir, "embeddings"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints_of_edits(load(spark, sf_dir, "documents"))
+
+
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = (
+    op1_jaccard_join, op2_classify_quality, op3_score_pseudo_likelihood, op4_identify_languages, op5_extract_text, op6_pack,
+    op7_format_chats, op8_nearest, op9_fingerprints, op10_mix_sources, pipeline,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_classify_quality, op4_identify_languages, op5_extract_text, op6_pack, op7_format_chats, op8_nearest, op9_fingerprints, op10_mix_sources)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_jaccard_join": jaccard.SQL, "op7_format_chats": chat.SQL, "op10_mix_sources": mixing.SQL}
+    found = {"op1_jaccard_join": jaccard.SQL, "op7_format_chats": chat.SQL, "op10_mix_sources": mixing.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {k: v for k, v in found.items() if v is not None}
