@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows up to which a small side is broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 20_000
+BROADCAST_ROWS = 200_000
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
