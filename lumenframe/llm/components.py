@@ -1,37 +1,55 @@
-"""Connected components of links, by large and small stars in alternation."""
+"""Connected components of links, by union-find in partitions and contraction between them."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_small, materialize
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of every node of a partition's links; root is the least node that they reach."""
+    up: dict[int, int] = {}
 
+    def root(x: int) -> int:
+        top = x
+        while up[top] != top:
+            top = up[top]
+        while up[x] != top:
+            up[x], x = top, up[x]
+        return top
 
-def _to_least(links: DataFrame) -> DataFrame:
-    """(node, least): the least of a node and its neighbours in links (node, other)."""
-    return links.groupBy("node").agg(F.min("other").alias("least")).withColumn("least", F.least("node", "least"))
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            up.setdefault(a, a)
+            up.setdefault(b, b)
+            a, b = root(a), root(b)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+    nodes = list(up)
+    for i in range(0, len(nodes), 50_000):
+        part = nodes[i : i + 50_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], names=["node", "root"])
 
 
 def connected_components(links: DataFrame) -> DataFrame:
-    """(node, component) from links (a, b): each node that has a link, and the least node it can reach.
+    """(node, component) from materialized links (a, b): each node that has a link, and the least node it can reach.
 
-    A round links every node's larger neighbours, then itself and its smaller ones, to the least of
-    them; rounds grow with the logarithm of a component's size. Sums are taken before every shuffle.
+    Each partition of links finds the roots of its own nodes. A node's label is the least of its
+    roots; where partitions disagree, their roots are linked, and these fewer links are dealt with in
+    the same way until there are none. A partition holds its own nodes only.
     """
-    links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    before = None
-    while True:
-        both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
-        large = both.join(_to_least(both), "node").filter("other > node").select(F.col("other").alias("node"), F.col("least").alias("other"))
-        large = large.distinct()
-        small = large.join(_to_least(large), "node")
-        small = small.select(F.col("other").alias("a"), F.col("least").alias("b")).union(small.select("node", "least")).filter("a <> b").distinct()
-        links = materialize(small, "stars")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    found = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
-    roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return found.union(roots.join(found.select("node"), "node", "left_anti"))
+    stars = materialize(links.select("a", "b").mapInArrow(_stars, "node long, root long"), "stars")
+    least = materialize(stars.groupBy("node").agg(F.min("root").alias("least"), F.max("root").alias("most")), "least")
+    split = least.filter("least < most")
+    if split.isEmpty():
+        return least.select("node", F.col("least").alias("component"))
+    # Most nodes have one root; only those with several make links.
+    between = materialize(stars.join(split.select("node", "least"), "node").filter("root <> least").select(F.col("root").alias("a"), F.col("least").alias("b")).distinct(), "contracted")
+    above = connected_components(between).withColumnsRenamed({"node": "root", "component": "top"})
+    # A root that no split node has is its component's label, unless its own label is less.
+    return join_small(least, materialize(above, "above"), least["least"] == F.col("root")).select("node", F.coalesce("top", "least").alias("component"))
