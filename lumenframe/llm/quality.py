@@ -49,6 +49,8 @@ FEW = {"letters": 12, "symbols": 8, "capitals": 8, "distinct_words": 25, "top_wo
 BEFORE, STRENGTH = (0.5, 0.995), (0.02, 0.5)
 #: Weight of a good vote: labellers overlap, so many of them agree on a text that only one would catch.
 AGREE = 0.5
+#: Labellers are taken to vote good on at least this share of the good texts that they vote on.
+TRUSTED = 0.995
 NAMES = tuple(LABELLERS)
 
 
@@ -159,6 +161,7 @@ class Labels:
             for c, w in enumerate((n * (1 - weight), n * weight)):
                 held = 1 + STRENGTH[c] * n.sum()
                 self.rates[c] = (w @ good + held * BEFORE[c]) / (w @ (good + bad) + held)
+            self.rates[1] = np.maximum(self.rates[1], TRUSTED)
             self.share = (n @ weight + 8.5) / (n.sum() + 10)
 
     def _posterior(self, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
