@@ -1,4 +1,4 @@
-"""Queries of the reference's own operators, registered on import."""
+"""Queries of this package's own operators, registered on import."""
 
 from . import brightness, calls, models, relations, sequences
 from .registry import QUERIES, SQL
