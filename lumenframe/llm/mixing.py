@@ -61,9 +61,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, max_epochs: int
     """Per row of docs: doc_id, source, size, source_size, target, taken. Sums of taken meet round(target)."""
     base = materialize(sized(docs, seed), "mix-sizes")
     sources = materialize(targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, total, max_epochs), "mix-targets")
-    buckets = 1
-    while buckets * PER_BUCKET < base.count() and buckets < 1 << 20:
-        buckets *= 2
+    buckets = 1 << min(20, (base.count() // PER_BUCKET).bit_length())
     bucket = F.shiftright("u", BITS - buckets.bit_length() + 1)
     part = sources.withColumn("words", F.round("target").cast("long")).withColumn("whole", F.coalesce(F.expr("try_divide(words, source_size)"), F.lit(0)).cast("long"))
     part = part.withColumn("rest", F.col("words") - F.col("whole") * F.col("source_size"))
@@ -83,12 +81,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, max_epochs: int
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix as rows of documents: a document comes as often as taken / size rounds to."""
-    columns = docs.columns
     taken = mix(docs, **how)
     # Rows with equal ids have equal shares up to the cut; the most of them stands for all.
-    times = taken.groupBy("doc_id").agg(F.max(F.expr("cast(round(try_divide(taken, size)) as int)")).alias("_times"))
-    found = docs.join(times, docs["doc_id"].eqNullSafe(times["doc_id"])).drop(times["doc_id"])
-    return found.filter("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*columns)
+    times = taken.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.expr("cast(round(try_divide(taken, size)) as int)")).alias("times")).filter("times > 0")
+    rows = docs.select(F.col("doc_id").alias("key"), F.struct(*docs.columns).alias("row"))
+    found = rows.join(times, F.col("key").eqNullSafe(F.col("id")))
+    return found.select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 #: DuckDB SQL for op10, over the same rows.

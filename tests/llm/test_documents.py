@@ -310,3 +310,16 @@ def test_pseudo_likelihood_learns_both_sides(spark):
         rows.append((i, " ".join(bag)))
     found = {r.doc_id: r.mean_log_prob for r in pseudo.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
     assert np.mean([found[i] for i in range(400)]) > np.mean([found[i] for i in range(400, 440)]) + 0.5
+
+
+def test_stages_on_odd_and_empty_tables(docs, empty, spark):
+    import corpus_pipeline
+    from lumenframe.llm.common import materialize
+
+    for table in (docs, empty):
+        held = table
+        for name, stage in corpus_pipeline.STAGES:
+            before, held = held, materialize(stage(spark, held, ""), name)
+            assert name == "packing" or held.columns == before.columns
+        if table is empty:
+            assert held.count() == 0

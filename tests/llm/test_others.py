@@ -74,6 +74,14 @@ def test_pages(spark):
     assert html.extracted(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_names_of_elements():
+    text = lambda body: html.main_text(f"<body class='has-sidebar'>{body}</body>", None)
+    assert text("<div class='content with-sidebar'><p>kept</p></div><div id='leftSidebar'>side</div>") == "kept"
+    assert text("<div class='site-header'>Site</div><div class='cookie-notice'>We</div><p>kept</p><div class='ad-slot'>buy</div>") == "kept"
+    assert text("<header>Site</header><article><header><h1>Title</h1></header><p>kept</p><div class='newsletter-signup'>join</div></article><section id='comments'><article>nice</article></section>") == "Title\nkept"
+    assert text("<p>a<table><tr><th>h<td>d</table><blockquote>q</blockquote><pre>x  y\n z</pre>") == "a\nh\nd\nq\nx y z"
+
+
 def test_simple_tree_matching():
     tree = lambda s: html.folded(*html.parse(s))
     a, b = tree("<div><p>x</p><ul><li>y</li></ul></div>"), tree("<div><h2>t</h2><p>z</p><ul><li>1</li><li>2</li></ul></div>")
