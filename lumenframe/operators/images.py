@@ -219,3 +219,77 @@ def synthetic_frames(numbers: DataFrame, n_peaks: int = 25, side: int = 96, n_ch
             yield pd.DataFrame(rows, columns=["field_i", "channel_i", "cycle_i", "height", "pixels"])
 
     return numbers.select("field_i").mapInPandas(run, "field_i long, channel_i int, cycle_i int, height int, pixels array<float>")
+
+
+def reconciled(places: list[np.ndarray], shape: tuple[int, int], radius: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """(centres, by_channel) of peaks that channels agree on; by_channel has NaN where a channel has none.
+
+    Discs around all channels' peaks are joined where they touch. A joined patch with two peaks of one
+    channel is ambiguous and left out; the others' centres are means over channels.
+    """
+    every = [(c, i) for c, at in enumerate(places) for i in range(len(at))]
+    up = list(range(len(every)))
+
+    def root(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    owner: dict[tuple[int, int], int] = {}
+    disc = [(dy, dx) for dy in range(-radius, radius + 1) for dx in range(-radius, radius + 1) if dy * dy + dx * dx <= radius * radius]
+    for k, (c, i) in enumerate(every):
+        y, x = np.round(places[c][i]).astype(int)
+        for dy, dx in disc:
+            if 0 <= y + dy < shape[0] and 0 <= x + dx < shape[1]:
+                for near in ((0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)):
+                    other = owner.get((y + dy + near[0], x + dx + near[1]))
+                    if other is not None:
+                        up[root(k)] = root(other)
+                owner[y + dy, x + dx] = k
+    groups: dict[int, list[int]] = {}
+    for k in range(len(every)):
+        groups.setdefault(root(k), []).append(k)
+    centres, by_channel = [], []
+    for members in groups.values():
+        channels = [every[k][0] for k in members]
+        if len(set(channels)) < len(channels):
+            continue
+        own = np.full((len(places), 2), np.nan)
+        for k in members:
+            own[every[k][0]] = places[every[k][0]][every[k][1]]
+        centres.append(np.nanmean(own, axis=0))
+        by_channel.append(own)
+    return np.array(centres).reshape(-1, 2), np.array(by_channel).reshape(-1, len(places), 2)
+
+
+def illumination(at: np.ndarray, signal: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """(amplitude, centre y, centre x, fall): brightness that falls off with the squared distance from a centre, by least squares of its log."""
+    ok = np.isfinite(signal) & (signal > 0)
+    y, x = at[ok, 0] / shape[0], at[ok, 1] / shape[1]
+    a = np.stack([np.ones_like(y), y, x, y * y + x * x], axis=1)
+    c = np.linalg.lstsq(a, np.log(signal[ok]), rcond=None)[0]
+    fall = -c[3]
+    cy, cx = (c[1] / (2 * fall), c[2] / (2 * fall)) if abs(fall) > 1e-9 else (0.5, 0.5)
+    return np.array([np.exp(c[0] + fall * (cy * cy + cx * cx)), cy * shape[0], cx * shape[1], fall])
+
+
+def calibrated(frames: np.ndarray, size: int = 11, sigma: float = 1.8) -> dict[str, np.ndarray]:
+    """Channel shifts, point-spread function and illumination of one field."""
+    shifts = np.array([sub_pixel_shift(frames[0, 0], frames[c, 0]) for c in range(len(frames))])
+    at = find_peaks(band_pass(frames[0, 0], 0.03, 0.9), gaussian(size, sigma), k=3.0)
+    return {"shifts": shifts, "psf": mean_psf(frames[0, 0], at, size), "illumination": illumination(at, radiometry(frames[0, 0], at, size, sigma)[:, 0], frames.shape[2:]) if len(at) >= 4 else np.full(4, np.nan)}
+
+
+def density_sweep(numbers: DataFrame, side: int = 96, seed: int = 9) -> DataFrame:
+    """(field_i, n_drawn, n_found, median_signal): fields of known numbers of peaks (field_i, n_peaks), analysed."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for f, n in zip(batch["field_i"], batch["n_peaks"], strict=True):
+                _, at, radmat = analyse_field(synthesize(int(f), int(n), side, 1, 1, seed))
+                out.append((int(f), int(n), len(at), float(np.nanmedian(radmat[0, 0][:, 0])) if len(at) else float("nan")))
+            yield pd.DataFrame(out, columns=["field_i", "n_drawn", "n_found", "median_signal"])
+
+    return numbers.select("field_i", "n_peaks").mapInPandas(run, "field_i long, n_drawn long, n_found long, median_signal double")

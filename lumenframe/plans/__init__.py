@@ -1,6 +1,6 @@
 """Queries of this package's own operators, registered on import."""
 
-from . import brightness, calls, models, relations, sequences
+from . import brightness, calls, models, relations, reports, sequences
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "brightness", "calls", "models", "relations", "sequences"]
+__all__ = ["QUERIES", "SQL", "brightness", "calls", "models", "relations", "reports", "sequences"]

@@ -190,3 +190,59 @@ def test_streaming(spark, tmp_path):
     got = {(r.w, r.event_type): r.n for r in spark.sql("select window.start as w, event_type, n from counts").collect()}
     want = {(r.w, r.event_type): r.n for r in events.groupBy(F.window("ts", "10 minutes").start.alias("w"), "event_type").agg(F.count("*").alias("n")).collect()}
     assert len(got) > 0 and all(want[k] == n for k, n in got.items())
+
+
+def test_channels_are_reconciled():
+    one, two = np.array([[10.0, 10.0], [30.0, 30.0], [50.0, 50.0], [52.0, 50.0]]), np.array([[11.0, 10.0], [51.0, 51.0], [70.0, 20.0]])
+    centres, by = images.reconciled([one, two], (96, 96))
+    assert sorted(map(tuple, centres)) == [(10.5, 10.0), (30.0, 30.0), (70.0, 20.0)]
+    assert np.isnan(by).any(axis=2).sum() == 2
+
+
+def test_illumination_and_calibration():
+    rng = np.random.default_rng(0)
+    at = rng.uniform(0, 100, (200, 2))
+    light = 5 * np.exp(-1.5 * (((at - [40, 60]) / 100) ** 2).sum(axis=1))
+    assert np.allclose(images.illumination(at, light, (100, 100)), [5, 40, 60, 1.5])
+    found = images.calibrated(images.synthesize(2, 15, 96, 2, 1, seed=3))
+    assert np.allclose(found["shifts"], 0, atol=0.6) and abs(found["psf"].sum() - 1) < 1e-6
+
+
+def test_density_sweep(spark):
+    rows = images.density_sweep(spark.createDataFrame([(0, 0), (1, 10)], "field_i long, n_peaks long")).orderBy("field_i").collect()
+    assert rows[0].n_drawn == 0 and 8 <= rows[1].n_found <= 14
+
+
+def container(frames_: np.ndarray) -> bytes:
+    """A microscope file of frames (frame, y, x, component)."""
+    import struct
+
+    from lumenframe.sources import nd2
+
+    def value(name, number):
+        raw = (name + "\0").encode("utf-16-le")
+        return bytes([3, len(raw) // 2]) + raw + struct.pack("<I", number)
+
+    inner = value("uiWidth", frames_.shape[2]) + value("uiHeight", frames_.shape[1]) + value("uiComp", frames_.shape[3])
+    raw = ("SLxImageAttributes\0").encode("utf-16-le")
+    head = bytes([11, len(raw) // 2]) + raw
+    tree = head + struct.pack("<IQ", 3, len(head) + 12 + len(inner)) + inner + b"\0" * 24
+    out, places = b"", []
+    for name, data in [("ImageAttributesLV!", tree), *((f"ImageDataSeq|{i}!", b"\0" * 8 + f.astype("<u2").tobytes()) for i, f in enumerate(frames_))]:
+        places.append((name, len(out), len(data)))
+        out += struct.pack("<IIQ", nd2.MARK, len(name), len(data)) + name.encode() + data
+    body = b"".join(n.encode() + struct.pack("<QQ", at, size) for n, at, size in places) + nd2.SIGNATURE + b"\0" * 16
+    return out + struct.pack("<IIQ", nd2.MARK, 0, len(body)) + body + nd2.SIGNATURE + struct.pack("<Q", len(out))
+
+
+def test_microscope_files(spark, tmp_path):
+    from lumenframe.sources import nd2
+
+    stack = np.arange(2 * 3 * 4 * 2).reshape(2, 3, 4, 2)
+    (tmp_path / "a.nd2").write_bytes(container(stack))
+    rows = nd2.read_nd2(spark, str(tmp_path)).collect()
+    assert len(rows) == 4
+    for r in rows:
+        assert r.height == 3 and r.pixels == stack[r.frame_i, :, :, r.channel_i].ravel().tolist()
+    with pytest.raises(ValueError, match="no chunk map"):
+        nd2.chunk_map(b"x" * 50)
