@@ -16,7 +16,7 @@ kept; repeated rows get equal results; extra columns are ignored; an empty table
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,41 +69,51 @@ def bucket(feature: str) -> int:
 
 
 class Reader:
-    """Turns texts into measures and features; remembers tokens."""
+    """Turns texts into measures and features; remembers tokens, and the few kinds that they come in."""
 
-    def __init__(self) -> None:
+    def __init__(self, features: bool = True) -> None:
+        self.features = features
         self.forget()
 
     def forget(self) -> None:
         self.at: dict[str, int] = {}
-        #: Of each token: characters, letters, capitals, symbols, whether over a third are symbols; its bucket and shape.
-        self.facts = np.zeros((1024, 5))
-        self.hashed = np.zeros((1024, 2), np.int64)
+        self.kind_of, self.word_of = array("q"), array("q")
+        self.kinds: dict[tuple, int] = {}
+        #: Of each kind: characters, letters, capitals, symbols, whether it counts as a word of symbols; and its shape.
+        self.facts, self.shape_of = np.zeros((1024, 5)), np.zeros(1024, np.int64)
         self.shapes: dict[str, int] = {}
         self.shape_buckets: list[int] = []
 
-    def token(self, token: str) -> int:
-        i = len(self.at)
-        if i == len(self.facts):
-            self.facts, self.hashed = np.concatenate([self.facts, self.facts * 0]), np.concatenate([self.hashed, self.hashed * 0])
-        n = len(token)
-        if token.isalpha() and token[1:].islower():
-            big = int(token[0].isupper())
-            self.facts[i] = n, n, big, 0, 0
-            form = "Aa" if big else "a"
-        else:
-            letters = sum(map(str.isalpha, token))
-            symbols = sum(not c.isalnum() and c not in ".,;:?'\"()-" for c in token)
-            self.facts[i] = n, letters, sum(map(str.isupper, token)), symbols, 3 * symbols > n or not any(map(str.isalnum, token))
-            form = shape(token)
+    def kind(self, key: tuple, facts: tuple, form: str) -> int:
         if form not in self.shapes:
             self.shapes[form] = len(self.shapes)
             self.shape_buckets.append(bucket("s:" + form))
-        self.hashed[i] = bucket("w:" + token.lower()), self.shapes[form]
-        self.at[token] = i
+        i = self.kinds[key] = len(self.kinds)
+        if i == len(self.facts):
+            self.facts, self.shape_of = np.concatenate([self.facts, self.facts * 0]), np.concatenate([self.shape_of, self.shape_of * 0])
+        self.facts[i], self.shape_of[i] = facts, self.shapes[form]
+        return i
+
+    def token(self, token: str) -> int:
+        i = self.at[token] = len(self.kind_of)
+        word = token[:-1] if token[-1] in ".,;:" else token
+        if word.isalpha() and (word[1:].islower() or len(word) == 1):
+            key = (len(token), len(word), word[0].isupper(), token[len(word) :])
+            kind = self.kinds.get(key)
+            if kind is None:
+                kind = self.kind(key, (len(token), len(word), int(word[0].isupper()), 0, 0), shape(token))
+        else:
+            letters, symbols = sum(map(str.isalpha, token)), sum(not c.isalnum() and c not in ".,;:?'\"()-" for c in token)
+            facts = (len(token), letters, sum(map(str.isupper, token)), symbols, int(3 * symbols > len(token) or not any(map(str.isalnum, token))))
+            form = shape(token)
+            kind = self.kinds.get((*facts, form))
+            if kind is None:
+                kind = self.kind((*facts, form), facts, form)
+        self.kind_of.append(kind)
+        self.word_of.append(bucket("w:" + token.lower()) if self.features else 0)
         return i
 
-    def read(self, text: str | None, features: bool = True) -> tuple[list[float] | None, int, np.ndarray, np.ndarray]:
+    def read(self, text: str | None) -> tuple[list[float] | None, int, np.ndarray, np.ndarray]:
         """Measures in the order of NAMES (None without words), words, buckets, and their values."""
         tokens = (text or "").split()
         if not tokens:
@@ -114,19 +124,20 @@ class Reader:
         at = np.array([new(t) if (i := get(t)) is None else i for t in tokens])
         n = len(at)
         distinct, times = np.unique(at, return_counts=True)
-        chars, letters, capitals, symbols, odd = times @ self.facts[distinct]
+        kinds = np.frombuffer(self.kind_of, np.int64)[distinct]
+        chars, letters, capitals, symbols, odd = times @ self.facts[kinds]
         lines = [x for x in text.split("\n") if x.strip()]
         pairs = len(np.unique(at[1:] * (CACHE * 4) + at[:-1])) / (n - 1) if n > 1 else 1.0
         repeats = float((at[1:] == at[:-1]).mean()) if n > 1 else 0.0
         measures = [letters / chars, symbols / chars, capitals / max(1, letters), len(distinct) / n, times.max() / n, pairs, repeats, len(set(lines)) / max(1, len(lines)), odd / n, chars / n]
-        if not features:
+        if not self.features:
             return measures, n, np.zeros(0), np.zeros(0)
-        shapes = np.bincount(self.hashed[distinct, 1], weights=times)
+        shapes = np.bincount(self.shape_of[kinds], weights=times)
         there = np.flatnonzero(shapes)
         size = min(4, n.bit_length() // 2)
         coarse = [bucket(f"m:{name}:{0 if n < FEW[name] else round(value * (4 if name == 'word_length' else 20)) + 1}:{size}") for name, value in zip(NAMES, measures, strict=True)]
         # Words weigh little each, and together no more than a measure.
-        return measures, n, np.concatenate([self.hashed[distinct, 0], [self.shape_buckets[i] for i in there], coarse]).astype(np.int64), np.concatenate([times / n, np.sqrt(shapes[there] / n), np.ones(len(coarse))])
+        return measures, n, np.concatenate([np.frombuffer(self.word_of, np.int64)[distinct], [self.shape_buckets[i] for i in there], coarse]).astype(np.int64), np.concatenate([times / n, np.sqrt(shapes[there] / n), np.ones(len(coarse))])
 
 
 def votes(measures: list[float] | None, words: int) -> list[int]:
@@ -190,11 +201,11 @@ def train_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int =
 
 def _patterns(docs: DataFrame, fields: str, features: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
+        reader = Reader(features)
         for batch in batches:
             found = []
             for text in batch.column("text").to_pylist():
-                measures, n, at, value = reader.read(text, features)
+                measures, n, at, value = reader.read(text)
                 found.append((code(votes(measures, n)), at, value))
             columns = [pa.array([x for x, _, _ in found], pa.int32())]
             if features:
