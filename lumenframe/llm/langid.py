@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-PER_LANG, MAX_WORDS, MAX_GRAMS, MAX_N = 3000, 150_000, 150_000, 5
+PER_LANG, MAX_WORDS, MAX_GRAMS, MAX_N = 1200, 150_000, 150_000, 5
 #: Words that a prediction remembers before it starts anew.
 CACHE = 150_000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -37,12 +37,15 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
-def log_frequencies(counts: dict[str, np.ndarray], most: int) -> tuple[dict[str, int], np.ndarray]:
-    """The most frequent keys, and their smoothed log frequencies by language less the mean over languages."""
-    kept = sorted(counts, key=lambda k: (-counts[k].sum(), k))[:most]
+def log_frequencies(counts: list[dict[str, int]], most: int, least: int = 1) -> tuple[dict[str, int], np.ndarray]:
+    """The most frequent keys of counts by language, and their smoothed log frequencies less the mean over languages."""
+    total: Counter = Counter()
+    for c in counts:
+        total.update(c)
+    kept = sorted((k for k, n in total.items() if n >= least), key=lambda k: (-total[k], k))[:most]
     if not kept:
         return {}, np.zeros((0, 0), np.float32)
-    table = np.array([counts[k] for k in kept])
+    table = np.array([[c.get(k, 0) for c in counts] for k in kept], float)
     logs = np.log(table + 0.5) - np.log(table.sum(axis=0) + 0.5 * len(kept))
     return {k: i for i, k in enumerate(kept)}, (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
 
@@ -52,18 +55,18 @@ class Model:
 
     def __init__(self, counts: list[tuple[str, str, int]]):
         self.langs = sorted({lang for lang, _, _ in counts})
+        words: list[dict[str, int]] = [{} for _ in self.langs]
+        by_n = [[Counter() for _ in self.langs] for _ in range(MAX_N + 1)]
         at = {lang: i for i, lang in enumerate(self.langs)}
-        words: dict[str, np.ndarray] = {}
-        for lang, word, n in counts:
-            words.setdefault(word, np.zeros(len(at)))[at[lang]] += n
-        by_n: list[dict[str, np.ndarray]] = [{} for _ in range(MAX_N + 1)]
-        for word, row in words.items():
+        for lang, word, times in counts:
+            i = at[lang]
+            words[i][word] = times
             for n in range(1, MAX_N + 1):
-                for gram, times in Counter(grams(word, n)).items():
-                    held = by_n[n].get(gram)
-                    by_n[n][gram] = row * times if held is None else held + row * times
+                held = by_n[n][i]
+                for gram in grams(word, n):
+                    held[gram] += times
         # A word met once says less than its n-grams do.
-        self.words, self.word_rows = log_frequencies({w: r for w, r in words.items() if r.sum() > 1}, MAX_WORDS)
+        self.words, self.word_rows = log_frequencies(words, MAX_WORDS, least=2)
         self.grams = [log_frequencies(c, MAX_GRAMS // MAX_N) for c in by_n]
         self.forget()
 
