@@ -7,9 +7,9 @@ classes of their own, other known words share classes by frequency, and unknown
 bucket.
 
 Vocabulary and shares come from the counts of all words of all documents. The network, in numpy, is
-trained where the documents lie: each scan partition trains a copy on every SAMPLE-th document (by a
-hash of doc_id; on all in small tables), copies are averaged by their words, in two steps so that
-none gathers all, and a second round starts from the average. So what training reads and what is
+trained where the documents lie: each scan partition trains a copy on all its documents, copies are
+averaged by their words, in two steps so that none gathers all, and a second round starts from the
+average. So what training reads and what is
 gathered grow with the corpus; only the vocabulary and one network reach the driver.
 
 Cases: null, empty and white texts have no words, log_prob 0 and a null mean; repeated rows get equal
@@ -33,8 +33,8 @@ from .wordhash import U, chunks, word_hashes
 #: Words known by name, buckets of others; words seen on each side; classes alone, of known, of unknown words.
 VOCABULARY, BUCKETS, SPAN = 4096, 512, 2
 ALONE, KNOWN, UNKNOWN = 32, 24, 8
-#: Sizes of embedding and hidden layer; one of so many documents trains, if there are more than FEW.
-EMBED, HIDDEN, SAMPLE, FEW = 16, 32, 16, 4000
+#: Sizes of embedding and hidden layer.
+EMBED, HIDDEN = 16, 32
 ROUNDS, STEP, RATE = 2, 256, 0.1
 #: Distinct words that a partition counts before it passes them on; tokens scored at once.
 HELD, AT_ONCE = 500_000, 16_384
@@ -128,9 +128,9 @@ class Network:
             embed, first, shift, second, bias = self.parts
             x = embed[around].reshape(len(chosen), -1)
             hidden = np.tanh(x @ first + shift)
-            scores = hidden @ second + bias
-            scores -= scores.max(axis=1, keepdims=True)
-            share = np.exp(scores)
+            share = hidden @ second + bias
+            share -= share.max(axis=1, keepdims=True)
+            np.exp(share, out=share)
             share /= share.sum(axis=1, keepdims=True)
             share[np.arange(len(chosen)), target[chosen]] -= 1
             back = (share @ second.T) * (1 - hidden * hidden)
@@ -140,11 +140,16 @@ class Network:
                 slope /= len(chosen)
                 square += slope * slope
                 part -= RATE * slope / np.sqrt(square)
-            rows, inverse = np.unique(around.ravel(), return_inverse=True)
-            summed = np.zeros((len(rows), EMBED), np.float32)
-            np.add.at(summed, inverse, to_embed / len(chosen))
-            squares[0][rows] += summed * summed
-            embed[rows] -= RATE * summed / np.sqrt(squares[0][rows])
+            # Ids have 16 bits, which sort in linear time.
+            flat = around.ravel().astype(np.uint16)
+            order_in = np.argsort(flat, kind="stable")
+            flat = flat[order_in]
+            cut = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+            rows = flat[cut]
+            summed = np.add.reduceat(to_embed[order_in], cut, axis=0) / len(chosen)
+            square = squares[0][rows] + summed * summed
+            squares[0][rows] = square
+            embed[rows] -= RATE * summed / np.sqrt(square)
 
     def squares(self) -> list[np.ndarray]:
         return [np.full(p.shape, 1e-4, np.float32) for p in self.parts]
@@ -202,8 +207,7 @@ def train(docs: DataFrame) -> tuple[Vocabulary, Network]:
     np.subtract.at(per_bucket, words & (BUCKETS - 1), n)
     vocabulary = Vocabulary(words, n, per_bucket)
     network = Network(vocabulary)
-    every = SAMPLE if docs.count() > FEW else 1
-    chosen = docs.select("text").filter(F.pmod(F.xxhash64("doc_id", F.lit("pseudo")), F.lit(every)) == 0)
+    texts = docs.select("text")
     for turn in range(ROUNDS):
         shared = docs.sparkSession.sparkContext.broadcast((vocabulary, network))
 
@@ -219,7 +223,7 @@ def train(docs: DataFrame) -> tuple[Vocabulary, Network]:
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([float(seen)]), pa.array([network.flat().tobytes()], pa.binary())], names=["part", "weight", "flat"])
 
-        flat = _averaged(chosen.mapInArrow(copy, "part long, weight double, flat binary"))
+        flat = _averaged(texts.mapInArrow(copy, "part long, weight double, flat binary"))
         if flat is not None:
             network = Network(vocabulary).load(flat)
     return vocabulary, network

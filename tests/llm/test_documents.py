@@ -312,6 +312,21 @@ def test_pseudo_likelihood_learns_both_sides(spark):
     assert np.mean([found[i] for i in range(400)]) > np.mean([found[i] for i in range(400, 440)]) + 0.5
 
 
+def test_pseudo_likelihood_trains_on_all_texts_of_a_large_table(spark, monkeypatch):
+    rows = [(i, f"word{i % 50} next{i % 50} other") for i in range(4100)]
+    weights = []
+    plain = pseudo._averaged
+
+    def averaged(copies):
+        copies = pseudo.materialize(copies, "seen")
+        weights.append(sum(r.weight for r in copies.select("weight").collect()))
+        return plain(copies)
+
+    monkeypatch.setattr(pseudo, "_averaged", averaged)
+    pseudo.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert weights == [3 * 4100] * pseudo.ROUNDS
+
+
 def test_stages_on_odd_and_empty_tables(docs, empty, spark):
     import corpus_pipeline
     from lumenframe.llm.common import materialize
