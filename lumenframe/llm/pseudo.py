@@ -2,15 +2,19 @@
 
 A small network looks at SPAN words on either side of a masked word and predicts the word; the log
 probabilities of all words of a text, each masked in turn, sum to its score. A word's probability is
-that of its class, by the network, times its share of the class, by counts. The commonest words are
-classes of their own, other known words share classes by frequency, and unknown words count by hash
-bucket.
+that of its class, by the network, times its share of the class, by its own count. The commonest words
+are classes of their own, other words that the network knows share classes by frequency, and all
+others share classes by hash; among the words around, these stand for their hash bucket. Counts of the
+NEAR commonest words go where texts are scored; those of all others stay a distributed table that is
+joined with the texts' words. A word that was never met would count once. The probabilities of all
+words and of one unmet word a class of the last kind sum to one.
 
 Vocabulary and shares come from the counts of all words of all documents. The network, in numpy, is
 trained where the documents lie: each scan partition trains a copy on all its documents, copies are
 averaged by their words, in two steps so that none gathers all, and a second round starts from the
-average. So what training reads and what is
-gathered grow with the corpus; only the vocabulary and one network reach the driver.
+average. So what training reads, what is
+gathered and the words with counts grow with the corpus; only the network, its words and the NEAR
+commonest counts reach the driver.
 
 Cases: null, empty and white texts have no words, log_prob 0 and a null mean; repeated rows get equal
 results; extra columns are ignored; an empty table gives no rows.
@@ -36,6 +40,8 @@ ALONE, KNOWN, UNKNOWN = 32, 24, 8
 #: Sizes of embedding and hidden layer.
 EMBED, HIDDEN = 16, 32
 ROUNDS, STEP, RATE = 2, 256, 0.1
+#: Words whose counts are sent to all tasks; the counts of others are joined.
+NEAR = 65_536
 #: Distinct words that a partition counts before it passes them on; tokens scored at once.
 HELD, AT_ONCE = 500_000, 16_384
 
@@ -63,12 +69,18 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Ids of words, their classes, and their log shares of these."""
+    """Ids of words, their classes, and their log shares of these; for a bucket, the share of a word met once.
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, buckets: np.ndarray):
+    near, near_counts: words outside of words, with their counts.
+    """
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, buckets: np.ndarray, near: np.ndarray | None = None, near_counts: np.ndarray | None = None):
+        near = np.zeros(0, np.int64) if near is None else near
+        by_hash = np.argsort(near)
+        self.near, self.near_log = near[by_hash], np.log((np.zeros(0) if near_counts is None else near_counts)[by_hash].astype(np.float64))
         order = np.argsort(words)
         self.words = words[order]
-        n = np.concatenate([counts[order], np.maximum(buckets, 0)]).astype(np.float64) + 0.5
+        n = np.concatenate([counts[order], np.maximum(buckets, 0)]).astype(np.float64)
         self.size = len(n)
         self.cls = np.zeros(self.size, np.int64)
         by_count = np.argsort(-n[: len(words)], kind="stable")
@@ -77,7 +89,9 @@ class Vocabulary:
         mass = np.cumsum(n[rest])
         self.cls[rest] = ALONE + np.minimum(KNOWN - 1, (KNOWN * (mass - n[rest]) / max(1.0, mass[-1] if len(mass) else 1.0)).astype(np.int64))
         self.cls[len(words) :] = ALONE + KNOWN + np.arange(len(buckets)) % UNKNOWN
-        self.class_mass = np.bincount(self.cls, n, minlength=ALONE + KNOWN + UNKNOWN) + 0.5
+        self.class_mass = np.bincount(self.cls, n, minlength=ALONE + KNOWN + UNKNOWN)
+        self.class_mass[ALONE + KNOWN :] += 1  # a word that was never met
+        n[len(words) :] = 1
         self.share = np.log(n / self.class_mass[self.cls])
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
@@ -87,14 +101,23 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         return np.where(self.words[at] == words, at, len(self.words) + (hashes % U(BUCKETS)).astype(np.int64))
 
-    def padded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all words with SPAN marks of an edge between texts; where words lie, and where each text's begin among them."""
+    def near_logs(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log counts of words that have no id of their own, and which of them are beyond near (with 0)."""
+        words = hashes.astype(np.int64)
+        if not len(self.near):
+            return np.zeros(len(words)), np.ones(len(words), bool)
+        at = np.minimum(np.searchsorted(self.near, words), len(self.near) - 1)
+        far = self.near[at] != words
+        return np.where(far, 0.0, self.near_log[at]), far
+
+    def padded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words with SPAN marks of an edge between texts; where words lie, where each text's begin among them, and their hashes."""
         hashes, begins = word_hashes(texts)
         of = np.repeat(np.arange(len(texts)), np.diff(begins))
         at = np.arange(len(hashes)) + SPAN * (of + 1)
         out = np.full(len(hashes) + SPAN * (len(texts) + 1), self.size)
         out[at] = self.ids(hashes)
-        return out, at, begins
+        return out, at, begins, hashes
 
 
 OFFSETS = np.array([o for o in range(-SPAN, SPAN + 1) if o])
@@ -106,7 +129,7 @@ class Network:
     def __init__(self, vocabulary: Vocabulary):
         rng = np.random.default_rng(11)
         draw = lambda *shape: (rng.standard_normal(shape) / math.sqrt(shape[0])).astype(np.float32)
-        bias = np.log(vocabulary.class_mass / vocabulary.class_mass.sum()).astype(np.float32)
+        bias = np.log(np.maximum(vocabulary.class_mass, 1e-9) / vocabulary.class_mass.sum()).astype(np.float32)
         self.parts = [draw(vocabulary.size + 1, EMBED) * 8, draw(len(OFFSETS) * EMBED, HIDDEN), np.zeros(HIDDEN, np.float32), draw(HIDDEN, len(bias)) * 0.1, bias]
 
     def flat(self) -> np.ndarray:
@@ -196,16 +219,18 @@ def _averaged(copies: DataFrame) -> np.ndarray | None:
     return None if found is None else np.frombuffer(found["flat"], np.float32)
 
 
-def train(docs: DataFrame) -> tuple[Vocabulary, Network]:
+def train(docs: DataFrame) -> tuple[Vocabulary, Network, DataFrame]:
+    """The vocabulary, the network, and (word, n) of all words."""
     counts = materialize(counted(docs), "words")
-    known = counts.orderBy(F.col("n").desc(), "word").limit(VOCABULARY).toPandas()
+    known = counts.orderBy(F.col("n").desc(), "word").limit(VOCABULARY + NEAR).toPandas()
+    known, near = known[:VOCABULARY], known[VOCABULARY:]
     per_bucket = np.zeros(BUCKETS)
     # Hashes are unsigned: the bucket is the lowest bits.
     for r in counts.groupBy(F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).agg(F.sum("n").alias("n")).collect():
         per_bucket[r["bucket"]] = r["n"]
     words, n = known["word"].to_numpy(np.int64), known["n"].to_numpy(np.int64)
     np.subtract.at(per_bucket, words & (BUCKETS - 1), n)
-    vocabulary = Vocabulary(words, n, per_bucket)
+    vocabulary = Vocabulary(words, n, per_bucket, near["word"].to_numpy(np.int64), near["n"].to_numpy(np.int64))
     network = Network(vocabulary)
     texts = docs.select("text")
     for turn in range(ROUNDS):
@@ -217,7 +242,7 @@ def train(docs: DataFrame) -> tuple[Vocabulary, Network]:
             squares, seen = network.squares(), 0
             for batch in batches:
                 for _, texts in chunks(batch.column("text").to_pylist()):
-                    ids, at, _ = vocabulary.padded(texts)
+                    ids, at, *_ = vocabulary.padded(texts)
                     network.train(ids, at, vocabulary.cls[ids[at]], squares, turn * 1000 + seen % 997)
                     seen += len(at)
             if seen:
@@ -226,26 +251,40 @@ def train(docs: DataFrame) -> tuple[Vocabulary, Network]:
         flat = _averaged(texts.mapInArrow(copy, "part long, weight double, flat binary"))
         if flat is not None:
             network = Network(vocabulary).load(flat)
-    return vocabulary, network
+    return vocabulary, network, counts
 
 
-def scored(docs: DataFrame, vocabulary: Vocabulary, network: Network) -> DataFrame:
+def scored(docs: DataFrame, vocabulary: Vocabulary, network: Network, counts: DataFrame) -> DataFrame:
     """doc_id, n_words, log_prob, mean_log_prob of every row."""
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, network))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = shared.value
         tables = network.tables()
+        # Row numbers are written before they are used, so they stay as they are.
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for begin, texts in chunks(batch.column("text").to_pylist()):
-                ids, at, begins = vocabulary.padded(texts)
+                ids, at, begins, hashes = vocabulary.padded(texts)
                 logs = network.log_classes(ids, at, vocabulary.cls[ids[at]], tables) + vocabulary.share[ids[at]]
+                other = np.flatnonzero(ids[at] >= len(vocabulary.words))
+                more, far = vocabulary.near_logs(hashes[other])
+                logs[other] += more
                 sums = np.diff(np.concatenate(([0.0], np.cumsum(logs)))[begins])
-                n = np.diff(begins)
-                mean = pa.array(np.where(n > 0, sums / np.maximum(n, 1), 0.0), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, len(texts)), pa.array(n), pa.array(sums), mean], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_words long, log_prob double, mean_log_prob double")
+                far = other[far]
+                words = pa.ListArray.from_arrays(pa.array(np.searchsorted(far, begins), pa.int32()), pa.array(hashes[far].astype(np.int64)))
+                rows = pa.array(np.arange(row, row + len(texts)))
+                row += len(texts)
+                yield pa.RecordBatch.from_arrays([rows, batch.column("doc_id").slice(begin, len(texts)), pa.array(np.diff(begins)), pa.array(sums), words], names=["row", "doc_id", "n_words", "sums", "words"])
+
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "row long, doc_id long, n_words long, sums double, words array<long>")
+    some = materialize(some, "scores")
+    # Words met once add nothing.
+    logs = counts.filter("n > 1").select("word", F.log("n").alias("log_n"))
+    far = some.select("row", F.explode("words").alias("word")).join(logs.hint("shuffle_hash"), "word").groupBy("row").agg(F.sum("log_n").alias("more"))
+    log_prob = F.col("sums") + F.coalesce("more", F.lit(0.0))
+    found = some.drop("words").join(far, "row", "left").select("doc_id", "n_words", log_prob.alias("log_prob"))
+    return found.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
 
 
 def score(docs: DataFrame) -> DataFrame:

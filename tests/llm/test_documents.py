@@ -1,6 +1,7 @@
 """The operators on documents: against plain versions, and on nulls, empty and long texts, ties, repeats and empty tables."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -327,6 +328,28 @@ def test_pseudo_likelihood_trains_on_all_texts_of_a_large_table(spark, monkeypat
     assert weights == [3 * 4100] * pseudo.ROUNDS
 
 
+@pytest.mark.parametrize("near", [0, 50, 10_000])
+def test_pseudo_likelihood_gives_every_word_its_own_probability(spark, monkeypatch, near):
+    monkeypatch.setattr(pseudo, "VOCABULARY", 40)
+    monkeypatch.setattr(pseudo, "NEAR", near)
+    times = {f"word{k}": 1 + k % 3 if k >= 40 else 20 for k in range(3000)}
+    rows = [(k, w) for k, (w, n) in enumerate(times.items()) for _ in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    vocabulary, network, counts = pseudo.train(docs)
+    found = {r.doc_id: r.log_prob for r in pseudo.scored(docs, vocabulary, network, counts).collect()}
+    # With nothing around, all words together leave only what is kept for unmet ones.
+    ids, at, *_ = vocabulary.padded(["word2999"])
+    unmet = sum(math.exp(network.log_classes(ids, at, np.array([c]), network.tables())[0]) / vocabulary.class_mass[c] for c in range(pseudo.ALONE + pseudo.KNOWN, len(vocabulary.class_mass)))
+    assert abs(sum(math.exp(v) for v in found.values()) + unmet - 1) < 1e-3
+    # In a class, words have shares by their own counts.
+    kinds = {}
+    for k, w in enumerate(times):
+        ids, at, *_ = vocabulary.padded([w])
+        if k >= 40:
+            kinds.setdefault(int(vocabulary.cls[ids[at]][0]), []).append(found[k] - math.log(times[w]))
+    assert all(max(v) - min(v) < 1e-3 for v in kinds.values()) and len(kinds) == pseudo.UNKNOWN
+
+
 def test_stages_on_odd_and_empty_tables(docs, empty, spark):
     import corpus_pipeline
     from lumenframe.llm.common import materialize
