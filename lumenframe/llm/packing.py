@@ -1,10 +1,13 @@
 """Lexical retrieval packing: windows filled with a document's neighbours in a BM25 index.
 
-Every scan partition is dealt with as it is read, in shards of at most SHARD_TOKENS tokens or
-SHARD_DOCS documents, so nothing is shuffled and memory is bounded. A shard has an inverted index of
-its documents' token ids with BM25 weights. The first document that isn't used up is the seed of the
-next window: what it has left comes first, then its nearest documents that have tokens left, most
-alike first, then others in order. The last piece of a window is cut where the window ends and the
+Texts become token ids once, which are written. A first pass over them counts in how many of all
+documents each id lies, and the mean length. Then every partition is dealt with as it is read, in
+shards of at most SHARD_TOKENS tokens or SHARD_DOCS documents, so only counts are shuffled and memory
+is bounded; a seed's neighbours are sought in its own shard. A shard has an inverted index of its
+documents' token ids with BM25 weights by the counts of all documents. The first document that isn't
+used up is the seed of the next window: what it has left comes first, then all documents of the shard
+that have tokens left and share any id with it, most alike first, until the window is full; only if
+none shares an id, others in order. The last piece of a window is cut where the window ends and the
 rest of its document stays for later, so every window is full. What is left at a shard's end is cut
 into windows whose sizes are powers of two, which need no padding.
 
@@ -23,57 +26,57 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
 from .tokens import encoder
 
 #: Tokens in a window, and the id that ends a document.
 WINDOW, END_ID = 2048, 1
 SHARD_TOKENS, SHARD_DOCS = 3_000_000, 4096
-#: Terms of a seed that are looked up, its rarest, and neighbours that are ranked for it.
-TERMS, NEIGHBOURS = 10, 24
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class Index:
-    """BM25 weights of a shard's documents by term."""
+    """BM25 weights of a shard's documents by term. whole: df by term, number and mean length of all documents, if there are others."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], whole: tuple[np.ndarray, int, float] | None = None):
         found = [np.unique(d, return_counts=True) for d in docs]
         sizes = np.array([len(t) for t, _ in found])
         self.at = np.concatenate(([0], np.cumsum(sizes)))
         self.terms = np.concatenate([t for t, _ in found])
-        times = np.concatenate([c for _, c in found]).astype(np.float32)
-        lengths = np.array([len(d) for d in docs], np.float32)
-        holder = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
-        df = np.bincount(self.terms, minlength=int(self.terms.max()) + 1)
-        self.df = df
-        idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5)).astype(np.float32)
-        weight = idf[self.terms] * times * (K1 + 1) / (times + K1 * (1 - B + B * (lengths / lengths.mean())[holder]))
+        times = np.concatenate([c for _, c in found]).astype(np.float64)
+        lengths = np.array([len(d) for d in docs], np.float64)
+        holder = np.repeat(np.arange(len(docs)), sizes)
+        here = np.bincount(self.terms, minlength=int(self.terms.max()) + 1)
+        df, n, mean = whole or (here, len(docs), lengths.mean())
+        idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        weight = idf[self.terms] * times * (K1 + 1) / (times + K1 * (1 - B + B * (lengths / mean)[holder]))
         by_term = np.argsort(self.terms, kind="stable")
         self.holders, self.weights = holder[by_term], weight[by_term]
-        self.lists = np.concatenate(([0], np.cumsum(df)))
+        self.lists = np.concatenate(([0], np.cumsum(here)))
+        self.listed = len(docs)
 
     def neighbours(self, doc: int, left: np.ndarray) -> np.ndarray:
-        """The documents with tokens left that are most like doc, best first."""
+        """All documents with tokens left that share a term with doc, most alike first."""
+        open_ = np.count_nonzero(left)
+        if open_ * 4 < self.listed * 3:  # lists need no documents that are used up
+            keep = left[self.holders] > 0
+            self.lists = np.concatenate(([0], np.cumsum(keep)))[self.lists]
+            self.holders, self.weights, self.listed = self.holders[keep], self.weights[keep], open_
         terms = self.terms[self.at[doc] : self.at[doc + 1]]
-        df = self.df[terms]
-        shared = terms[df > 1]
-        if len(shared) > TERMS:
-            shared = shared[np.argpartition(df[df > 1], TERMS - 1)[:TERMS]]
-        spans = [(self.lists[t], self.lists[t + 1]) for t in shared.tolist()]
+        spans = [(a, b) for a, b in zip(self.lists[terms].tolist(), self.lists[terms + 1].tolist(), strict=True) if a < b]
         if not spans:
             return np.zeros(0, np.int64)
-        at, inverse = np.unique(np.concatenate([self.holders[a:b] for a, b in spans]), return_inverse=True)
-        score = np.bincount(inverse, np.concatenate([self.weights[a:b] for a, b in spans]))
-        open_ = (left[at] > 0) & (at != doc)
-        at, score = at[open_], score[open_]
-        return at[np.lexsort((at, -score))[:NEIGHBOURS]]
+        score = np.bincount(np.concatenate([self.holders[a:b] for a, b in spans]), np.concatenate([self.weights[a:b] for a, b in spans]), len(left))
+        score[doc] = 0
+        at = np.flatnonzero((score > 0) & (left > 0))
+        return at[np.argsort(-score[at], kind="stable")]
 
 
-def pack(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
+def pack(docs: list[np.ndarray], window: int = WINDOW, whole: tuple[np.ndarray, int, float] | None = None) -> Iterator[list[tuple[int, int, int]]]:
     """Windows as lists of pieces (document, start, length); every id of docs lies in exactly one."""
     sizes = np.array([len(d) for d in docs])
-    left, index, last = sizes.copy(), Index(docs), []
+    left, index, last = sizes.copy(), Index(docs, whole), []
     for seed in range(len(docs)):
         while left[seed] >= window:
             yield [(seed, int(sizes[seed] - left[seed]), window)]
@@ -118,13 +121,51 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[in
         yield pieces
 
 
+def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, ids (four bytes each) of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path)
+        for batch in batches:
+            ids = [np.append(encode.encode_to_numpy(text or "", disallowed_special=()), END_ID).astype("<u4").tobytes() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
+
+
+def counted(tokens: DataFrame) -> tuple[np.ndarray, int, float] | None:
+    """In how many documents every id lies, their number, and their mean length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, length = np.zeros(0, np.int64), 0, 0
+        for batch in batches:
+            docs = [np.frombuffer(ids, "<u4") for ids in batch.column("ids").to_pylist()]
+            if docs:
+                more = np.bincount(np.concatenate([np.unique(d) for d in docs]))
+                df, more = (np.pad(x, (0, max(len(df), len(more)) - len(x))) for x in (df, more))
+                df, n, length = df + more, n + len(docs), length + sum(map(len, docs))
+        met = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(met, (-1, -2)).astype(np.int64)), pa.array(np.append(df[met], (n, length)).astype(np.int64))], names=["term", "n"])
+
+    found = tokens.select("ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    by = dict(zip(found["term"].tolist(), found["n"].tolist(), strict=True))
+    n, length = by.pop(-1, 0), by.pop(-2, 0)
+    if not n:
+        return None
+    df = np.zeros(max(by) + 1, np.int64)
+    df[list(by)] = list(by.values())
+    return df, n, length / n
+
+
 def packed(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    tokens = materialize(tokenized(docs, path), "tokens")
+    shared = docs.sparkSession.sparkContext.broadcast(counted(tokens))
 
     def shard(ids: list, docs: list[np.ndarray], first: int) -> tuple[pa.RecordBatch, int]:
         columns: list[list] = [[] for _ in range(7)]
         count = 0
-        for pieces in pack(docs, window):
+        for pieces in pack(docs, window, shared.value):
             offset = 0
             for doc, start, n in pieces:
                 crc = zlib.crc32(docs[doc][start : start + n].astype("<u4").tobytes())
@@ -135,16 +176,14 @@ def packed(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]), first + count
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
         # Up to 2^32 windows a partition; a partition that is read again gives the same ones.
         first = TaskContext.get().partitionId() << 32
         ids, held, tokens = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found = encode.encode_to_numpy(text or "", disallowed_special=())
+            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                 ids.append(doc_id)
-                held.append(np.append(found, END_ID).astype(np.uint16 if encode.n_vocab <= 1 << 16 else np.uint32))
-                tokens += len(found) + 1
+                held.append(np.frombuffer(raw, "<u4"))
+                tokens += len(held[-1])
                 if tokens >= SHARD_TOKENS or len(ids) >= SHARD_DOCS:
                     out, first = shard(ids, held, first)
                     yield out
@@ -152,4 +191,4 @@ def packed(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
         if ids:
             yield shard(ids, held, first)[0]
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return tokens.mapInArrow(run, SCHEMA)

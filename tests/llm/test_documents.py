@@ -225,6 +225,26 @@ def test_packing_puts_like_documents_together():
     assert np.mean(same) < 1.5
 
 
+def test_packing_ranks_by_all_terms_and_fills_windows_with_neighbours():
+    rng = np.random.default_rng(7)
+    # Each document shares ten rare ids with one of another topic, and 300 common ones with its own topic.
+    docs = [np.concatenate([2 + 1000 * (i % 2) + rng.permutation(300), 5000 + 10 * (i // 2) + np.arange(10)]) for i in range(40)]
+    assert (packing.Index(docs).neighbours(0, np.array([len(d) for d in docs]))[:19] % 2 == 0).all()
+    # Short documents: a window holds far more than 24 of them.
+    short = [2 + 1000 * (i % 2) + rng.integers(0, 300, 40) for i in range(400)]
+    first = next(iter(packing.pack(short)))
+    assert len(first) > 50 and all(d % 2 == 0 for d, _, _ in first)
+
+
+def test_packing_counts_all_documents(docs, empty):
+    tokens = packing.tokenized(docs.repartition(5))
+    sets = [np.frombuffer(r.ids, "<u4") for r in tokens.collect()]
+    df, n, mean = packing.counted(tokens)
+    assert n == len(corpus()) and abs(mean - np.mean([len(x) for x in sets])) < 1e-9
+    assert (df == np.bincount(np.concatenate([np.unique(x) for x in sets]))).all()
+    assert packing.counted(packing.tokenized(empty)) is None
+
+
 def test_fingerprints(docs, empty):
     rows = {r.doc_id: r for r in fingerprints.fingerprints_of_edits(docs.filter("doc_id is not null").dropDuplicates(["doc_id"])).collect()}
     texts = {r[0]: r[1] or "" for r in corpus() if r[0] is not None}
