@@ -37,8 +37,9 @@ from .common import join_small, materialize
 from .components import connected_components
 from .wordhash import U, chunks, mix, shingle_sets
 
-#: Words in a shingle, and the least intersection of linked sets in percent of their union.
+#: Words in a shingle, and the least intersection of linked sets in percent of their union: of the join, and of near copies.
 WORDS, PERCENT = 3, 90
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 #: Blocks beyond those that linked sets can spoil.
 SPARE = 1
 #: Shingles that a unit of a cluster holds at most, but for a band's two parts.
@@ -214,8 +215,8 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     return slim.join(labels, ["d1", "d2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents that stay: of each component the one with the least id, once if its row repeats; and rows without an id."""
+def one_of_each(docs: DataFrame, words: int = NEAR_WORDS, percent: int = NEAR_PERCENT) -> DataFrame:
+    """The documents that stay when near copies go: of each component the one with the least id, once if its row repeats; and rows without an id."""
     found = components(docs, words, percent).select(F.col("doc_id").alias("_id"), "component_id").filter("_id = component_id").select("_id").distinct()
     kept = docs.join(found, docs["doc_id"] == found["_id"], "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.filter("doc_id is null"))

@@ -89,20 +89,21 @@ def test_jaccard_in_large_clusters(spark, docs, monkeypatch):
 def test_one_of_each_keeps_whole_rows(docs):
     kept = jaccard.one_of_each(docs)
     assert kept.columns == docs.columns
-    expected = {c for i, _, c in brute_components(corpus()) if i is not None}
+    expected = {c for i, _, c in brute_components(corpus(), 5, 80) if i is not None}
     ids = [r.doc_id for r in kept.collect()]
     assert set(ids) - {None} == expected and len(ids) == len(expected) + 1
 
 
 def test_skip_join_and_signatures():
     rng = np.random.default_rng(0)
-    least = jaccard.bands(90)
-    for _ in range(25):
+    for turn in range(25):
+        percent = (90, 80)[turn % 2]
+        least = jaccard.bands(percent)
         base = [rng.integers(0, 1 << 63, size=rng.integers(8, 160)).astype(U) for _ in range(3)]
         sets = []
         for _ in range(40):
             s = base[rng.integers(3)].copy()
-            at = rng.choice(len(s), min(len(s), int(rng.integers(0, max(2, len(s) // 9)))), replace=False)
+            at = rng.choice(len(s), min(len(s), int(rng.integers(0, max(2, len(s) // (percent // 10))))), replace=False)
             s[at] = rng.integers(0, 1 << 63, size=len(at)).astype(U)
             sets.append(np.unique(s))
         up = list(range(len(sets)))
@@ -110,12 +111,12 @@ def test_skip_join_and_signatures():
         for i in range(len(sets)):
             for j in range(i):
                 o = len(np.intersect1d(sets[i], sets[j]))
-                if 100 * o >= 90 * (len(sets[i]) + len(sets[j]) - o):
-                    assert set(jaccard.signatures(sets[i], 90, least)) & set(jaccard.signatures(sets[j], 90, least))
+                if 100 * o >= percent * (len(sets[i]) + len(sets[j]) - o):
+                    assert set(jaccard.signatures(sets[i], percent, least)) & set(jaccard.signatures(sets[j], percent, least))
                     up[max(root(i), root(j))] = min(root(i), root(j))
         expected = [root(i) for i in range(len(sets))]
         up = list(range(len(sets)))
-        for a, b in jaccard.skip_join(np.arange(len(sets)), sets, 90):
+        for a, b in jaccard.skip_join(np.arange(len(sets)), sets, percent):
             up[max(root(a), root(b))] = min(root(a), root(b))
         assert [root(i) for i in range(len(sets))] == expected
 

@@ -165,7 +165,7 @@ def test_pipeline_stages_by_plain_versions(spark, stages):
     labels = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").collect()}
     assert sum(labels[r[0]].quality for r in raw if r[0] in labels) - sum(labels[r[0]].quality for r in good if r[0] in labels) <= 1
     assert sum(1 for r in good if r[0] in labels and not labels[r[0]].quality) <= 1
-    assert {r[0] for r in single} == {c for _, _, c in brute_components(good)}
+    assert {r[0] for r in single} == {c for _, _, c in brute_components(good, 5, 80)}
     sizes, total, target = plain_mix([(i, t, lang, s, n) for i, t, lang, s, n in single])
     taken = Counter()
     for i, t, _, s, _ in mixed:
