@@ -6,12 +6,13 @@ An unknown word adds the mean log frequency of its n-grams of the longest length
 known one, from MAX_N down to 1. The softmax of the sums gives language and score.
 
 Training reads at most about PER_LANG documents of each language, chosen by a hash of doc_id at a rate
-that each language's count sets; counts and choice run over the whole table. The model keeps at most
-MAX_WORDS words and MAX_GRAMS n-grams, so its size, and what is broadcast, is bounded.
+that each language's count sets; counts and choice run over the whole table. Of each language the model
+keeps its MAX_WORDS commonest words and MAX_GRAMS commonest n-grams of each length, so a small language
+loses none to a large one, and what is broadcast is bounded by the number of languages.
 
 Cases: null texts and texts without a letter are `und` with score 0; so is everything if nothing can
-be learned from; repeated rows get equal results; extra columns are ignored; an empty table gives no
-rows.
+be learned from; repeated rows get equal results; languages that score alike go by name, the first wins; texts of any length are
+read whole; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-PER_LANG, MAX_WORDS, MAX_GRAMS, MAX_N = 1200, 150_000, 150_000, 5
+PER_LANG, MAX_WORDS, MAX_GRAMS, MAX_N = 3000, 60_000, 20_000, 5
 #: Words that a prediction remembers before it starts anew.
 CACHE = 150_000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -38,11 +39,11 @@ def grams(word: str, n: int) -> list[str]:
 
 
 def log_frequencies(counts: list[dict[str, int]], most: int, least: int = 1) -> tuple[dict[str, int], np.ndarray]:
-    """The most frequent keys of counts by language, and their smoothed log frequencies less the mean over languages."""
+    """The `most` commonest keys of each language, and their smoothed log frequencies less the mean over languages."""
     total: Counter = Counter()
     for c in counts:
         total.update(c)
-    kept = sorted((k for k, n in total.items() if n >= least), key=lambda k: (-total[k], k))[:most]
+    kept = sorted({k for c in counts for k in sorted((k for k in c if total[k] >= least), key=lambda k: (-c[k], k))[:most]})
     if not kept:
         return {}, np.zeros((0, 0), np.float32)
     table = np.array([[c.get(k, 0) for c in counts] for k in kept], float)
@@ -67,7 +68,7 @@ class Model:
                     held[gram] += times
         # A word met once says less than its n-grams do.
         self.words, self.word_rows = log_frequencies(words, MAX_WORDS, least=2)
-        self.grams = [log_frequencies(c, MAX_GRAMS // MAX_N) for c in by_n]
+        self.grams = [log_frequencies(c, MAX_GRAMS) for c in by_n]
         self.forget()
 
     def __getstate__(self) -> dict:
