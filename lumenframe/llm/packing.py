@@ -11,8 +11,9 @@ none shares an id, others in order. The last piece of a window is cut where the
 rest of its document stays for later, so every window is full. What is left at a shard's end is cut
 into windows whose sizes are powers of two, which need no padding.
 
-Cases: a null or empty text is a document of the end id only; ids may be null or repeat, each row is
-packed; extra columns are ignored; an empty table gives no rows.
+Cases: a null or empty text is a document of the end id only; a text longer than a window fills whole
+windows by itself first; documents that are equally alike come in the order of the scan; ids may be
+null or repeat, each row is packed; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,44 +34,81 @@ from .tokens import encoder
 WINDOW, END_ID = 2048, 1
 SHARD_TOKENS, SHARD_DOCS = 3_000_000, 4096
 K1, B = 1.2, 0.75
+#: A term in more than one of DENSE documents is common; seeds scored at once.
+DENSE, AHEAD = 8, 64
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class Index:
-    """BM25 weights of a shard's documents by term. whole: df by term, number and mean length of all documents, if there are others."""
+    """BM25 weights of a shard's documents by term. whole: df by term, number and mean length of all documents, if there are others.
+
+    Terms of many documents are rows of a dense matrix, so that AHEAD seeds are scored by one matrix
+    product; those of few have lists. Columns of documents that are used up are dropped by halves.
+    """
 
     def __init__(self, docs: list[np.ndarray], whole: tuple[np.ndarray, int, float] | None = None):
         found = [np.unique(d, return_counts=True) for d in docs]
         sizes = np.array([len(t) for t, _ in found])
         self.at = np.concatenate(([0], np.cumsum(sizes)))
-        self.terms = np.concatenate([t for t, _ in found])
+        self.terms = np.concatenate([t for t, _ in found]).astype(np.int64)
         times = np.concatenate([c for _, c in found]).astype(np.float64)
         lengths = np.array([len(d) for d in docs], np.float64)
         holder = np.repeat(np.arange(len(docs)), sizes)
-        here = np.bincount(self.terms, minlength=int(self.terms.max()) + 1)
+        here = np.bincount(self.terms)
         df, n, mean = whole or (here, len(docs), lengths.mean())
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
         weight = idf[self.terms] * times * (K1 + 1) / (times + K1 * (1 - B + B * (lengths / mean)[holder]))
-        by_term = np.argsort(self.terms, kind="stable")
-        self.holders, self.weights = holder[by_term], weight[by_term]
-        self.lists = np.concatenate(([0], np.cumsum(here)))
-        self.listed = len(docs)
-
-    def neighbours(self, doc: int, left: np.ndarray) -> np.ndarray:
-        """All documents with tokens left that share a term with doc, most alike first."""
-        open_ = np.count_nonzero(left)
-        if open_ * 4 < self.listed * 3:  # lists need no documents that are used up
-            keep = left[self.holders] > 0
-            self.lists = np.concatenate(([0], np.cumsum(keep)))[self.lists]
-            self.holders, self.weights, self.listed = self.holders[keep], self.weights[keep], open_
-        terms = self.terms[self.at[doc] : self.at[doc + 1]]
-        spans = [(a, b) for a, b in zip(self.lists[terms].tolist(), self.lists[terms + 1].tolist(), strict=True) if a < b]
-        if not spans:
-            return np.zeros(0, np.int64)
-        score = np.bincount(np.concatenate([self.holders[a:b] for a, b in spans]), np.concatenate([self.weights[a:b] for a, b in spans]), len(left))
-        score[doc] = 0
-        at = np.flatnonzero((score > 0) & (left > 0))
-        return at[np.argsort(-score[at], kind="stable")]
+        common = np.flatnonzero(here * DENSE > len(docs))
+        self.row = np.full(len(here), -1)
+        self.row[common] = np.arange(len(common))
+        row = self.row[self.terms]
+        self.dense = np.zeros((len(common), len(docs)), np.float32)
+        self.dense[row[row >= 0], holder[row >= 0]] = weight[row >= 0]
+        rare = np.flatnonzero(row < 0)
+        rare = rare[np.argsort(self.terms[rare], kind="stable")]
+        self.holders, self.weights = holder[rare], weight[rare]
+        self.lists = np.searchsorted(self.terms[rare], np.arange(len(here) + 1))
+        #: Documents by column, and scores of the seeds that were scored ahead.
+        self.live, self.ahead = np.arange(len(docs)), {}
+
+    def _drop(self, left: np.ndarray) -> None:
+        keep = left[self.live] > 0
+        kept = keep[self.holders]
+        self.lists = np.concatenate(([0], np.cumsum(kept)))[self.lists]
+        self.holders, self.weights = (np.cumsum(keep) - 1)[self.holders[kept]], self.weights[kept]
+        self.dense, self.live = np.ascontiguousarray(self.dense[:, keep]), self.live[keep]
+
+    def _score(self, seeds: list[int]) -> None:
+        """Scores of all documents with a column, for every seed."""
+        asked = np.zeros((len(seeds), len(self.dense)), np.float32)
+        own = [self.terms[self.at[d] : self.at[d + 1]] for d in seeds]
+        for i, terms in enumerate(own):
+            rows = self.row[terms]
+            asked[i, rows[rows >= 0]] = 1
+        scores = asked @ self.dense
+        for score, terms in zip(scores, own, strict=True):
+            terms = terms[self.row[terms] < 0]
+            spans = [(a, b) for a, b in zip(self.lists[terms].tolist(), self.lists[terms + 1].tolist(), strict=True) if a < b]
+            if spans:
+                score += np.bincount(np.concatenate([self.holders[a:b] for a, b in spans]), np.concatenate([self.weights[a:b] for a, b in spans]), len(score)).astype(np.float32)
+        self.ahead = {d: (self.live, score) for d, score in zip(seeds, scores, strict=True)}
+
+    def neighbours(self, doc: int, left: np.ndarray) -> Iterator[int]:
+        """All documents with tokens left that share a term with doc, most alike first, equal ones by number; left must not fall but for those given."""
+        if doc not in self.ahead:
+            if np.count_nonzero(left) * 2 < len(self.live):
+                self._drop(left)
+            self._score([doc, *(doc + 1 + np.flatnonzero(left[doc + 1 :] > 0)[: AHEAD - 1]).tolist()])
+        live, score = self.ahead.pop(doc)
+        open_ = (score > 0) & (left[live] > 0) & (live != doc)
+        live, score, most = live[open_], score[open_], 32
+        while len(live):
+            if len(live) > most:
+                near = score >= np.partition(score, len(score) - most)[len(score) - most]
+            else:
+                near = np.ones(len(live), bool)
+            yield from live[near][np.argsort(-score[near], kind="stable")].tolist()
+            live, score, most = live[~near], score[~near], most * 4
 
 
 def pack(docs: list[np.ndarray], window: int = WINDOW, whole: tuple[np.ndarray, int, float] | None = None) -> Iterator[list[tuple[int, int, int]]]:
@@ -94,7 +132,7 @@ def pack(docs: list[np.ndarray], window: int = WINDOW, whole: tuple[np.ndarray,
                 room -= n
 
         take(seed)
-        for doc in index.neighbours(seed, left).tolist():
+        for doc in index.neighbours(seed, left):
             take(doc)
             if not room:
                 break
@@ -127,7 +165,7 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
-            ids = [np.append(encode.encode_to_numpy(text or "", disallowed_special=()), END_ID).astype("<u4").tobytes() for text in batch.column("text").to_pylist()]
+            ids = [np.append(encode(text or ""), END_ID).astype("<u4").tobytes() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")

@@ -215,7 +215,24 @@ def test_token_ids_equal_the_other_library():
     texts = ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 700), rng.randrange(0x4E00, 0x4F00), 0x1F600, 10, 9, 0xA0])) for _ in range(rng.randint(0, 200))) for _ in range(200)]
     texts += ["it's we'll I'M", "  two  spaces\n\n x \t", "<|endoftext|> a", "x" * 3000, "\u0000́e"]
     for t in texts:
-        assert encoder().encode_to_numpy(t, disallowed_special=()).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+        assert encoder()(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_token_ids_of_a_file_with_merges_in_another_order(tmp_path):
+    import json
+
+    import public_tokenizers
+    from lumenframe.llm.tokens import encoder
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        file = json.load(f)
+    file["model"]["merges"].reverse()
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(file, f)
+    own = Tokenizer.from_file(path)
+    assert encoder(path)("the river thereof").tolist() == own.encode("the river thereof", add_special_tokens=False).ids != encoder()("the river thereof").tolist()
 
 
 def test_packing_puts_like_documents_together():
@@ -230,13 +247,38 @@ def test_packing_ranks_by_all_terms_and_fills_windows_with_neighbours():
     rng = np.random.default_rng(7)
     # Each document shares ten rare ids with one of another topic, and 300 common ones with its own topic.
     docs = [np.concatenate([2 + 1000 * (i % 2) + rng.permutation(300), 5000 + 10 * (i // 2) + np.arange(10)]) for i in range(40)]
-    assert (packing.Index(docs).neighbours(0, np.array([len(d) for d in docs]))[:19] % 2 == 0).all()
+    assert all(d % 2 == 0 for d in list(packing.Index(docs).neighbours(0, np.array([len(d) for d in docs])))[:19])
     # Short documents: a window holds far more than 24 of them.
     short = [2 + 1000 * (i % 2) + rng.integers(0, 300, 40) for i in range(400)]
     first = next(iter(packing.pack(short)))
     assert len(first) > 50 and all(d % 2 == 0 for d, _, _ in first)
 
 
+def plain_bm25(docs, seed, k1=1.2, b=0.75):
+    """Scores of all documents for a seed's terms, by the textbook."""
+    bags, mean = [Counter(d.tolist()) for d in docs], sum(map(len, docs)) / len(docs)
+    df = Counter(t for bag in bags for t in bag)
+    idf = {t: math.log(1 + (len(docs) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+    return [sum(idf[t] * bag[t] * (k1 + 1) / (bag[t] + k1 * (1 - b + b * len(d) / mean)) for t in bags[seed] if t in bag) for d, bag in zip(docs, bags, strict=True)]
+
+
+@pytest.mark.parametrize("dense", [1, 8, 10**9])
+def test_packing_ranks_as_plain_bm25(monkeypatch, dense):
+    monkeypatch.setattr(packing, "DENSE", dense)
+    monkeypatch.setattr(packing, "AHEAD", 7)
+    rng = np.random.default_rng(10)
+    docs = [(rng.zipf(1.3, rng.integers(1, 200)) % 400 + 2).astype(np.uint32) for _ in range(150)]
+    docs[40] = docs[41] = docs[7]
+    left = np.array([len(d) for d in docs])
+    index = packing.Index(docs)
+    for seed in range(0, 150, 3):
+        left[rng.integers(0, 150, 4)] = 0
+        score = plain_bm25(docs, seed)
+        found = list(index.neighbours(seed, left))
+        assert set(found) == {d for d, s in enumerate(score) if s > 0 and left[d] and d != seed}
+        assert all(score[a] >= score[c] - 1e-4 * (1 + score[a]) for a, c in zip(found, found[1:], strict=False))
+
+
 def test_packing_counts_all_documents(docs, empty):
     tokens = packing.tokenized(docs.repartition(5))
     sets = [np.frombuffer(r.ids, "<u4") for r in tokens.collect()]
