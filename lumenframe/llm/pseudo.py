@@ -16,8 +16,8 @@ average. So what training reads, what is
 gathered and the words with counts grow with the corpus; only the network, its words and the NEAR
 commonest counts reach the driver.
 
-Cases: null, empty and white texts have no words, log_prob 0 and a null mean; repeated rows get equal
-results; extra columns are ignored; an empty table gives no rows.
+Cases: null, empty and white texts have no words, log_prob 0 and a null mean; texts of any length are
+read whole; repeated rows get equal results; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,11 +39,13 @@ VOCABULARY, BUCKETS, SPAN = 4096, 512, 2
 ALONE, KNOWN, UNKNOWN = 32, 24, 8
 #: Sizes of embedding and hidden layer.
 EMBED, HIDDEN = 16, 32
-ROUNDS, STEP, RATE = 2, 256, 0.1
+ROUNDS, STEP, RATE = 2, 512, 0.1
 #: Words whose counts are sent to all tasks; the counts of others are joined.
 NEAR = 65_536
 #: Distinct words that a partition counts before it passes them on; tokens scored at once.
-HELD, AT_ONCE = 500_000, 16_384
+HELD, AT_ONCE = 500_000, 4096
+#: Words of a partition that are put in random order at once.
+TRAINED = 400_000
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -113,11 +115,14 @@ class Vocabulary:
     def padded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all words with SPAN marks of an edge between texts; where words lie, where each text's begin among them, and their hashes."""
         hashes, begins = word_hashes(texts)
-        of = np.repeat(np.arange(len(texts)), np.diff(begins))
-        at = np.arange(len(hashes)) + SPAN * (of + 1)
-        out = np.full(len(hashes) + SPAN * (len(texts) + 1), self.size)
-        out[at] = self.ids(hashes)
-        return out, at, begins, hashes
+        return *self.spaced(self.ids(hashes), begins), begins, hashes
+
+    def spaced(self, ids: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids with SPAN marks of an edge between texts, and where the words lie."""
+        at = np.arange(len(ids)) + SPAN * (np.repeat(np.arange(len(begins) - 1), np.diff(begins)) + 1)
+        out = np.full(len(ids) + SPAN * len(begins), self.size)
+        out[at] = ids
+        return out, at
 
 
 OFFSETS = np.array([o for o in range(-SPAN, SPAN + 1) if o])
@@ -143,36 +148,39 @@ class Network:
         return self
 
     def train(self, ids: np.ndarray, at: np.ndarray, target: np.ndarray, squares: list[np.ndarray], seed: int) -> None:
-        """One pass over the words at `at`, in random order, with adaptive steps."""
+        """One pass over the words at `at`, in random order, with adaptive steps. Words are columns, so sums over classes run along memory."""
         order = np.random.default_rng(seed).permutation(len(at))
+        at, target = at[order], target[order]
         for begin in range(0, len(order), STEP):
-            chosen = order[begin : begin + STEP]
-            around = ids[at[chosen][:, None] + OFFSETS]
+            around = ids[at[begin : begin + STEP, None] + OFFSETS]
+            n = len(around)
             embed, first, shift, second, bias = self.parts
-            x = embed[around].reshape(len(chosen), -1)
-            hidden = np.tanh(x @ first + shift)
-            share = hidden @ second + bias
-            share -= share.max(axis=1, keepdims=True)
+            x = embed[around].reshape(n, -1)
+            hidden = first.T @ x.T
+            hidden += shift[:, None]
+            np.tanh(hidden, out=hidden)
+            share = second.T @ hidden
+            share += bias[:, None]
+            share -= share.max(axis=0)
             np.exp(share, out=share)
-            share /= share.sum(axis=1, keepdims=True)
-            share[np.arange(len(chosen)), target[chosen]] -= 1
-            back = (share @ second.T) * (1 - hidden * hidden)
-            slopes = [None, x.T @ back, back.sum(axis=0), hidden.T @ share, share.sum(axis=0)]
-            to_embed = (back @ first.T).reshape(-1, EMBED)
-            for part, slope, square in zip(self.parts[1:], slopes[1:], squares[1:], strict=True):
-                slope /= len(chosen)
+            share /= share.sum(axis=0)
+            share[target[begin : begin + STEP], np.arange(n)] -= 1
+            share /= n
+            back = second @ share
+            back *= 1 - hidden * hidden
+            slopes = [(back @ x).T, back.sum(axis=1), hidden @ share.T, share.sum(axis=1)]
+            for part, slope, square in zip(self.parts[1:], slopes, squares[1:], strict=True):
                 square += slope * slope
                 part -= RATE * slope / np.sqrt(square)
             # Ids have 16 bits, which sort in linear time.
             flat = around.ravel().astype(np.uint16)
-            order_in = np.argsort(flat, kind="stable")
-            flat = flat[order_in]
-            cut = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
-            rows = flat[cut]
-            summed = np.add.reduceat(to_embed[order_in], cut, axis=0) / len(chosen)
-            square = squares[0][rows] + summed * summed
+            by_id = np.argsort(flat, kind="stable")
+            flat = flat[by_id]
+            begins = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+            rows, slope = flat[begins], np.add.reduceat((back.T @ first.T).reshape(-1, EMBED)[by_id], begins, axis=0)
+            square = squares[0][rows] + slope * slope
             squares[0][rows] = square
-            embed[rows] -= RATE * summed / np.sqrt(square)
+            embed[rows] -= RATE * slope / np.sqrt(square)
 
     def squares(self) -> list[np.ndarray]:
         return [np.full(p.shape, 1e-4, np.float32) for p in self.parts]
@@ -192,19 +200,20 @@ class Network:
                 hidden += tables[k][ids[here + OFFSETS[k]]]
             hidden += self.parts[2]
             np.tanh(hidden, out=hidden)
-            scores = hidden @ self.parts[3]
-            scores += self.parts[4]
-            scores -= scores.max(axis=1, keepdims=True)
-            own = scores[np.arange(len(here)), target[begin : begin + AT_ONCE]]
+            scores = self.parts[3].T @ hidden.T
+            scores += self.parts[4][:, None]
+            scores -= scores.max(axis=0)
+            own = scores[target[begin : begin + AT_ONCE], np.arange(len(here))]
             np.exp(scores, out=scores)
-            out[begin : begin + AT_ONCE] = own - np.log(scores.sum(axis=1))
+            out[begin : begin + AT_ONCE] = own - np.log(scores.sum(axis=0))
         return out
 
 
 def _averaged(copies: DataFrame) -> np.ndarray | None:
-    """The mean of networks (part, weight, flat) by weight, in two steps of about the root of their number."""
+    """The mean of networks (part, weight, flat) by weight, in two steps of about the root of their number, in the order of part."""
 
     def mean(group: pa.Table) -> pa.Table:
+        group = group.sort_by("part")
         weight = np.array(group.column("weight").to_pylist(), np.float64)
         total = np.zeros(1)
         for w, flat in zip(weight, group.column("flat").to_pylist(), strict=True):
@@ -214,13 +223,13 @@ def _averaged(copies: DataFrame) -> np.ndarray | None:
     fields = "part long, weight double, flat binary"
     copies = materialize(copies, "copies")
     groups = max(1, math.isqrt(copies.count()))
-    some = copies.withColumn("part", F.pmod("part", F.lit(groups))).groupBy("part").applyInArrow(mean, fields)
-    found = some.withColumn("part", F.lit(0).cast("long")).groupBy("part").applyInArrow(mean, fields).first()
+    some = copies.groupBy(F.pmod("part", F.lit(groups)).alias("group")).applyInArrow(mean, fields)
+    found = some.groupBy(F.lit(0).alias("all")).applyInArrow(mean, fields).first()
     return None if found is None else np.frombuffer(found["flat"], np.float32)
 
 
-def train(docs: DataFrame) -> tuple[Vocabulary, Network, DataFrame]:
-    """The vocabulary, the network, and (word, n) of all words."""
+def learned(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary, and (word, n) of all words."""
     counts = materialize(counted(docs), "words")
     known = counts.orderBy(F.col("n").desc(), "word").limit(VOCABULARY + NEAR).toPandas()
     known, near = known[:VOCABULARY], known[VOCABULARY:]
@@ -230,55 +239,99 @@ def train(docs: DataFrame) -> tuple[Vocabulary, Network, DataFrame]:
         per_bucket[r["bucket"]] = r["n"]
     words, n = known["word"].to_numpy(np.int64), known["n"].to_numpy(np.int64)
     np.subtract.at(per_bucket, words & (BUCKETS - 1), n)
-    vocabulary = Vocabulary(words, n, per_bucket, near["word"].to_numpy(np.int64), near["n"].to_numpy(np.int64))
+    return Vocabulary(words, n, per_bucket, near["word"].to_numpy(np.int64), near["n"].to_numpy(np.int64)), counts
+
+
+def _binary(values: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """Runs of values as binaries, from where each begins (one more than runs)."""
+    return pa.Array.from_buffers(pa.binary(), len(begins) - 1, [None, pa.py_buffer((begins * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column that _binary made, and where each row's begin."""
+    size, buffers = np.dtype(dtype).itemsize, column.buffers()
+    at = np.frombuffer(buffers[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
+    values = np.frombuffer(buffers[2], np.uint8)[at[0] : at[-1]] if at[-1] > at[0] else np.zeros(0, np.uint8)
+    return np.frombuffer(values.tobytes(), dtype), (at - at[0]) // size
+
+
+def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """row (a number of its own), doc_id, ids of its words, and the hashes of those that share an id; written, as it is read three times."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for begin, texts in chunks(batch.column("text").to_pylist()):
+                hashes, begins = word_hashes(texts)
+                ids = vocabulary.ids(hashes)
+                other = ids >= len(vocabulary.words)
+                others = np.concatenate(([0], np.cumsum(other)))[begins]
+                rows = pa.array(np.arange(row, row + len(texts)))
+                row += len(texts)
+                yield pa.RecordBatch.from_arrays([rows, batch.column("doc_id").slice(begin, len(texts)), _binary(ids.astype(np.uint16), begins), _binary(hashes[other], others)], names=["row", "doc_id", "ids", "others"])
+
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "row long, doc_id long, ids binary, others binary")
+    return materialize(some, "word-ids")
+
+
+def trained(texts: DataFrame, vocabulary: Vocabulary) -> Network:
+    """The network, from all rows of encoded texts."""
     network = Network(vocabulary)
-    texts = docs.select("text")
     for turn in range(ROUNDS):
-        shared = docs.sparkSession.sparkContext.broadcast((vocabulary, network))
+        shared = texts.sparkSession.sparkContext.broadcast((vocabulary, network))
 
         def copy(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
             vocabulary, network = shared.value
             network = Network(vocabulary).load(network.flat())
             squares, seen = network.squares(), 0
             for batch in batches:
-                for _, texts in chunks(batch.column("text").to_pylist()):
-                    ids, at, *_ = vocabulary.padded(texts)
+                values, begins = _values(batch.column("ids"), np.uint16)
+                cuts = np.append(np.unique(np.searchsorted(begins, np.arange(0, begins[-1], TRAINED))), len(begins) - 1)
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    ids, at = vocabulary.spaced(values[begins[a] : begins[b]], begins[a : b + 1] - begins[a])
                     network.train(ids, at, vocabulary.cls[ids[at]], squares, turn * 1000 + seen % 997)
                     seen += len(at)
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([float(seen)]), pa.array([network.flat().tobytes()], pa.binary())], names=["part", "weight", "flat"])
 
-        flat = _averaged(texts.mapInArrow(copy, "part long, weight double, flat binary"))
+        flat = _averaged(texts.select("ids").mapInArrow(copy, "part long, weight double, flat binary"))
         if flat is not None:
             network = Network(vocabulary).load(flat)
-    return vocabulary, network, counts
+    return network
+
+
+def train(docs: DataFrame) -> tuple[Vocabulary, Network, DataFrame]:
+    """The vocabulary, the network, and (word, n) of all words."""
+    vocabulary, counts = learned(docs)
+    return vocabulary, trained(encoded(docs, vocabulary), vocabulary), counts
 
 
 def scored(docs: DataFrame, vocabulary: Vocabulary, network: Network, counts: DataFrame) -> DataFrame:
-    """doc_id, n_words, log_prob, mean_log_prob of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, network))
+    """doc_id, n_words, log_prob, mean_log_prob of every row of docs."""
+    return _scored(encoded(docs, vocabulary), vocabulary, network, counts)
+
+
+def _scored(texts: DataFrame, vocabulary: Vocabulary, network: Network, counts: DataFrame) -> DataFrame:
+    shared = texts.sparkSession.sparkContext.broadcast((vocabulary, network))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = shared.value
         tables = network.tables()
-        # Row numbers are written before they are used, so they stay as they are.
-        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for begin, texts in chunks(batch.column("text").to_pylist()):
-                ids, at, begins, hashes = vocabulary.padded(texts)
-                logs = network.log_classes(ids, at, vocabulary.cls[ids[at]], tables) + vocabulary.share[ids[at]]
-                other = np.flatnonzero(ids[at] >= len(vocabulary.words))
-                more, far = vocabulary.near_logs(hashes[other])
-                logs[other] += more
-                sums = np.diff(np.concatenate(([0.0], np.cumsum(logs)))[begins])
-                far = other[far]
-                words = pa.ListArray.from_arrays(pa.array(np.searchsorted(far, begins), pa.int32()), pa.array(hashes[far].astype(np.int64)))
-                rows = pa.array(np.arange(row, row + len(texts)))
-                row += len(texts)
-                yield pa.RecordBatch.from_arrays([rows, batch.column("doc_id").slice(begin, len(texts)), pa.array(np.diff(begins)), pa.array(sums), words], names=["row", "doc_id", "n_words", "sums", "words"])
-
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "row long, doc_id long, n_words long, sums double, words array<long>")
-    some = materialize(some, "scores")
+            values, begins = _values(batch.column("ids"), np.uint16)
+            hashes, _ = _values(batch.column("others"), np.uint64)
+            ids, at = vocabulary.spaced(values, begins)
+            logs = network.log_classes(ids, at, vocabulary.cls[values], tables) + vocabulary.share[values]
+            other = np.flatnonzero(values >= len(vocabulary.words))
+            more, far = vocabulary.near_logs(hashes)
+            logs[other] += more
+            sums = np.diff(np.concatenate(([0.0], np.cumsum(logs)))[begins])
+            words = pa.ListArray.from_arrays(pa.array(np.searchsorted(other[far], begins), pa.int32()), pa.array(hashes[far].astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(np.diff(begins)), pa.array(sums), words], names=["row", "doc_id", "n_words", "sums", "words"])
+
+    some = materialize(texts.mapInArrow(run, "row long, doc_id long, n_words long, sums double, words array<long>"), "scores")
     # Words met once add nothing.
     logs = counts.filter("n > 1").select("word", F.log("n").alias("log_n"))
     far = some.select("row", F.explode("words").alias("word")).join(logs.hint("shuffle_hash"), "word").groupBy("row").agg(F.sum("log_n").alias("more"))
@@ -289,4 +342,6 @@ def scored(docs: DataFrame, vocabulary: Vocabulary, network: Network, counts: Da
 
 def score(docs: DataFrame) -> DataFrame:
     """Scores of all documents by a model of the same documents."""
-    return scored(docs, *train(docs))
+    vocabulary, counts = learned(docs)
+    texts = encoded(docs, vocabulary)
+    return _scored(texts, vocabulary, trained(texts, vocabulary), counts)
