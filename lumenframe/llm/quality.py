@@ -1,16 +1,17 @@
 """Quality classifier from weak labels.
 
-Ten heuristic labellers look at a text and each vote good, bad or nothing. Their votes overlap, so
+Eleven heuristic labellers look at a text and each vote good, bad or nothing. Their votes overlap, so
 how often each is right can be estimated without any true label: expectation-maximisation over the
 counts of vote patterns of all documents finds the share of good texts and, for each labeller, how
-often it votes good on good and on bad texts. The posteriors of a bounded sample of documents then
+often it votes good on good and on bad texts; what it starts from counts as HELD votes. The posteriors of a bounded sample of documents then
 train a logistic scorer on hashed features: words, word shapes, and coarse values of what the
 labellers measure. The scorer rates every document from its whole text.
 
-Only pattern counts (at most 3^10 rows), the sample's features and the weights leave the executors.
+Only pattern counts (at most 3^11 rows), the sample's features and the weights leave the executors.
 
 Cases: null, empty and white texts have no votes and no features but their emptiness, and aren't
-kept; repeated rows get equal results; extra columns are ignored; an empty table gives no rows.
+kept; texts of any length are read whole; a text that scores THRESHOLD exactly is kept; repeated rows
+get equal results; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,7 @@ LABELLERS = {
     "letters": ((0.5, 1.01), (0.7, 1.01)),
     "symbols": ((-1, 0.08), (-1, 0.03)),
     "capitals": ((-1, 0.5), (-1, 0.25)),
+    "capital_words": ((-1, 0.5), (-1, 0.25)),
     "distinct_words": ((0.25, 1.01), (0.45, 1.01)),
     "top_word": ((-1, 0.2), (-1, 0.12)),
     "distinct_pairs": ((0.4, 1.01), (0.7, 1.01)),
@@ -43,25 +46,16 @@ LABELLERS = {
     "word_length": ((1.5, 16), (2.5, 10)),
 }
 #: Words below which a measure says too little: no vote.
-FEW = {"letters": 12, "symbols": 8, "capitals": 8, "distinct_words": 25, "top_word": 25, "distinct_pairs": 12, "repeats": 8, "distinct_lines": 25, "symbol_words": 8, "word_length": 20}
-#: How often a labeller votes good on bad and on good texts, before any vote is seen; and the votes that
-#: this counts as, in shares of all. A labeller may miss most bad texts, but seldom accuses good ones.
-BEFORE, STRENGTH = (0.5, 0.995), (0.02, 0.5)
-#: Weight of a good vote: labellers overlap, so many of them agree on a text that only one would catch.
-AGREE = 0.5
-#: Labellers are taken to vote good on at least this share of the good texts that they vote on.
-TRUSTED = 0.995
+FEW = {"letters": 12, "symbols": 8, "capitals": 8, "capital_words": 8, "distinct_words": 25, "top_word": 25, "distinct_pairs": 12, "repeats": 8, "distinct_lines": 25, "symbol_words": 8, "word_length": 20}
+#: How often a labeller votes good on bad and on good texts, before any vote is seen, and the number of
+#: votes that this counts as; the same for the share of good texts.
+BEFORE, SHARE, HELD = (0.5, 0.995), 0.85, 20
 NAMES = tuple(LABELLERS)
 
 
 def shape(token: str) -> str:
     """Kinds of characters in order, runs as one: `Aa,` of `Word,`."""
-    out = ""
-    for c in token[:40]:
-        kind = ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c
-        if not out.endswith(kind):
-            out += kind
-    return out[:12]
+    return "".join(k for k, _ in groupby(("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c for c in token))
 
 
 def bucket(feature: str) -> int:
@@ -79,8 +73,8 @@ class Reader:
         self.at: dict[str, int] = {}
         self.kind_of, self.word_of = array("q"), array("q")
         self.kinds: dict[tuple, int] = {}
-        #: Of each kind: characters, letters, capitals, symbols, whether it counts as a word of symbols; and its shape.
-        self.facts, self.shape_of = np.zeros((1024, 5)), np.zeros(1024, np.int64)
+        #: Of each kind: characters, letters, capitals, symbols, whether it counts as a word of symbols, of capitals; and its shape.
+        self.facts, self.shape_of = np.zeros((1024, 6)), np.zeros(1024, np.int64)
         self.shapes: dict[str, int] = {}
         self.shape_buckets: list[int] = []
 
@@ -101,10 +95,11 @@ class Reader:
             key = (len(token), len(word), word[0].isupper(), token[len(word) :])
             kind = self.kinds.get(key)
             if kind is None:
-                kind = self.kind(key, (len(token), len(word), int(word[0].isupper()), 0, 0), shape(token))
+                kind = self.kind(key, (len(token), len(word), int(word[0].isupper()), 0, 0, 0), shape(token))
         else:
             letters, symbols = sum(map(str.isalpha, token)), sum(not c.isalnum() and c not in ".,;:?'\"()-" for c in token)
-            facts = (len(token), letters, sum(map(str.isupper, token)), symbols, int(3 * symbols > len(token) or not any(map(str.isalnum, token))))
+            capitals = sum(map(str.isupper, token))
+            facts = (len(token), letters, capitals, symbols, int(3 * symbols > len(token) or not any(map(str.isalnum, token))), int(1 < letters == capitals))
             form = shape(token)
             kind = self.kinds.get((*facts, form))
             if kind is None:
@@ -125,11 +120,11 @@ class Reader:
         n = len(at)
         distinct, times = np.unique(at, return_counts=True)
         kinds = np.frombuffer(self.kind_of, np.int64)[distinct]
-        chars, letters, capitals, symbols, odd = times @ self.facts[kinds]
+        chars, letters, capitals, symbols, odd, loud = times @ self.facts[kinds]
         lines = [x for x in text.split("\n") if x.strip()]
         pairs = len(np.unique(at[1:] * (CACHE * 4) + at[:-1])) / (n - 1) if n > 1 else 1.0
         repeats = float((at[1:] == at[:-1]).mean()) if n > 1 else 0.0
-        measures = [letters / chars, symbols / chars, capitals / max(1, letters), len(distinct) / n, times.max() / n, pairs, repeats, len(set(lines)) / max(1, len(lines)), odd / n, chars / n]
+        measures = [letters / chars, symbols / chars, capitals / max(1, letters), loud / n, len(distinct) / n, times.max() / n, pairs, repeats, len(set(lines)) / max(1, len(lines)), odd / n, chars / n]
         if not self.features:
             return measures, n, np.zeros(0), np.zeros(0)
         shapes = np.bincount(self.shape_of[kinds], weights=times)
@@ -162,21 +157,19 @@ def decode(pattern: int) -> list[int]:
 class Labels:
     """The share of good texts and the labellers' rates, by expectation-maximisation over pattern counts."""
 
-    def __init__(self, counts: dict[int, int], rounds: int = 100):
+    def __init__(self, counts: dict[int, int], rounds: int = 200):
         patterns = np.array([decode(p) for p in counts], np.int64).reshape(-1, len(NAMES))
         n = np.array(list(counts.values()), np.float64)
         good, bad = (patterns == 1).astype(float), (patterns == 0).astype(float)
-        self.share, self.rates = 0.85, np.tile([[x] for x in BEFORE], len(NAMES))  # P(votes good | bad), P(votes good | good)
+        self.share, self.rates = SHARE, np.tile([[x] for x in BEFORE], len(NAMES))  # P(votes good | bad), P(votes good | good)
         for _ in range(rounds if len(n) else 0):
             weight = self._posterior(good, bad)
             for c, w in enumerate((n * (1 - weight), n * weight)):
-                held = 1 + STRENGTH[c] * n.sum()
-                self.rates[c] = (w @ good + held * BEFORE[c]) / (w @ (good + bad) + held)
-            self.rates[1] = np.maximum(self.rates[1], TRUSTED)
-            self.share = (n @ weight + 8.5) / (n.sum() + 10)
+                self.rates[c] = (w @ good + HELD * BEFORE[c]) / (w @ (good + bad) + HELD)
+            self.share = (n @ weight + HELD * SHARE) / (n.sum() + HELD)
 
     def _posterior(self, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
-        logs = [AGREE * (good @ np.log(r)) + bad @ np.log1p(-r) for r in np.clip(self.rates, 1e-4, 1 - 1e-4)]
+        logs = [good @ np.log(r) + bad @ np.log1p(-r) for r in np.clip(self.rates, 1e-4, 1 - 1e-4)]
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)) * (1 - self.share) / self.share)
 
     def posterior(self, pattern: int) -> float:
@@ -216,12 +209,12 @@ def _patterns(docs: DataFrame, fields: str, features: bool) -> DataFrame:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[Labels, np.ndarray, float]:
-    """Labels from all documents, and the scorer's weights from about `sample` of them, chosen by a hash of doc_id."""
+    """Labels from all documents, and the scorer's weights from about `sample` different ones, chosen by a hash of id and text."""
     counted = _patterns(docs, "pattern int", False).groupBy("pattern").agg(F.count("*").alias("n")).collect()
     labels = Labels({r["pattern"]: r["n"] for r in counted})
     total = sum(r["n"] for r in counted)
     rate = int(min(1.0, sample / max(1, total)) * (1 << 24))
-    chosen = docs.select("doc_id", "text").filter(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 24)) < rate)
+    chosen = docs.select("doc_id", "text").filter(F.pmod(F.xxhash64("doc_id", "text", F.lit("quality")), F.lit(1 << 24)) < rate).dropDuplicates(["doc_id", "text"])
     rows = _patterns(chosen, "pattern int, at binary, value binary", True).toPandas()
     rows = [(np.frombuffer(a, np.int32), np.frombuffer(v, np.float32).astype(np.float64), labels.posterior(p)) for p, a, v in zip(rows["pattern"], rows["at"], rows["value"], strict=True)]
     return labels, *train_scorer(rows)

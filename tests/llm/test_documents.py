@@ -145,6 +145,33 @@ def test_quality_em_finds_rates():
     assert (guess == good[:2000]).mean() > 0.97
 
 
+@pytest.mark.parametrize("share", [0.8, 0.6])
+def test_quality_em_finds_every_labellers_own_rates(share):
+    rng = np.random.default_rng(12)
+    good = rng.random(40_000) < share
+    on_good = np.array([0.6, 0.7, 0.8, 0.9, 0.95, 0.99, 0.85, 0.97, 0.9, 0.75, 0.65])  # votes good on good texts
+    on_bad = np.array([0.4, 0.1, 0.3, 0.6, 0.2, 0.5, 0.15, 0.4, 0.05, 0.3, 0.2])  # votes good on bad texts
+    vote = (rng.random((len(good), len(on_good))) < np.where(good[:, None], on_good, on_bad)).astype(int)
+    vote[rng.random(vote.shape) < 0.1] = 2
+    labels = quality.Labels(Counter(quality.code(list(v)) for v in vote))
+    assert abs(labels.share - share) < 0.03
+    assert np.abs(labels.rates[1] - on_good).max() < 0.03 and np.abs(labels.rates[0] - on_bad).max() < 0.03
+
+
+def test_quality_em_finds_the_one_bad_labeller():
+    rng = np.random.default_rng(13)
+    good = rng.random(20_000) < 0.8
+    on_good = np.array([0.8] + [0.998] * (len(quality.NAMES) - 1))
+    vote = (rng.random((len(good), len(on_good))) < np.where(good[:, None], on_good, 0.5)).astype(int)
+    labels = quality.Labels(Counter(quality.code(list(v)) for v in vote))
+    assert abs(labels.rates[1][0] - 0.8) < 0.03 and abs(labels.share - 0.8) < 0.03
+    assert np.mean([labels.posterior(quality.code(list(v))) > 0.5 for v in vote[good][:2000]]) > 0.99
+
+
+def test_quality_reads_whole_tokens():
+    assert quality.shape("Ab1,," + "x" * 100 + "9") == "Aa0,a0"
+
+
 def test_languages(docs, empty, spark):
     found = langid.with_languages(docs).collect()
     assert len(found) == len(corpus())
