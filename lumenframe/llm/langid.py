@@ -23,9 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 UNKNOWN = "und"
 PER_LANG, MAX_WORDS, MAX_GRAMS, MAX_N = 3000, 60_000, 20_000, 5
 #: Words that a prediction remembers before it starts anew.
@@ -54,18 +56,18 @@ def log_frequencies(counts: list[dict[str, int]], most: int, least: int = 1) ->
 class Model:
     """What is learned, and what it scores a text."""
 
-    def __init__(self, counts: list[tuple[str, str, int]]):
-        self.langs = sorted({lang for lang, _, _ in counts})
+    def __init__(self, counts: list[tuple[str, str, int]], of_grams: list[tuple[str, int, str, int]] | None = None):
+        """counts: language, word, times. of_grams: language, length, n-gram, times; those of the words if not given."""
+        self.langs = sorted({lang for lang, _, _ in counts} | {lang for lang, _, _, _ in of_grams or ()})
         words: list[dict[str, int]] = [{} for _ in self.langs]
         by_n = [[Counter() for _ in self.langs] for _ in range(MAX_N + 1)]
         at = {lang: i for i, lang in enumerate(self.langs)}
         for lang, word, times in counts:
-            i = at[lang]
-            words[i][word] = times
-            for n in range(1, MAX_N + 1):
-                held = by_n[n][i]
-                for gram in grams(word, n):
-                    held[gram] += times
+            words[at[lang]][word] = times
+        if of_grams is None:
+            of_grams = [(lang, n, gram, times) for lang, word, times in counts for n in range(1, MAX_N + 1) for gram in grams(word, n)]
+        for lang, n, gram, times in of_grams:
+            by_n[n][at[lang]][gram] += times
         # A word met once says less than its n-grams do.
         self.words, self.word_rows = log_frequencies(words, MAX_WORDS, least=2)
         self.grams = [log_frequencies(c, MAX_GRAMS) for c in by_n]
@@ -128,8 +130,18 @@ class Model:
         return self.langs[best], float(1 / np.exp(np.clip(sums - sums[best], -700, 0)).sum())
 
 
+def _common(counted: DataFrame, by: list[str], most: int) -> DataFrame:
+    """Of (lang, *by, key, n), the rows of keys that are among the `most` commonest of their kind in any language."""
+    order = Window.partitionBy("lang", *by).orderBy(F.col("n").desc(), "key")
+    kept = counted.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= most).select(*by, "key").distinct()
+    return counted.join(kept, [*by, "key"], "left_semi")
+
+
 def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Model:
-    """A model from text and lang of rows doc_id, text, lang; rows without either are left out."""
+    """A model from text and lang of rows doc_id, text, lang; rows without either are left out.
+
+    Words and n-grams are counted in the cluster; only those that the model keeps reach the driver.
+    """
     labelled = labelled.select("doc_id", "text", "lang").filter("text is not null and lang is not null")
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
@@ -137,9 +149,23 @@ def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Model:
     # The rate falls with a language's count: a hash below it chooses the same documents each time.
     rate = F.create_map(*(x for lang, n in counts.items() for x in (F.lit(lang), F.lit(per_lang / n))))
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.element_at(rate, F.col("lang")) * (1 << 20)
-    words = labelled.filter(chosen).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("word"))
-    rows = words.groupBy("lang", "word").agg(F.count("*").alias("n")).toPandas()
-    return Model(list(zip(rows["lang"], rows["word"], rows["n"].tolist(), strict=True)))
+    found = labelled.filter(chosen).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("key"))
+    words = materialize(found.groupBy("lang", "key").agg(F.count("*").alias("n")), "language-words")
+
+    def runs(n: int) -> Column:
+        marked = F.concat(F.lit("<"), F.col("key"), F.lit(">")) if n > 1 else F.col("key")
+        last = F.char_length(marked) - n + 1
+        return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.struct(F.lit(n).alias("size"), F.substring(marked, i, F.lit(n)).alias("gram")))).otherwise(F.array())
+
+    parts = words.select("lang", "n", F.explode(F.flatten(F.array(*map(runs, range(1, MAX_N + 1))))).alias("part"))
+    of_grams = materialize(parts.groupBy("lang", "part.size", F.col("part.gram").alias("key")).agg(F.sum("n").alias("n")), "language-grams")
+    again = words.groupBy("key").agg(F.sum("n").alias("all")).filter("all > 1").select("key")
+    kept_words = _common(words.join(again, "key", "left_semi"), [], MAX_WORDS).toPandas()
+    kept_grams = _common(of_grams, ["size"], MAX_GRAMS).toPandas()
+    return Model(
+        list(zip(kept_words["lang"], kept_words["key"], kept_words["n"].tolist(), strict=True)),
+        list(zip(kept_grams["lang"], kept_grams["size"].tolist(), kept_grams["key"], kept_grams["n"].tolist(), strict=True)),
+    )
 
 
 def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -203,6 +203,48 @@ def test_backoff_goes_to_shorter_grams():
     assert model.predict("dingen dingx")[0] == "de" and model.predict("123 !!")[0] == "und"
 
 
+def test_languages_counted_in_the_cluster_equal_plain_backoff(docs, monkeypatch):
+    """The model against plain counts, sums and logs, with bounds that cut off words and n-grams."""
+    monkeypatch.setattr(langid, "MAX_WORDS", 15)
+    monkeypatch.setattr(langid, "MAX_GRAMS", 12)
+    model = langid.train(docs)
+    counts = {}
+    for _, text, lang, *_ in corpus():
+        if text is not None and lang is not None:
+            counts.setdefault(lang, Counter()).update(re.findall(r"[^\W\d_]+", text.lower()))
+    langs = sorted(counts)
+
+    def rows(by_lang, most, least=1):
+        total = sum(by_lang.values(), Counter())
+        kept = {k for c in by_lang.values() for k in sorted((k for k in c if total[k] >= least), key=lambda k: (-c[k], k))[:most]}
+        mass = {x: sum(by_lang[x][k] for k in kept) for x in langs}
+        logs = {k: [math.log(by_lang[x][k] + 0.5) - math.log(mass[x] + 0.5 * len(kept)) for x in langs] for k in kept}
+        return {k: np.array(v) - np.mean(v) for k, v in logs.items()}
+
+    known = rows(counts, 15, 2)
+    by_n = {}
+    for n in range(1, langid.MAX_N + 1):
+        grams = {x: Counter() for x in langs}
+        for x, c in counts.items():
+            for w, k in c.items():
+                for g in langid.grams(w, n):
+                    grams[x][g] += k
+        by_n[n] = rows(grams, 12)
+
+    def word(w):
+        if w in known:
+            return known[w]
+        for n in range(langid.MAX_N, 0, -1):
+            found = [by_n[n][g] for g in langid.grams(w, n) if g in by_n[n]]
+            if found:
+                return np.mean(found, axis=0)
+        return np.zeros(len(langs))
+
+    assert model.langs == langs
+    for w in {w for c in counts.values() for w in c} | {"unseen", "haustx", "q", "漢"}:
+        assert np.allclose(model.word(w), word(w), atol=1e-4), w
+
+
 def test_packing_holds_every_id_once(docs, empty):
     from tokenizers import Tokenizer
     import public_tokenizers
