@@ -75,7 +75,7 @@ def test_pages(spark):
 
 
 def test_names_of_elements():
-    text = lambda body: html.main_text(f"<body class='has-sidebar'>{body}</body>", None)
+    text = lambda body: html.main_text(f"<body class='has-sidebar'>{body}</body>")
     assert text("<div class='content with-sidebar'><p>kept</p></div><div id='leftSidebar'>side</div>") == "kept"
     assert text("<div class='site-header'>Site</div><div class='cookie-notice'>We</div><p>kept</p><div class='ad-slot'>buy</div>") == "kept"
     assert text("<header>Site</header><article><header><h1>Title</h1></header><p>kept</p><div class='newsletter-signup'>join</div></article><section id='comments'><article>nice</article></section>") == "Title\nkept"
@@ -83,11 +83,65 @@ def test_names_of_elements():
 
 
 def test_simple_tree_matching():
-    tree = lambda s: html.folded(*html.parse(s))
+    tree = lambda s: html.parse(s)[0]
     a, b = tree("<div><p>x</p><ul><li>y</li></ul></div>"), tree("<div><h2>t</h2><p>z</p><ul><li>1</li><li>2</li></ul></div>")
     assert html.matched(a, b) == 5  # root, div, p, ul and the merged li
     assert [k.label for k in html.merge(a, b).kids[0].kids] == ["h2.", "p.", "ul."]
-    assert html.parse("&lt;b&gt; &#x41;&nbsp;B <b>c</b><br>d")[1] == [entities.unescape("&lt;b&gt; A B c d")]
+    assert [run for run, *_ in html.parse("&lt;b&gt; &#x41;&nbsp;B <b>c</b><br>d")[1]] == [entities.unescape("&lt;b&gt; A B c d")]
+
+
+def test_wrapper_decides_with_names_as_evidence(spark):
+    menu = "".join(f"<li>Entry {k}</li>" for k in range(8))
+    rows = []
+    for i in range(50):  # a constant list of eight entries, a notice among the paragraphs, boilerplate inside of main
+        rows.append((i, "https://a.example/", f"<body><ul>{menu}</ul><div><p>Text {i}</p><p>We use biscuits</p><p>More {i}</p></div></body>"))
+        rows.append((100 + i, "https://b.example/", f"<main><p>Sign here for letters</p><p>Story {i} <math><mi>x</mi></math> and <svg><text>drawn</text></svg></p></main>"))
+        rows.append((200 + i, "https://c.example/", f'<div class="social-science post-tags-free"><p>Article {i}</p></div><div class="big-share-of-page"><p>Tell friends</p><p>{i}</p></div>'))
+    rows += [(300, "https://d.example/", "<p title=don't>Hello</p><p>World it's ok</p><p>Third</p>"), (301, "https://d.example/", "<div class=\"a\"id='b' data-x=\"</p>\" hidden>no</div><p a=b/c>yes</p>")]
+    rows += [(400 + i, "https://e.example/", "<p>Same page, four times</p>") for i in range(4)]
+    found = {r.page_id: r.text for r in html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    for i in range(50):
+        assert found[i] == f"Text {i}\nMore {i}"
+        assert found[100 + i] == f"Story {i} x and drawn"
+        assert found[200 + i] == f"Article {i}\n{i}"
+    assert found[300] == "Hello\nWorld it's ok\nThird" and found[301] == "yes"
+    assert {found[400 + i] for i in range(4)} == {"Same page, four times"}
+
+
+def test_pages_of_any_depth_and_width(spark):
+    import time
+
+    deep = "<div>" * 10_000 + "deep" + "</div>" * 9_000 + "<p>more"
+    wide = "".join(f"<h2>a{k}</h2><p>b{k}</p>" for k in range(4_000))
+    odd = "".join(f"<div class='x{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}'>c{k}</div>" for k in range(2_000))
+    rows = [(1, "https://a.example/", deep), (2, "https://a.example/", deep + " tail"), (3, "https://b.example/", wide), (4, "https://b.example/", "<p>first</p>" + wide), (5, "https://c.example/", odd), (6, "https://c.example/", odd[len(odd) // 2 :] + odd[: len(odd) // 2])]
+    began = time.time()
+    found = {r.page_id: r.text for r in html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()}
+    assert time.time() - began < 60
+    assert found[1] == "deep\nmore" and found[2] == "deep\nmore tail" and found[3].count("\n") == 7_999 and found[4].startswith("first\na0\nb0")
+    assert found[5].count("\n") == 1_999
+
+
+def test_tree_matching_equals_brute_force():
+    rng = random.Random(4)
+
+    def tree(depth):
+        node = html.Node(rng.choice("ab"))
+        node.kids = [tree(depth - 1) for _ in range(rng.randint(0, 3))] if depth else []
+        return node
+
+    def brute(a, b):
+        if a.label != b.label:
+            return 0
+        best = [[0] * (len(b.kids) + 1) for _ in range(len(a.kids) + 1)]
+        for i, x in enumerate(a.kids):
+            for j, y in enumerate(b.kids):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + brute(x, y))
+        return 1 + best[-1][-1]
+
+    for _ in range(300):
+        a, b = tree(3), tree(3)
+        assert html.matched(a, b) == brute(a, b)
 
 
 def test_nearest(spark):
