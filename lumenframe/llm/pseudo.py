@@ -39,7 +39,9 @@ VOCABULARY, BUCKETS, SPAN = 4096, 512, 2
 ALONE, KNOWN, UNKNOWN = 32, 24, 8
 #: Sizes of embedding and hidden layer.
 EMBED, HIDDEN = 16, 32
-ROUNDS, STEP, RATE = 2, 512, 0.1
+ROUNDS, RATE = 2, 0.1
+#: Words in a step of training, at first and at last.
+STEPS = 256, 2048
 #: Words whose counts are sent to all tasks; the counts of others are joined.
 NEAR = 65_536
 #: Distinct words that a partition counts before it passes them on; tokens scored at once.
@@ -52,19 +54,30 @@ def counted(docs: DataFrame) -> DataFrame:
     """(word, n): hashes of all words of all texts, and how often they come."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Words of chunks wait until they are as many as those counted, so each is merged a few times only.
+        words, times, waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+
+        def merge() -> None:
+            nonlocal words, times, waiting
+            if waiting:
+                found, counts = (np.concatenate([x, *(w[k] for w in waiting)]) for k, x in enumerate((words, times)))
+                by_word = np.argsort(found)
+                found, counts = found[by_word], counts[by_word]
+                begins = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, np.int64)
+                words, times, waiting = found[begins], np.add.reduceat(counts, begins) if len(begins) else counts, []
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(words), pa.array(times)], names=["word", "n"])
 
         for batch in batches:
             for _, texts in chunks(batch.column("text").to_pylist()):
-                new, n = np.unique(word_hashes(texts)[0].astype(np.int64), return_counts=True)
-                words, at = np.unique(np.concatenate([words, new]), return_inverse=True)
-                times = np.bincount(at, np.concatenate([times, n]), minlength=len(words)).astype(np.int64)
+                waiting.append(np.unique(word_hashes(texts)[0].astype(np.int64), return_counts=True))
+                if sum(len(w) for w, _ in waiting) > max(HELD // 4, len(words)):
+                    merge()
                 if len(words) > HELD:
                     yield out()
                     words, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        merge()
         yield out()
 
     return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -147,15 +160,23 @@ class Network:
             at += p.size
         return self
 
-    def train(self, ids: np.ndarray, at: np.ndarray, target: np.ndarray, squares: list[np.ndarray], seed: int) -> None:
-        """One pass over the words at `at`, in random order, with adaptive steps. Words are columns, so sums over classes run along memory."""
+    def train(self, ids: np.ndarray, at: np.ndarray, target: np.ndarray, squares: list[np.ndarray], seed: int, seen: int = 0) -> None:
+        """One pass over the words at `at`, in random order, with adaptive steps, after `seen` words before.
+
+        Steps grow with the words seen. Words are columns, so that sums over classes run along memory.
+        """
         order = np.random.default_rng(seed).permutation(len(at))
-        at, target = at[order], target[order]
-        for begin in range(0, len(order), STEP):
-            around = ids[at[begin : begin + STEP, None] + OFFSETS]
-            n = len(around)
-            embed, first, shift, second, bias = self.parts
-            x = embed[around].reshape(n, -1)
+        at, target, ids = at[order], target[order], ids.astype(np.uint16)
+        embed, first, shift, second, bias = self.parts
+        x_held, sorted_held = np.empty((STEPS[1] * len(OFFSETS), EMBED), np.float32), np.empty((STEPS[1] * len(OFFSETS), EMBED), np.float32)
+        begin = 0
+        while begin < len(order):
+            step = min(STEPS[1], max(STEPS[0], 1 << ((seen + begin) // 64).bit_length()))
+            around = ids[at[begin : begin + step, None] + OFFSETS].ravel()
+            own = target[begin : begin + step]
+            begin += step
+            n, scale = len(own), np.float32(1 / len(own))
+            x = np.take(embed, around, axis=0, out=x_held[: len(around)], mode="clip").reshape(n, -1)
             hidden = first.T @ x.T
             hidden += shift[:, None]
             np.tanh(hidden, out=hidden)
@@ -163,24 +184,26 @@ class Network:
             share += bias[:, None]
             share -= share.max(axis=0)
             np.exp(share, out=share)
-            share /= share.sum(axis=0)
-            share[target[begin : begin + STEP], np.arange(n)] -= 1
-            share /= n
+            share *= 1 / share.sum(axis=0)
+            share[own, np.arange(n)] -= 1
             back = second @ share
             back *= 1 - hidden * hidden
-            slopes = [(back @ x).T, back.sum(axis=1), hidden @ share.T, share.sum(axis=1)]
+            slopes = [(back @ x).T * scale, back.sum(axis=1) * scale, hidden @ share.T * scale, share.sum(axis=1) * scale]
+            to_embed = (back.T @ first.T).reshape(-1, EMBED)
             for part, slope, square in zip(self.parts[1:], slopes, squares[1:], strict=True):
                 square += slope * slope
                 part -= RATE * slope / np.sqrt(square)
             # Ids have 16 bits, which sort in linear time.
-            flat = around.ravel().astype(np.uint16)
-            by_id = np.argsort(flat, kind="stable")
-            flat = flat[by_id]
-            begins = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
-            rows, slope = flat[begins], np.add.reduceat((back.T @ first.T).reshape(-1, EMBED)[by_id], begins, axis=0)
+            by_id = np.argsort(around, kind="stable")
+            around = around[by_id]
+            begins = np.flatnonzero(np.append(True, around[1:] != around[:-1]))
+            rows = around[begins]
+            slope = np.add.reduceat(np.take(to_embed, by_id, axis=0, out=sorted_held[: len(by_id)], mode="clip"), begins, axis=0) * scale
             square = squares[0][rows] + slope * slope
             squares[0][rows] = square
-            embed[rows] -= RATE * slope / np.sqrt(square)
+            slope /= np.sqrt(square, out=square)
+            slope *= np.float32(RATE)
+            embed[rows] -= slope
 
     def squares(self) -> list[np.ndarray]:
         return [np.full(p.shape, 1e-4, np.float32) for p in self.parts]
@@ -291,7 +314,7 @@ def trained(texts: DataFrame, vocabulary: Vocabulary) -> Network:
                 cuts = np.append(np.unique(np.searchsorted(begins, np.arange(0, begins[-1], TRAINED))), len(begins) - 1)
                 for a, b in zip(cuts, cuts[1:], strict=False):
                     ids, at = vocabulary.spaced(values[begins[a] : begins[b]], begins[a : b + 1] - begins[a])
-                    network.train(ids, at, vocabulary.cls[ids[at]], squares, turn * 1000 + seen % 997)
+                    network.train(ids, at, vocabulary.cls[ids[at]], squares, turn * 1000 + seen % 997, seen)
                     seen += len(at)
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([float(seen)]), pa.array([network.flat().tobytes()], pa.binary())], names=["part", "weight", "flat"])
