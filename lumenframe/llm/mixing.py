@@ -31,10 +31,11 @@ SEED = "mix-1"
 BITS, PER_BUCKET = 52, 1000
 
 
-def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size and u, a seeded number of BITS bits."""
+def sized(docs: DataFrame, seed: str = SEED, rows: bool = False) -> DataFrame:
+    """doc_id, source, size and u, a seeded number of BITS bits; and the whole row, if asked for."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.conv(F.substring(digest, 1, BITS // 4), 16, 10).cast("long").alias("u"))
+    row = [F.struct(*docs.columns).alias("row")] if rows else []
+    return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.conv(F.substring(digest, 1, BITS // 4), 16, 10).cast("long").alias("u"), *row)
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, total: float = TOTAL, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -57,9 +58,9 @@ def targets(sizes: DataFrame, weights=WEIGHTS, total: float = TOTAL, max_epochs:
     return levelled.select("source", "source_size", F.when(F.col("clamped"), F.col("cap").cast("double")).otherwise(F.col("weight") * level).alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """Per row of docs: doc_id, source, size, source_size, target, taken. Sums of taken meet round(target)."""
-    base = materialize(sized(docs, seed), "mix-sizes")
+def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, max_epochs: int = MAX_EPOCHS, seed: str = SEED, rows: bool = False) -> DataFrame:
+    """Per row of docs: doc_id, source, size, source_size, target, taken, and the row itself if asked for. Sums of taken meet round(target)."""
+    base = materialize(sized(docs, seed, rows), "mix-sizes")
     sources = materialize(targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, total, max_epochs), "mix-targets")
     buckets = 1 << min(20, (base.count() // PER_BUCKET).bit_length())
     bucket = F.shiftright("u", BITS - buckets.bit_length() + 1)
@@ -76,16 +77,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, max_epochs: int
     order = Window.partitionBy("source").orderBy("u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     room = F.col("rest") - F.col("before") - F.coalesce(F.sum("size").over(order), F.lit(0))
     ranked = placed.filter("bucket = cut").withColumn("room", room).withColumn("taken", repeated + F.greatest(F.lit(0), F.least("room", "size"))).drop("room")
-    return sure.unionByName(ranked).select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+    return sure.unionByName(ranked).select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), *(["row"] if rows else []))
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The mix as rows of documents: a document comes as often as taken / size rounds to."""
-    taken = mix(docs, **how)
-    # Rows with equal ids have equal shares up to the cut; the most of them stands for all.
-    times = taken.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.expr("cast(round(try_divide(taken, size)) as int)")).alias("times")).filter("times > 0")
-    rows = docs.select(F.col("doc_id").alias("key"), F.struct(*docs.columns).alias("row"))
-    found = rows.join(times, F.col("key").eqNullSafe(F.col("id")))
+    """The mix as rows of documents: a document comes as often as taken / size rounds to. Rows with equal ids have shares of their own."""
+    times = F.expr("cast(round(try_divide(taken, size)) as int)")
+    found = mix(docs, rows=True, **how).select("row", times.alias("times")).filter("times > 0")
     return found.select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 

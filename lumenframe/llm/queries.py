@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +54,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # a script at the repository's top, which need not be on the path for the other queries
+
     return corpus_pipeline.run(spark, sf_dir)
 
 
@@ -69,5 +70,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op1_jaccard_join": jaccard.SQL, "op7_format_chats": chat.SQL, "op10_mix_sources": mixing.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
-    return {k: v for k, v in found.items() if v is not None}
+    return {"op1_jaccard_join": jaccard.SQL, "op7_format_chats": chat.SQL, "op10_mix_sources": mixing.SQL}

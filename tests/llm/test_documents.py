@@ -424,6 +424,15 @@ def test_mixing_over_many_buckets(docs, monkeypatch):
     assert sorted(map(str, mixing.mix(docs).collect())) == once
 
 
+def test_mixed_documents_with_repeated_ids_meet_targets(spark):
+    rows = [(1, " ".join(f"w{k}" for k in range(100)) + f" v{i}", "en", f"s{i % 3}", 0) for i in range(15)] + [(None, "one two three", "en", "s0", 0)] * 5
+    sizes, total, target = plain_mix(rows)
+    taken = Counter()
+    for r in mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")).collect():
+        taken[r.source] += len(words(r.text))
+    assert all(abs(taken[s] - target[s]) <= 101 for s in total)
+
+
 def test_pseudo_likelihood(docs, empty, spark):
     rows = {r.doc_id: r for r in pseudo.score(docs).collect()}
     for i, t, *_ in corpus():
