@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import safe_divide
+from .relational import PER_BUCKET, even_buckets, running
 
 
 def thresholded(calls: DataFrame, keep: Column) -> DataFrame:
@@ -124,19 +125,15 @@ def observability(curves: DataFrame, n_points: int = 51) -> DataFrame:
     return grid.select((F.col("point") / (n_points - 1)).alias("prec"), F.coalesce(F.sum("n").over(down), F.lit(0)).alias("n_classes"))
 
 
-def running_fdr(calls: DataFrame, n_buckets: int = 1000) -> DataFrame:
+def running_fdr(calls: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
     """Adds n_above, fdr and truth_fdr: shares of decoys, and of wrong calls, among calls with at least this rank by score.
 
-    calls has is_decoy. Ranks go by score, then row_i. Buckets of scores are summed first; windows run
-    in a bucket and over one row a bucket, so no task sorts all calls.
+    calls has is_decoy. Ranks go by score, then row_i. Sums go by even buckets of that order first, so no
+    task sorts all calls, nor all calls of one score.
     """
-    bucketed = calls.withColumn("bucket", F.floor(F.col("score") * n_buckets).cast("int"))
     wrong, decoy = (F.col("pred_i") != F.col("true_i")).cast("int"), F.col("is_decoy").cast("int")
-    sums = bucketed.groupBy("bucket").agg(F.count("*").alias("b_n"), F.sum(decoy).alias("b_decoys"), F.sum(wrong).alias("b_wrong"))
-    above = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("bucket", *(F.coalesce(F.sum(c).over(above), F.lit(0)).alias(c) for c in ("b_n", "b_decoys", "b_wrong")))
-    inside = Window.partitionBy("bucket").orderBy(F.col("score").desc(), "row_i").rowsBetween(Window.unboundedPreceding, 0)
-    runs = bucketed.join(sums, "bucket").withColumn("n_above", F.col("b_n") + F.count("*").over(inside)).withColumn("decoys", F.col("b_decoys") + F.sum(decoy).over(inside)).withColumn("wrongs", F.col("b_wrong") + F.sum(wrong).over(inside))
+    bucket = even_buckets(calls, F.struct((-F.col("score")).alias("s"), F.col("row_i").alias("r")), per_bucket)
+    runs = running(calls, [F.col("score").desc(), F.col("row_i")], {"n_above": F.lit(1).cast("long"), "decoys": decoy, "wrongs": wrong}, bucket, upto=0)
     return runs.select(*calls.columns, "n_above", (F.col("decoys") / F.col("n_above")).alias("fdr"), (F.col("wrongs") / F.col("n_above")).alias("truth_fdr"), safe_divide(F.col("decoys"), F.col("wrongs")).alias("p_wrong_is_decoy"))
 
 
@@ -172,3 +169,103 @@ def top_two(classes: str, scores: str) -> tuple[Column, Column]:
     order = F.array_sort(F.zip_with(classes, scores, lambda c, s: F.struct((-s).alias("neg"), c.alias("class"))))
     pick = lambda i: F.struct((-F.get(order, F.lit(i))["neg"]).alias("score"), F.get(order, F.lit(i))["class"].alias("class"))
     return pick(0), pick(1)
+
+
+def kept(calls: DataFrame, keep: Column) -> DataFrame:
+    """The row filter: rows outside of the mask, or for which it is null, are gone."""
+    return calls.filter(keep)
+
+
+def called_peptides(calls: DataFrame, peps: DataFrame, at: float = 0.0) -> DataFrame:
+    """Rows of peps (class_i, ...) that were called at least once with this score: distinct first, then joined."""
+    called = calls.filter((F.col("score") >= at) & (F.col("pred_i") != 0)).select(F.col("pred_i").alias("class_i")).distinct()
+    return peps.join(called, "class_i", "left_semi")
+
+
+def peptide_report(peps: DataFrame, strings: DataFrame, flus: DataFrame, abundance: DataFrame | None = None) -> DataFrame:
+    """peps (class_i, ...) with their sequence (class_i, seqstr), whether its second residue is proline, pattern (class_i, flustr) and abundance, 0 if unknown."""
+    out = peps.join(strings, "class_i", "left").join(flus, "class_i", "left").withColumn("p2", F.coalesce(F.substring("seqstr", 2, 1) == "P", F.lit(False)))
+    return out if abundance is None else out.join(abundance, "class_i", "left").na.fill(0.0, ["abundance"])
+
+
+def pr_with_abundance(calls: DataFrame, abundance: DataFrame, recalls: DataFrame, n_steps: int = 50) -> DataFrame:
+    """(class_i, step, threshold, prec, recall): curves of counts that are scaled by their true class's abundance and cut to whole numbers at every threshold.
+
+    abundance: (class_i, abundance); recalls: (class_i, pep_recall). Calls below a threshold count as class 0.
+    """
+    step = F.least(F.greatest(F.lit(1), F.ceil(F.round((1 - F.col("score")) * n_steps, 7))), F.lit(n_steps)).cast("int")
+    # Cells of the confusion matrix by first step, then running sums by cell: no plan holds calls times thresholds.
+    cells = calls.filter("pred_i <> 0").groupBy("pred_i", "true_i", step.alias("step")).agg(F.count("*").alias("n"))
+    grid = cells.select("pred_i", "true_i").distinct().withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(n_steps))))
+    upto = Window.partitionBy("pred_i", "true_i").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    runs = grid.join(cells, ["pred_i", "true_i", "step"], "left").na.fill(0, ["n"]).withColumn("n", F.sum("n").over(upto))
+    scaled = scaled_by_abundance(runs, abundance)
+    by_pred = scaled.groupBy(F.col("pred_i").alias("class_i"), "step").agg(F.sum("n").alias("n_pred"), F.sum(F.when(F.col("pred_i") == F.col("true_i"), F.col("n")).otherwise(0)).alias("hits"))
+    totals = scaled_by_abundance(calls.groupBy("true_i").agg(F.count("*").alias("n")), abundance).select(F.col("true_i").alias("class_i"), F.col("n").alias("n_true"))
+    rows = by_pred.join(totals, "class_i").join(recalls, "class_i", "left")
+    recall = safe_divide(F.col("hits"), F.col("n_true")) * F.coalesce("pep_recall", F.lit(1.0))
+    return rows.select("class_i", "step", (1 - F.col("step") / n_steps).alias("threshold"), safe_divide(F.col("hits"), F.col("n_pred")).alias("prec"), recall.alias("recall"))
+
+
+def exact_curve(scores: DataFrame) -> DataFrame:
+    """(class_i, score, prec, recall) at every distinct score: scores has (class_i, score, is_true), a row a read and class."""
+    by = scores.groupBy("class_i", "score").agg(F.count("*").alias("n"), F.sum(F.col("is_true").cast("long")).alias("hits"))
+    down = Window.partitionBy("class_i").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    runs = by.withColumn("n", F.sum("n").over(down)).withColumn("hits", F.sum("hits").over(down))
+    total = scores.groupBy("class_i").agg(F.sum(F.col("is_true").cast("long")).alias("n_true"))
+    return runs.join(total, "class_i").select("class_i", "score", (F.col("hits") / F.col("n")).alias("prec"), safe_divide(F.col("hits"), F.col("n_true")).alias("recall"))
+
+
+def last_recall_above(curves: DataFrame, precision: float) -> DataFrame:
+    """(class_i, recall) at the last step whose precision is above the bound; 0 if there is none."""
+    best = curves.groupBy("class_i").agg(F.max(F.when(F.col("prec") > precision, F.struct("step", "recall"))).alias("b"))
+    return best.select("class_i", F.coalesce("b.recall", F.lit(0.0)).alias("recall"))
+
+
+def site_calls(calls: DataFrame, sites: DataFrame) -> DataFrame:
+    """Calls whose true or called peptide has a site: score is the product with the runner-up's; sites: (class_i, site). One row a call and site."""
+    both = calls.select("row_i", "true_i", "pred_i", (F.col("score") * F.col("runnerup_score")).alias("score"), F.explode(F.array_distinct(F.array("true_i", "pred_i"))).alias("class_i"))
+    return both.join(sites, "class_i").select("row_i", "true_i", "pred_i", "score", "site").distinct()
+
+
+def before_and_after(calls: DataFrame, at: float, class_i: int) -> DataFrame:
+    """(when, n, n_correct, prec, recall) of one class without a threshold and with it."""
+    out = []
+    for when, threshold in (("before", None), ("after", at)):
+        out.append(precision_recall(confusion(calls, threshold)).filter(F.col("class_i") == class_i).select(F.lit(when).alias("when"), F.col("n_pred").alias("n"), "n_correct", "prec", "recall"))
+    return out[0].unionByName(out[1])
+
+
+def across_runs(runs: dict[str, DataFrame]) -> DataFrame:
+    """Calls of several runs, stacked with the run's name."""
+    out = None
+    for name, calls in runs.items():
+        tagged = calls.withColumn("run", F.lit(name))
+        out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
+    return out
+
+
+def breakout_curves(calls: DataFrame, recalls: DataFrame, classes: DataFrame, subset: str = "all", most: int = 50, n_steps: int = 50) -> DataFrame:
+    """Curves of the classes that are of interest ("poi"), have sites ("ptm") or all, of the `most` with most true calls; classes: (class_i, is_poi, n_ptms)."""
+    wanted = {"all": F.lit(True), "poi": F.col("is_poi"), "ptm": F.col("n_ptms") > 0}[subset]
+    counts = calls.groupBy(F.col("true_i").alias("class_i")).agg(F.count("*").alias("n"))
+    chosen = classes.filter(wanted).join(counts, "class_i").orderBy(F.col("n").desc(), "class_i").limit(most).select("class_i")
+    return pr_curves(calls, recalls, n_steps).join(F.broadcast(chosen), "class_i", "left_semi")
+
+
+def score_counts(calls: DataFrame, labels: DataFrame, at: float = 0.0) -> DataFrame:
+    """(row, label, n): calls of at least this score by class, with the label of the class's row from 1; labels: (row, label)."""
+    counts = calls.filter((F.col("score") >= at) & (F.col("pred_i") > 0)).groupBy(F.col("pred_i").alias("row")).agg(F.count("*").alias("n"))
+    return labels.join(counts, "row", "left").na.fill(0, ["n"])
+
+
+def canonical_peptides(seqs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(dyeseq, pep_i, n): the first peptide and the number of peptides of each dye sequence; and (pep_i, canonical_i). seqs: (pep_i, dyeseq)."""
+    lit = seqs.filter("dyeseq is not null and dyeseq <> ''")
+    first = lit.groupBy("dyeseq").agg(F.min("pep_i").alias("pep_i"), F.count("*").alias("n"))
+    return first, lit.join(first.select("dyeseq", F.col("pep_i").alias("canonical_i")), "dyeseq").select("pep_i", "canonical_i")
+
+
+def passing(radmats: DataFrame, filters: DataFrame, key: str = "row_i") -> DataFrame:
+    """Rows whose filter row says pass_all, before they are classified."""
+    return radmats.join(filters.filter("pass_all").select(key), key, "left_semi")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 
@@ -37,16 +37,52 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(of), F.substring("aa", 1, 1) == F.col("_aa"), "left").drop("_aa")
 
 
-def dense_ids(rows: DataFrame, group: str, within: str, name: str) -> DataFrame:
-    """Contiguous numbers from 0 over (group, within), groups in order: counts by group, offsets, then the place in the group.
+#: Rows in a bucket of an order on average, and buckets at most.
+PER_BUCKET, MOST_BUCKETS = 500_000, 512
 
-    Only the group table, one row a group, is ordered as a whole.
+
+def even_buckets(rows: DataFrame, key: Column, per_bucket: int = PER_BUCKET) -> Column:
+    """A number that rises with the key, for about per_bucket rows each: how many of a sample's keys are at most the key.
+
+    The sample is a bounded number of keys with the least hashes; equal keys share a bucket, null is before all.
+    """
+    n = min(MOST_BUCKETS, rows.count() // per_bucket)
+    if not n:
+        return F.lit(0)
+    picked = rows.select(key.alias("k")).filter("k is not null").orderBy(F.xxhash64("k")).limit(16 * n)
+    cuts = picked.groupBy().agg(F.array_sort(F.collect_list("k")).alias("k")).select(F.filter("k", lambda _, i: i % 16 == 8).alias("k")).first()["k"]
+    kind = rows.select(key.alias("k")).schema["k"].dataType
+    fixed = [(F.struct(*map(F.lit, c)) if isinstance(c, Row) else F.lit(c)).cast(kind) for c in cuts]
+    return F.when(key.isNull(), F.lit(0)).otherwise(F.size(F.filter(F.array(*fixed), lambda c: c <= key)) + 1) if fixed else F.lit(0)
+
+
+def running(rows: DataFrame, order: list[Column], amounts: dict[str, Column], bucket: Column, upto: int = -1) -> DataFrame:
+    """rows with running sums of amounts in an order that rises with the bucket: sums by bucket first, then in each bucket.
+
+    upto: -1 leaves the row itself out, 0 takes it in. No window holds more than a bucket, or one row a bucket.
     """
-    sizes = rows.groupBy(group).agg(F.count("*").alias("_size"))
-    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(group, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    placed = rows.withColumn("_bucket", bucket)
+    sums = placed.groupBy("_bucket").agg(*(F.sum(x).alias(f"_sum_{name}") for name, x in amounts.items()))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_bucket", *(F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_before_{name}") for name in amounts))
+    inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
+    joined = placed.join(F.broadcast(sums), "_bucket")
+    for name, x in amounts.items():
+        joined = joined.withColumn(name, F.col(f"_before_{name}") + F.coalesce(F.sum(x).over(inside), F.lit(0)))
+    return joined.drop("_bucket", *(f"_before_{name}" for name in amounts))
+
+
+def numbered(rows: DataFrame, key: str, name: str, per_bucket: int = PER_BUCKET) -> DataFrame:
+    """Contiguous numbers from 0 in the order of a key without repeats; null first."""
+    return running(rows, [F.col(key).asc_nulls_first()], {name: F.lit(1).cast("long")}, even_buckets(rows, F.col(key), per_bucket))
+
+
+def dense_ids(rows: DataFrame, group: str, within: str, name: str, per_bucket: int = PER_BUCKET) -> DataFrame:
+    """Contiguous numbers from 0 over (group, within), groups in order, null first: sizes of groups, their running sums, then the place in the group."""
+    sizes = rows.groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("_size"))
+    offsets = running(sizes, [F.col("_group").asc_nulls_first()], {"_offset": F.col("_size")}, even_buckets(sizes, F.col("_group"), per_bucket)).select("_group", "_offset")
     place = F.row_number().over(Window.partitionBy(group).orderBy(within)) - 1
-    return rows.join(offsets, group).withColumn(name, F.col("_offset") + place).drop("_offset")
+    return rows.join(offsets, F.col(group).eqNullSafe(F.col("_group"))).withColumn(name, F.col("_offset") + place).drop("_offset", "_group")
 
 
 def completed(rows: DataFrame, key: str, n: int, fill: dict[str, object]) -> DataFrame:
@@ -83,7 +119,11 @@ def duplicates(rows: DataFrame, key: str) -> DataFrame:
 
 def histograms_joined(left: DataFrame, right: DataFrame, key: str, n: str) -> DataFrame:
     """(key, p, q): two histograms as shares, 0 for a missing side."""
-    share = lambda h, name: h.select(key, (F.col(n) / F.sum(n).over(Window.partitionBy())).alias(name))
+
+    def share(h: DataFrame, name: str) -> DataFrame:
+        total = h.agg(F.sum(n).alias("_total"))  # one row
+        return h.join(F.broadcast(total)).select(key, (F.col(n) / F.col("_total")).alias(name))
+
     return share(left, "p").join(share(right, "q"), key, "full_outer").na.fill(0.0)
 
 
@@ -107,11 +147,12 @@ def transitions(counts: DataFrame) -> DataFrame:
 def unlike_proteins(calls: DataFrame, flus: DataFrame) -> DataFrame:
     """(pro_i, others): other proteins that share a labelled pattern, as an ordered comma list. flus: (pro_i, flustr).
 
-    An equi-join on the pattern, with patterns of one protein left out before.
+    An equi-join on the pattern of called proteins with all, with patterns of one protein left out before.
     """
+    called = calls.select("pro_i").distinct()
     distinct = flus.select("pro_i", "flustr").distinct()
     shared = distinct.groupBy("flustr").agg(F.min("pro_i").alias("_a"), F.max("pro_i").alias("_b")).filter("_a < _b").select("flustr")
     few = distinct.join(shared, "flustr")
-    pairs = few.join(few.withColumnRenamed("pro_i", "other"), "flustr").filter("pro_i <> other").select("pro_i", "other").distinct()
+    pairs = few.join(called, "pro_i", "left_semi").join(few.withColumnRenamed("pro_i", "other"), "flustr").filter("pro_i <> other").select("pro_i", "other").distinct()
     lists = pairs.groupBy("pro_i").agg(F.array_join(F.transform(F.array_sort(F.collect_list("other")), lambda x: x.cast("string")), ",").alias("others"))
-    return calls.select("pro_i").distinct().join(lists, "pro_i", "left").na.fill("", ["others"])
+    return called.join(lists, "pro_i", "left").na.fill("", ["others"])

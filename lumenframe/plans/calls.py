@@ -152,10 +152,10 @@ def area_under_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.area(one, "recall", "prec", "step").select(F.round("auc", 9).alias("auc"))
 
 
-@query("""WITH e AS (SELECT vec_id, list_transform(embedding[1:6], lambda x: CAST(x AS DOUBLE)) AS s FROM embeddings), u AS (SELECT vec_id, unnest(s) AS score, generate_subscripts(s, 1) AS class_i FROM e),
+@query("""WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS s FROM embeddings), u AS (SELECT vec_id, unnest(s) AS score, generate_subscripts(s, 1) AS class_i FROM e),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, class_i) AS k FROM u)
 SELECT a.vec_id, a.class_i AS pred_i, a.score, b.class_i AS runnerup_i, b.score AS runnerup_score FROM r a JOIN r b USING (vec_id) WHERE a.k = 1 AND b.k = 2""")
 def winner_and_runner_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.slice(F.col("embedding").cast("array<double>"), 1, 6).alias("s"), F.array(*(F.lit(i) for i in range(1, 7))).alias("c"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("s"), F.sequence(F.lit(1), F.size("embedding")).alias("c"))
     first, second = evaluate.top_two("c", "s")
     return rows.select("vec_id", first["class"].alias("pred_i"), first["score"].alias("score"), second["class"].alias("runnerup_i"), second["score"].alias("runnerup_score"))

@@ -16,8 +16,8 @@ JOB = workflow.Job(labels=["DE", "R"], n_cycles=5, n_samples=20)
 
 def named_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct names of parts as proteins, digested after K."""
-    names = table(spark, sf_dir, "part").filter("p_name is not null").select("p_name").distinct().withColumn("one", F.lit(0))
-    return workflow.digested(relational.dense_ids(names, "one", "p_name", "pro_i").select("pro_i", seq.letters(F.col("p_name")).alias("tokens")), JOB)
+    names = table(spark, sf_dir, "part").filter("p_name is not null").select("p_name").distinct()
+    return workflow.digested(relational.numbered(names, "p_name", "pro_i").select("pro_i", seq.letters(F.col("p_name")).alias("tokens")), JOB)
 
 
 @query()

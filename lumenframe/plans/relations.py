@@ -102,10 +102,10 @@ def fields_and_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "o_orderkey", "l_linenumber", "n_lines", "c_mktsegment")
 
 
-TRACKS = "tracks AS (SELECT vec_id AS dyt_i, list_transform(embedding[1:8], lambda x: CAST(round(CAST(x AS DOUBLE) * 8) AS DOUBLE)) AS vec FROM embeddings WHERE label < 3)"
+TRACKS = "tracks AS (SELECT vec_id AS dyt_i, list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) * 8) AS DOUBLE)) AS vec FROM embeddings)"
 
 
-@query(f"""WITH {TRACKS}, p AS (SELECT a.dyt_i, b.dyt_i AS other_i, list_sum(list_transform(range(1, 9), lambda i: abs(a.vec[i] - b.vec[i]))) AS d FROM tracks a JOIN tracks b ON a.dyt_i <> b.dyt_i),
+@query(f"""WITH {TRACKS}, p AS (SELECT a.dyt_i, b.dyt_i AS other_i, list_sum(list_transform(range(1, len(a.vec) + 1), lambda i: abs(a.vec[i] - b.vec[i]))) AS d FROM tracks a JOIN tracks b ON a.dyt_i <> b.dyt_i),
 near AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY dyt_i ORDER BY d, other_i) <= 10),
 c AS (SELECT dyt_i, dyt_i % 30 AS pep_i, 5 + dyt_i % 7 AS n FROM tracks UNION ALL SELECT dyt_i, (dyt_i + 1) % 30, 1 + dyt_i % 4 FROM tracks),
 own AS (SELECT dyt_i, pep_i AS own FROM c QUALIFY row_number() OVER (PARTITION BY dyt_i ORDER BY n DESC, pep_i) = 1),
@@ -113,8 +113,8 @@ r AS (SELECT c.pep_i, c.dyt_i, c.n, o.own = c.pep_i AS mine, list(1 - exp(-0.8 *
 t AS (SELECT pep_i, n, coalesce(list_product(ps), 1) AS product, mine FROM r)
 SELECT pep_i, round(sum(n * CASE WHEN mine THEN product ELSE 1 - product END) / sum(n), 9) AS score FROM t GROUP BY 1""")
 def knn_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tracks are rounded vectors of three labels; peptides share them."""
-    tracks = table(spark, sf_dir, "embeddings").filter("label < 3").select(F.col("vec_id").alias("dyt_i"), F.transform(F.slice("embedding", 1, 8), lambda x: F.round(x.cast("double") * 8)).alias("vec"))
+    """Tracks are whole rounded vectors; peptides share them."""
+    tracks = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("dyt_i"), F.transform("embedding", lambda x: F.round(x.cast("double") * 8)).alias("vec"))
     one = tracks.select("dyt_i", (F.col("dyt_i") % 30).alias("pep_i"), (5 + F.col("dyt_i") % 7).alias("n"))
     two = tracks.select("dyt_i", ((F.col("dyt_i") + 1) % 30).alias("pep_i"), (1 + F.col("dyt_i") % 4).alias("n"))
     reads = one.unionByName(two)

@@ -94,7 +94,7 @@ def simulated(peps: DataFrame, job: Job) -> tuple[DataFrame, simulate.Chemistry]
 def surveyed(peps: DataFrame, job: Job, k: int = 10) -> DataFrame:
     """(pep_i, score): isolation of each peptide among all simulated tracks."""
     found, _ = simulated(peps, job)
-    tracks = relational.dense_ids(found.filter("n > 0").select("dyt").distinct().withColumn("_one", F.lit(0)), "_one", "dyt", "dyt_i").select("dyt_i", "dyt")
+    tracks = relational.numbered(found.filter("n > 0").select("dyt").distinct(), "dyt", "dyt_i").select("dyt_i", "dyt")
     counts = found.filter("n > 0").join(tracks, "dyt").select("dyt_i", "pep_i", "n")
     near = survey.nearest_tracks(tracks.select("dyt_i", F.col("dyt").cast("array<double>").alias("vec")), k)
     return survey.isolation(counts, near, relational.most_likely(counts))

@@ -5,7 +5,7 @@ import gzip
 import numpy as np
 import pytest
 from lumenframe.functions import arrays, seq
-from lumenframe.operators import fit, generators, images, radiometry, relational, sampling, simulate, steps
+from lumenframe.operators import evaluate, fit, generators, images, radiometry, relational, sampling, simulate, steps, survey
 from lumenframe.plans import workflow
 from lumenframe.sources import frames, results, tables
 from lumenframe.streaming import calls as streamed
@@ -88,6 +88,54 @@ def test_steps():
     assert steps.borders(np.zeros(3)) == [0, 3] and steps.borders(np.full(20, 5.0)) == [0, 20]
 
 
+def test_steps_of_several_regions():
+    rng = np.random.default_rng(1)
+    trace = np.concatenate([np.full(12, 9000.0), np.full(9, 2000.0), np.full(15, 6000.0), np.full(8, 500.0)]) + rng.normal(0, 60, 44)
+    cut = steps.borders(trace)
+    assert len(cut) == 5 and all(abs(a - b) <= 1 for a, b in zip(cut, [0, 12, 21, 36, 44], strict=True))
+    assert steps.borders(np.arange(5.0) * 5000) == [0, 5]
+
+
+def test_region_tables(spark):
+    traces = spark.createDataFrame([(1, 0, [9000.0, 9010.0, 8990.0, 9020.0, 1000.0, 1010.0, 990.0, 1005.0]), (2, 0, [5.0] * 8)], "peak_i long, channel_i int, trace array<double>")
+    regions = steps.step_regions(traces)
+    assert [(r.cycle_i, r.region_i) for r in steps.region_of_cycle(regions).filter("peak_i = 1").orderBy("cycle_i").collect()] == [(i, int(i >= 4)) for i in range(8)]
+    assert {r.peak_i: len(r["values"]) for r in steps.region_matrix(regions).collect()} == {1: 2, 2: 1}
+    r = steps.region_report(regions).first()
+    assert (r.n_traces, r.n_regions, r.n_rises) == (2, 3, 0)
+
+
+def test_numbers_over_many_buckets(spark):
+    rows = spark.createDataFrame([(f"k{i * 37 % 1000:04d}",) for i in range(1000)] + [(None,)], "k string").repartition(5)
+    found = {r.k: r.n for r in relational.numbered(rows, "k", "n", per_bucket=60).collect()}
+    assert found == {None: 0} | {f"k{i:04d}": i + 1 for i in range(1000)}
+    pairs = spark.createDataFrame([(None if g == 0 else g, i) for g in range(40) for i in range(g % 5 + 1)], "g long, i long")
+    found = sorted((r.n, r.g or 0, r.i) for r in relational.dense_ids(pairs, "g", "i", "n", per_bucket=3).collect())
+    assert [(g, i) for _, g, i in found] == [(g, i) for g in range(40) for i in range(g % 5 + 1)] and [n for n, *_ in found] == list(range(len(found)))
+    arrays_ = spark.createDataFrame([([i // 10, i % 10],) for i in range(100)], "v array<int>")
+    assert all(r.n == r.v[0] * 10 + r.v[1] for r in relational.numbered(arrays_, "v", "n", per_bucket=9).collect())
+
+
+@pytest.mark.parametrize("distance", ["l1", "l2"])
+def test_nearest_tracks_equal_brute_force(spark, distance):
+    rng = np.random.default_rng(3)
+    vecs = np.concatenate([rng.integers(0, 3, (150, 6)), np.zeros((5, 6)), rng.integers(20, 60, (45, 6))]).astype(float)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "dyt_i long, vec array<double>")
+    found = {}
+    for r in survey.nearest_tracks(rows, 4, distance, block=20).collect():
+        found.setdefault(r.dyt_i, []).append((r.d, r.other_i))
+    for i, v in enumerate(vecs):
+        d = np.abs(vecs - v).sum(axis=1) if distance == "l1" else np.sqrt(((vecs - v) ** 2).sum(axis=1))
+        expected = sorted((float(d[j]), j) for j in range(len(vecs)) if j != i)[:4]
+        assert [j for _, j in sorted(found[i])] == [j for _, j in expected] and np.allclose([x for x, _ in sorted(found[i])], [x for x, _ in expected])
+
+
+def test_running_fdr_with_one_score(spark):
+    rows = spark.createDataFrame([(i, 1, 1 + i % 3 % 2, 1.0, i % 4 == 0) for i in range(200)], "row_i long, true_i int, pred_i int, score double, is_decoy boolean")
+    found = sorted((r.row_i, r.n_above, r.fdr) for r in evaluate.running_fdr(rows, per_bucket=11).collect())
+    assert all(n == i + 1 and abs(f - (i // 4 + 1) / (i + 1)) < 1e-12 for i, n, f in found)
+
+
 def test_simulation_without_failures():
     chem = simulate.Chemistry(cycles=(0, 2, 2, 2), p_bright=(1.0, 1.0), p_bleach=(0.0, 0.0), p_cyclic_block=0, p_initial_block=0, p_detach=0, p_edman_failure=0)
     out = simulate.simulate_peptide(np.array([0, -1, 1, 0]), 3, chem, np.random.default_rng(0))
