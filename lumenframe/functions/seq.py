@@ -23,17 +23,27 @@ ENZYMES: dict[str, list[tuple[bool, str]]] = {
 }
 
 
-def tokenize(text: Column, depth: int = 4) -> Column:
-    """Residues of a sequence: comments in parentheses (nested to `depth`) and white space go, `X[mod]` is one token.
+def without_comments(text: Column) -> Column:
+    """Text outside of parentheses of any depth; unchanged if they have no partner, so that it is no legal sequence.
+
+    Marks are split off first, then one pass over the parts keeps count of the depth.
+    """
+    parts = F.split(text, r"(?<=[()])|(?=[()])")
+    state = lambda depth, out: F.struct(depth.alias("depth"), out.alias("out"))
+    step = lambda a, x: F.when(x == "(", state(a["depth"] + 1, a["out"])).when(x == ")", state(F.when(a["depth"] > 0, a["depth"] - 1).otherwise(F.lit(1_000_000)), a["out"])).when(a["depth"] == 0, state(a["depth"], F.concat(a["out"], x))).otherwise(a)
+    found = F.aggregate(parts, state(F.lit(0), F.lit("")), step)
+    return F.when(~text.contains("(") & ~text.contains(")"), text).when(found["depth"] == 0, found["out"]).otherwise(text)
+
+
+def tokenize(text: Column) -> Column:
+    """Residues of a sequence: comments in parentheses and white space go, `X[mod]` is one token.
 
     Null gives null. Other characters raise an error, as do brackets without a partner.
     """
-    clean = text
-    for _ in range(depth):
-        clean = F.regexp_replace(clean, r"\([^()]*\)", "")
+    clean = without_comments(text)
     clean = F.regexp_replace(clean, r"\s+(?![^\[]*\])", "")
     tokens = F.transform(F.regexp_extract_all(clean, F.lit(r"([A-Za-z0-9.](?:\[[^\[\]]*\])?)")), lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, F.lit(2), F.char_length(t))))
-    legal = clean.rlike(r"^(?:[A-Za-z0-9.](?:\[[^\[\]]*\])?)*$")
+    legal = F.regexp_replace(clean, r"[A-Za-z0-9.](?:\[[^\[\]]*\])?", "") == ""
     return F.when(text.isNull(), None).when(legal, tokens).otherwise(F.raise_error(F.concat(F.lit("not a residue sequence: "), F.substring(text, 1, 80))).cast("array<string>"))
 
 
@@ -42,6 +52,83 @@ def letters(text: Column) -> Column:
     return F.filter(F.split(F.upper(F.regexp_replace(text, "[^A-Za-z]", "")), ""), lambda c: c != "")
 
 
+def letter_text(text: Column) -> Column:
+    """The same as one string, for sequences without modifications: far quicker to cut and count."""
+    return F.upper(F.regexp_replace(text, "[^A-Za-z]", ""))
+
+
+def cut_pattern(*enzymes: str) -> str:
+    """A pattern that matches between the letters where any of the enzymes cuts: a rule that cuts matches, and no later one that doesn't."""
+    ways = []
+    for enzyme in enzymes:
+        rules = [(cut, _around(rule)) for cut, rule in ENZYMES[enzyme]]
+        for i, (cut, here) in enumerate(rules):
+            if cut:
+                ways.append(here + "".join(f"(?!{later})" for keep, later in rules[i + 1 :] if not keep))
+    return f"(?:{'|'.join(ways)})(?<=.)(?=.)"
+
+
+def _around(rule: str) -> str:
+    before, after = ([x.strip() for x in side.split(",")] for side in rule.split(";"))
+    behind, ahead = ("".join(f"[{x}]" if x else "." for x in side) for side in (before if any(before) else [], after if any(after) else []))
+    return (f"(?<={behind})" if behind else "") + (f"(?={ahead})" if ahead else "")
+
+
+def cut_text(text: Column, *enzymes: str) -> Column:
+    """Pieces of a letter text between the cuts of all enzymes; none of an empty text."""
+    whole = F.split(text, cut_pattern(*enzymes)) if enzymes else F.array(text)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(whole)
+
+
+def stops(pieces: Column) -> Column:
+    """Where each piece ends: running sums of lengths."""
+    return F.aggregate(pieces, F.array().cast("array<int>"), lambda a, x: F.concat(a, F.array(F.coalesce(F.element_at(F.when(F.size(a) > 0, a).otherwise(F.array(F.lit(0))), -1), F.lit(0)) + F.char_length(x))))
+
+
+def held_text(text: Column, residues: str) -> Column:
+    """How many letters are among the residues."""
+    return F.char_length(text) - F.char_length(F.translate(text, residues, ""))
+
+
+def flu_text(text: Column, labels: list[str], n_cycles: int) -> Column:
+    """flu() of a letter text."""
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    shown = "".join(next((str(i) for i, residues in enumerate(labels) if c in residues), ".") for c in alphabet)
+    tail = F.substring(text, F.lit(n_cycles + 1), F.char_length(text))
+    counts = [F.least(F.lit(99), held_text(tail, residues)).cast("string") for residues in labels]
+    return F.concat(F.rpad(F.translate(F.substring(text, 1, n_cycles), alphabet, shown), n_cycles, " "), F.lit(" ;"), F.concat_ws(",", *counts))
+
+
+def flu_text_counts(text: Column, labels: list[str], n_cycles: int) -> dict[str, Column]:
+    """flu_counts() of a letter text."""
+    head, tail = F.substring(text, 1, n_cycles), F.substring(text, F.lit(n_cycles + 1), F.char_length(text))
+    every, by = "".join(labels), [held_text(text, r) for r in labels]
+    return {"n_head_all_ch": held_text(head, every), "n_tail_all_ch": held_text(tail, every), "n_dyes_all_ch": held_text(text, every), "n_dyes_max_any_ch": F.greatest(*by) if len(by) > 1 else by[0]}
+
+
+def dyeseq(text: Column, labels: list[str]) -> Column:
+    """The pattern over a whole peptide without what follows its last label; empty if it has none."""
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    shown = "".join(next((str(i) for i, residues in enumerate(labels) if c in residues), ".") for c in alphabet)
+    return F.regexp_replace(F.translate(text, alphabet, shown), r"\.+$", "")
+
+
+def is_symbol(text: Column) -> Column:
+    """Whether a text is a name: a letter or underscore, then letters, digits and underscores."""
+    return F.coalesce(text.rlike(r"^[A-Za-z_][A-Za-z0-9_]*$"), F.lit(False))
+
+
+def as_symbol(text: Column) -> Column:
+    """A text as a name: other characters become underscores, a leading digit gets one before it."""
+    clean = F.regexp_replace(text, r"[^A-Za-z0-9_]", "_")
+    return F.when(clean.rlike(r"^[0-9]"), F.concat(F.lit("_"), clean)).otherwise(clean)
+
+
+def shuffled(tokens: Column, *keys: Column, seed: int = 1) -> Column:
+    """The same residues in an order that depends on seed and keys alone."""
+    return F.transform(F.array_sort(F.transform(tokens, lambda t, i: F.struct(F.xxhash64(F.lit(seed), *keys, i).alias("u"), i.alias("i"), t.alias("t")))), lambda x: x["t"])
+
+
 def join_tokens(tokens: Column) -> Column:
     return F.array_join(tokens, "")
 

@@ -114,13 +114,23 @@ def filtered(survey: DataFrame, *, poi_only: bool = False, max_pep_len: int = -1
     return out.filter(~F.col("p2")) if no_proline_2 else out
 
 
-def coverage(peps: DataFrame, lengths: DataFrame) -> DataFrame:
+def coverage(peps: DataFrame) -> DataFrame:
     """(pro_i, coverage): share of a protein's residues in peptides whose pattern no other peptide has.
 
-    peps: (pro_i, pep_len, flustr); lengths: (pro_i, pro_len).
+    peps: (pro_i, pro_len, pep_len, flustr), all peptides of a digest, which don't overlap. Proteins are told from the same pass.
     """
-    unique = peps.groupBy("flustr").agg(F.count("*").alias("flu_count"), F.min("pro_i").alias("pro_i"), F.min("pep_len").alias("pep_len")).filter("flu_count = 1")
-    held = unique.groupBy("pro_i").agg(F.sum("pep_len").alias("held"))
+    by = peps.groupBy("flustr").agg(F.count("*").alias("flu_count"), F.min("pro_i").alias("pro_i"), F.min("pep_len").alias("pep_len"))
+    held = by.filter("flu_count = 1").groupBy("pro_i").agg(F.sum("pep_len").alias("held"))
+    lengths = peps.groupBy("pro_i").agg(F.max("pro_len").alias("pro_len"))
+    return lengths.join(held, "pro_i", "left").select("pro_i", (F.coalesce("held", F.lit(0)) / F.col("pro_len")).alias("coverage"))
+
+
+def coverage_of_spans(spans: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(pro_i, coverage): share of residues that lie in any of the spans (pro_i, start, stop), which may overlap: spans that meet are merged first."""
+    order = Window.partitionBy("pro_i").orderBy("start", "stop")
+    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.greatest(F.lit(0), F.col("stop") - F.greatest(F.col("start"), F.coalesce(reach, F.col("start"))))
+    held = spans.withColumn("new", new).groupBy("pro_i").agg(F.sum("new").alias("held"))
     return lengths.join(held, "pro_i", "left").select("pro_i", (F.coalesce("held", F.lit(0)) / F.col("pro_len")).alias("coverage"))
 
 

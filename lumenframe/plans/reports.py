@@ -9,7 +9,7 @@ from ..functions import seq
 from ..functions.arrays import safe_divide
 from .calls import CALLS, calls
 from .registry import query, table
-from .sequences import FLU, PEPS, flus, peptides
+from .sequences import FLU, PEPS, flus, placed
 
 
 @query(f"""WITH {CALLS}, cuts AS (SELECT unnest(range(1, 11)) AS cut), classes AS (SELECT DISTINCT true_i AS class_i FROM calls),
@@ -75,7 +75,7 @@ def calibration_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {PEPS} SELECT doc_id, pep_in_pro, pep_stop - pep_start AS pep_len, coalesce(pep[2] = 'P', false) AS p2, pep_start, md5(pep) AS digest FROM spans""")
 def survey_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return peptides(spark, sf_dir, "lysc").select(F.col("pro_i").alias("doc_id"), "pep_in_pro", (F.col("pep_stop") - F.col("pep_start")).alias("pep_len"), seq.is_proline_second(F.col("pep")).alias("p2"), "pep_start", F.md5(seq.join_tokens(F.col("pep"))).alias("digest"))
+    return placed(spark, sf_dir, "lysc").select(F.col("pro_i").alias("doc_id"), "pep_in_pro", F.char_length("pep").alias("pep_len"), (F.substring("pep", 2, 1) == "P").alias("p2"), "pep_start", F.md5("pep").alias("digest"))
 
 
 @query(f"WITH {FLU}, c AS (SELECT flustr, count(DISTINCT (doc_id, pep_in_pro)) AS n_peps FROM flus GROUP BY 1) SELECT flustr, n_peps FROM c ORDER BY n_peps DESC, flustr LIMIT 10")
@@ -87,7 +87,7 @@ def peptides_per_flu(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {FLU}, c AS (SELECT doc_id, flustr, count(*) OVER (PARTITION BY flustr) AS k, n FROM flus)
 SELECT count(*) FILTER (k = 1) AS n_unique, round(CAST(coalesce(sum(n) FILTER (k = 1), 0) AS DOUBLE) / sum(n), 9) AS coverage, max(n) AS longest FROM c""")
 def survey_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    peps = flus(spark, sf_dir).groupBy("flustr").agg(F.count("*").alias("k"), F.sum(F.size("pep")).alias("n"), F.max(F.size("pep")).alias("longest"))
+    peps = flus(spark, sf_dir).groupBy("flustr").agg(F.count("*").alias("k"), F.sum(F.char_length("pep")).alias("n"), F.max(F.char_length("pep")).alias("longest"))
     return peps.agg(F.count_if(F.col("k") == 1).alias("n_unique"), F.round(F.coalesce(F.sum(F.when(F.col("k") == 1, F.col("n"))), F.lit(0)) / F.sum("n"), 9).alias("coverage"), F.max("longest").alias("longest"))
 
 

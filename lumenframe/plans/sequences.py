@@ -25,34 +25,44 @@ FLU = f"""{PEPS}, flus AS (SELECT doc_id, pep_in_pro, pep, length(pep) AS n,
 
 
 def proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(pro_i, tokens)."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pro_i"), seq.letters(F.coalesce("text", F.lit(""))).alias("tokens"))
+    """(pro_i, seq), a letter text."""
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pro_i"), seq.letter_text(F.coalesce("text", F.lit(""))).alias("seq"))
 
 
 def peptides(spark: SparkSession, sf_dir: str, *enzymes: str) -> DataFrame:
-    return relational.peptides(proteins(spark, sf_dir), seq.fragments(F.col("tokens"), *enzymes))
+    """(pro_i, pro_len, pep_in_pro, pep), a letter text."""
+    cut = proteins(spark, sf_dir).select("pro_i", F.char_length("seq").alias("pro_len"), seq.cut_text(F.col("seq"), *enzymes).alias("pieces"))
+    return cut.select("pro_i", "pro_len", F.posexplode("pieces").alias("pep_in_pro", "pep"))
+
+
+def placed(spark: SparkSession, sf_dir: str, *enzymes: str) -> DataFrame:
+    """(pro_i, pep_in_pro, pep_start, pep_stop, pep)."""
+    cut = proteins(spark, sf_dir).select("pro_i", seq.cut_text(F.col("seq"), *enzymes).alias("pieces")).withColumn("stops", seq.stops(F.col("pieces")))
+    rows = cut.select("pro_i", F.posexplode(F.arrays_zip("pieces", "stops")).alias("pep_in_pro", "p"))
+    return rows.select("pro_i", "pep_in_pro", (F.col("p.stops") - F.char_length("p.pieces")).alias("pep_start"), F.col("p.stops").alias("pep_stop"), F.col("p.pieces").alias("pep"))
 
 
 def flus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Peptides of the lysc digest with their labelled patterns."""
     peps = peptides(spark, sf_dir, "lysc")
-    return peps.withColumn("flustr", seq.flu(F.col("pep"), LABELS, CYCLES)).withColumns(seq.flu_counts(F.col("pep"), LABELS, CYCLES))
+    return peps.withColumn("flustr", seq.flu_text(F.col("pep"), LABELS, CYCLES)).withColumns(seq.flu_text_counts(F.col("pep"), LABELS, CYCLES))
 
 
 @query(f"WITH {SEQ} SELECT doc_id, length(s) AS n_residues, md5(s) AS digest FROM seq")
 def seq_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return proteins(spark, sf_dir).select(F.col("pro_i").alias("doc_id"), F.size("tokens").cast("long").alias("n_residues"), F.md5(seq.join_tokens(F.col("tokens"))).alias("digest"))
+    """Texts with their other characters left out are sequences; tokenising gives a residue a letter."""
+    tokens = proteins(spark, sf_dir).withColumn("tokens", seq.tokenize(F.col("seq")))
+    return tokens.select(F.col("pro_i").alias("doc_id"), F.size("tokens").cast("long").alias("n_residues"), F.md5(seq.join_tokens(F.col("tokens"))).alias("digest"))
 
 
 @query(f"WITH {SEQ}, r AS (SELECT unnest(string_split(s, '')) AS aa FROM seq WHERE s <> '') SELECT aa, count(*) AS n FROM r GROUP BY aa")
 def seq_residue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return proteins(spark, sf_dir).select(F.explode("tokens").alias("aa")).groupBy("aa").agg(F.count("*").alias("n"))
+    return proteins(spark, sf_dir).filter("seq <> ''").select(F.explode(F.split("seq", "")).alias("aa")).filter("aa <> ''").groupBy("aa").agg(F.count("*").alias("n"))
 
 
 def _digest(spark: SparkSession, sf_dir: str, *enzymes: str) -> DataFrame:
-    pieces = proteins(spark, sf_dir).withColumn("spans", seq.fragments(F.col("tokens"), *enzymes))
-    joined = F.array_join(F.transform("spans", lambda x: seq.join_tokens(seq.piece(F.col("tokens"), x))), "|")
-    return pieces.select(F.col("pro_i").alias("doc_id"), F.size("spans").cast("long").alias("n_pieces"), F.md5(joined).alias("digest"))
+    pieces = proteins(spark, sf_dir).withColumn("pieces", seq.cut_text(F.col("seq"), *enzymes))
+    return pieces.select(F.col("pro_i").alias("doc_id"), F.size("pieces").cast("long").alias("n_pieces"), F.md5(F.array_join("pieces", "|")).alias("digest"))
 
 
 @query(f"WITH {LYSC} SELECT doc_id, len(f) AS n_pieces, md5(array_to_string(f, '|')) AS digest FROM cut")
@@ -83,8 +93,9 @@ SELECT doc_id, n, list_filter(range(2, n + 1), lambda i: CASE
   WHEN l[i-1] IN ('K', 'R') THEN true ELSE false END) AS c FROM l)
 SELECT doc_id, CASE WHEN n = 0 THEN 0 ELSE len(c) + 1 END AS n_pieces, CAST(coalesce(list_sum(list_transform(c, lambda i: i - 1)), 0) AS BIGINT) AS site_sum FROM cuts""")
 def seq_cleave_trypsin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = proteins(spark, sf_dir).withColumn("spans", seq.fragments(F.col("tokens"), "trypsin"))
-    return pieces.select(F.col("pro_i").alias("doc_id"), F.size("spans").cast("long").alias("n_pieces"), F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["start"]).alias("site_sum"))
+    pieces = proteins(spark, sf_dir).select("pro_i", F.char_length("seq").alias("n"), seq.cut_text(F.col("seq"), "trypsin").alias("pieces")).withColumn("stops", seq.stops(F.col("pieces")))
+    total = F.aggregate("stops", F.lit(0).cast("long"), lambda a, x: a + x)
+    return pieces.select(F.col("pro_i").alias("doc_id"), F.size("pieces").cast("long").alias("n_pieces"), (total - F.col("n")).alias("site_sum"))
 
 
 @query(f"""WITH {SEQ}, d AS (SELECT doc_id, s, length(s) AS n FROM seq)
@@ -93,21 +104,21 @@ SELECT 'rev-' || doc_id AS pro_id, true AS is_decoy, md5(reverse(s)) AS digest,
 UNION ALL SELECT CAST(doc_id AS VARCHAR), false, md5(s), (1 + doc_id % 7) || ';' || (9 + doc_id % 11) FROM d""")
 def seq_decoys(spark: SparkSession, sf_dir: str) -> DataFrame:
     pros = proteins(spark, sf_dir).withColumn("sites", F.concat_ws(";", (1 + F.col("pro_i") % 7).cast("string"), (9 + F.col("pro_i") % 11).cast("string")))
-    decoys = pros.select(F.concat(F.lit("rev-"), F.col("pro_i")).alias("pro_id"), F.lit(True).alias("is_decoy"), F.md5(seq.join_tokens(F.reverse("tokens"))).alias("digest"), seq.mirrored_sites(F.col("sites"), F.size("tokens")).alias("sites"))
-    reals = pros.select(F.col("pro_i").cast("string").alias("pro_id"), F.lit(False).alias("is_decoy"), F.md5(seq.join_tokens(F.col("tokens"))).alias("digest"), "sites")
+    decoys = pros.select(F.concat(F.lit("rev-"), F.col("pro_i")).alias("pro_id"), F.lit(True).alias("is_decoy"), F.md5(F.reverse("seq")).alias("digest"), seq.mirrored_sites(F.col("sites"), F.char_length("seq")).alias("sites"))
+    reals = pros.select(F.col("pro_i").cast("string").alias("pro_id"), F.lit(False).alias("is_decoy"), F.md5("seq").alias("digest"), "sites")
     return relational.with_others(reals, decoys)
 
 
 @query(f"WITH {PEPS} SELECT doc_id, pep_in_pro, pep_start, pep_stop, row_number() OVER (ORDER BY doc_id, pep_in_pro) - 1 AS pep_i FROM spans")
 def peptide_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = peptides(spark, sf_dir, "lysc").select(F.col("pro_i").alias("doc_id"), "pep_in_pro", "pep_start", "pep_stop")
+    rows = placed(spark, sf_dir, "lysc").drop("pep").withColumnRenamed("pro_i", "doc_id")
     return relational.dense_ids(rows, "doc_id", "pep_in_pro", "pep_i")
 
 
 @query(f"""WITH {PEPS}, sited AS (SELECT doc_id, pep_in_pro, pep_start, pep_stop, unnest([1 + doc_id % 7, 9 + doc_id % 11, 30 + doc_id % 17]) AS site FROM spans)
 SELECT doc_id, pep_in_pro, site - pep_start AS site_in_pep FROM sited WHERE site > pep_start AND site <= pep_stop""")
 def ptm_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    peps = peptides(spark, sf_dir, "lysc").withColumn("sites", F.concat_ws(";", (1 + F.col("pro_i") % 7).cast("string"), (9 + F.col("pro_i") % 11).cast("string"), (30 + F.col("pro_i") % 17).cast("string")))
+    peps = placed(spark, sf_dir, "lysc").withColumn("sites", F.concat_ws(";", (1 + F.col("pro_i") % 7).cast("string"), (9 + F.col("pro_i") % 11).cast("string"), (30 + F.col("pro_i") % 17).cast("string")))
     return peps.select(F.col("pro_i").alias("doc_id"), "pep_in_pro", F.explode(seq.sites_in(F.col("sites"), F.col("pep_start"), F.col("pep_stop"))).alias("site_in_pep"))
 
 
@@ -134,14 +145,13 @@ def flu_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {FLU}, c AS (SELECT *, count(*) OVER (PARTITION BY flustr) AS flu_count FROM flus)
 SELECT doc_id, CAST(coalesce(sum(n) FILTER (flu_count = 1), 0) AS DOUBLE) / sum(n) AS coverage FROM c GROUP BY doc_id""")
 def protein_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    peps = flus(spark, sf_dir).select("pro_i", F.size("pep").alias("pep_len"), "flustr")
-    lengths = proteins(spark, sf_dir).select("pro_i", F.size("tokens").alias("pro_len")).filter("pro_len > 0")
-    return survey.coverage(peps, lengths).select(F.col("pro_i").alias("doc_id"), "coverage")
+    peps = flus(spark, sf_dir).select("pro_i", "pro_len", F.char_length("pep").alias("pep_len"), "flustr")
+    return survey.coverage(peps).select(F.col("pro_i").alias("doc_id"), "coverage")
 
 
 @query(f"WITH {PEPS} SELECT doc_id, CAST(count(*) FILTER (pep[2] = 'P') AS BIGINT) AS n_proline FROM spans GROUP BY doc_id")
 def proline_second(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return peptides(spark, sf_dir, "lysc").groupBy(F.col("pro_i").alias("doc_id")).agg(F.count_if(seq.is_proline_second(F.col("pep"))).alias("n_proline"))
+    return peptides(spark, sf_dir, "lysc").groupBy(F.col("pro_i").alias("doc_id")).agg(F.count_if(F.substring("pep", 2, 1) == "P").alias("n_proline"))
 
 
 @query("""WITH r AS (SELECT p_partkey, unnest(string_split(upper(regexp_replace(p_name, '[^A-Za-z]', '', 'g')), '')) AS aa FROM part),

@@ -19,7 +19,10 @@ def one(spark, column, **values):
 def test_tokens(spark):
     tok = lambda s: one(spark, seq.tokenize(F.col("s")), s=s)
     assert tok("ab (note (inner)) C[ph]d.") == ["A", "B", "C[ph]", "D", "."]
-    assert tok("") == []
+    assert tok("") == [] and tok("A(((((((deep)))))))B(x)(y)C") == ["A", "B", "C"]
+    for wrong in ("A(b", "A)b(", "A(b))"):
+        with pytest.raises(Exception, match="not a residue sequence"):
+            tok(wrong)
     with pytest.raises(Exception, match="not a residue sequence"):
         tok("A-B")
     with pytest.raises(Exception, match="not a residue sequence"):
@@ -36,6 +39,24 @@ def test_cleavage(spark, enzyme, text, pieces):
     assert got == pieces
 
 
+def test_letter_texts_cut_and_count_as_tokens_do(spark):
+    import random
+
+    rng = random.Random(2)
+    texts = ["", "K", "KP", "RRHKD"] + ["".join(rng.choice("KRPWMCDHYEAK") for _ in range(rng.randint(1, 60))) for _ in range(150)]
+    rows = spark.createDataFrame([(t,) for t in texts], "s string").withColumn("t", seq.letters(F.col("s")))
+    for enzymes in [(name,) for name in seq.ENZYMES] + [("trypsin", "aspn"), ()]:
+        old = F.transform(seq.fragments(F.col("t"), *enzymes), lambda x: seq.join_tokens(seq.piece(F.col("t"), x)))
+        assert rows.filter(~old.eqNullSafe(seq.cut_text(F.col("s"), *enzymes))).count() == 0, enzymes
+    same = seq.flu(F.col("t"), ["DE", "Y"], 8) == seq.flu_text(F.col("s"), ["DE", "Y"], 8)
+    for name, count in seq.flu_counts(F.col("t"), ["DE", "Y"], 8).items():
+        same &= count == seq.flu_text_counts(F.col("s"), ["DE", "Y"], 8)[name]
+    assert rows.filter(~same).count() == 0
+    assert one(spark, seq.stops(F.col("t")), t=["ab", "c", "def"]) == [2, 3, 6] and one(spark, seq.dyeseq(F.lit("ADYKA"), ["D", "Y"])) == ".01"
+    assert one(spark, F.array_sort(seq.shuffled(F.col("t"), F.lit(3))), t=["B", "A", "C"]) == ["A", "B", "C"]
+    assert one(spark, seq.as_symbol(F.lit("9 a-b"))) == "_9_a_b" and one(spark, seq.is_symbol(F.lit("9a"))) is False
+
+
 def test_labels_and_sites(spark):
     assert one(spark, seq.flu(F.col("t"), ["DE", "Y"], 4), t=list("ADYEED")) == ".010 ;2,0"
     assert one(spark, seq.flu(F.col("t"), ["DE"], 4), t=list("D")) == "0    ;0"
