@@ -8,7 +8,8 @@ query. Queries reach the shards in blocks, so no task holds all of them.
 
 Cases: vectors that are null, zero or hold a null or non-finite component take no part, nor do rows
 with a null id; vectors of another length than a query's aren't its candidates; a query's own id is no
-candidate, even if it repeats; a query with fewer candidates gets all of them; an empty table gives
+candidate, even if it repeats; a query with fewer candidates gets all of them;
+finite components of any size are scaled before they are squared; an empty table gives
 no rows; extra columns are ignored.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 #: Neighbours returned; points in a shard and queries in a block on average.
-K, SHARD, BLOCK = 5, 12_000, 4000
+K, SHARD, BLOCK = 5, 12_000, 20_000
 #: Links of a point above the ground level (twice as many there), and points kept while building and searching.
 M, EF_BUILD, EF = 16, 64, 160
 
@@ -135,8 +136,8 @@ def _saved(graph: Graph, **more: np.ndarray) -> bytes:
 def _loaded(blob: bytes) -> tuple[Graph, dict[str, np.ndarray]]:
     data = dict(np.load(io.BytesIO(blob)))
     graph = Graph.__new__(Graph)
-    vectors = data["vectors"].astype(np.float64)
-    graph.unit = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+    vectors = data["vectors"]
+    graph.unit = _unit(vectors)
     graph.level = data["level"]
     graph.links = [data[f"links{h}"] for h in range(int(graph.level.max()) + 1)]
     graph.slot = [np.cumsum(graph.level >= h) - 1 for h in range(len(graph.links))]
@@ -144,9 +145,13 @@ def _loaded(blob: bytes) -> tuple[Graph, dict[str, np.ndarray]]:
     return graph, data
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    values = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(column), -1)
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times the power of two that brings its largest component near one: exact, and no sum of squares overflows or vanishes."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))[1])
+
+
+def _unit(scaled: np.ndarray) -> np.ndarray:
+    return (scaled / np.linalg.norm(scaled, axis=-1, keepdims=True)).astype(np.float32)
 
 
 def points(vectors: DataFrame, k: int) -> DataFrame:
@@ -174,10 +179,9 @@ def nearest(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int = K) ->
     dealt = known.withColumn("size", F.length("vector")).withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)))
 
     def build(group: pa.Table) -> pa.Table:
-        vectors = np.stack([np.frombuffer(x) for x in group.column("vector").to_pylist()])
-        unit = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+        vectors = _scaled(np.stack([np.frombuffer(x) for x in group.column("vector").to_pylist()]))
         ids = group.column("ids").combine_chunks()
-        blob = _saved(Graph(unit), vectors=vectors, ids=ids.flatten().to_numpy(), at=np.asarray(ids.offsets) - ids.offsets[0].as_py())
+        blob = _saved(Graph(_unit(vectors)), vectors=vectors, ids=ids.flatten().to_numpy(), at=np.asarray(ids.offsets) - ids.offsets[0].as_py())
         return pa.table({"size": group.column("size")[:1], "shard": group.column("shard")[:1], "index": pa.array([blob], pa.binary())})
 
     indexes = materialize(dealt.groupBy("size", "shard").applyInArrow(build, "size int, shard long, index binary"), "graphs")
@@ -194,10 +198,9 @@ def nearest(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int = K) ->
         vectors, ids, at = data["vectors"], data["ids"], data["at"]
         norms = np.linalg.norm(vectors, axis=1)
         out: list[list] = [[], [], []]
-        for q in asked:
-            norm = np.linalg.norm(q)
-            found = np.array(graph.search((q / norm).astype(np.float32), EF))
-            score = np.clip((vectors[found] * q).sum(axis=1) / (norms[found] * norm), -1, 1)
+        for q, scaled in zip(asked, _scaled(asked), strict=True):
+            found = np.array(graph.search(_unit(scaled), EF))
+            score = np.clip((vectors[found] * scaled).sum(axis=1) / (norms[found] * np.linalg.norm(scaled)), -1, 1)
             best = heapq.nsmallest(k + 1, ((-float(s), i) for s, f in zip(score, found, strict=True) for i in ids[at[f] : at[f + 1]].tolist()))
             out[0] += [q.tobytes()] * len(best)
             out[1] += [i for _, i in best]

@@ -167,6 +167,18 @@ def test_nearest(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def test_nearest_with_huge_and_tiny_components(spark):
+    rows = [(0, [1e200, 2e200]), (1, [1.0, 2.0]), (2, [1e-200, 3e-200]), (3, [-5e-324, 0.0]), (4, [1e308, -1e308]), (50, [2.0, 4.0])]
+    found = {}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    small = {0: (1, 2), 1: (1, 2), 2: (1, 3), 3: (-1, 0), 4: (1, -1), 50: (1, 2)}
+    cosine = lambda a, b: (a[0] * b[0] + a[1] * b[1]) / math.sqrt((a[0] ** 2 + a[1] ** 2) * (b[0] ** 2 + b[1] ** 2))
+    for q in (0, 50):
+        expected = sorted((-round(cosine(small[q], v), 9), i) for i, v in small.items() if i != q)
+        assert [(-round(s, 9), i) for _, i, s in sorted(found[q])] == expected
+
+
 def test_nearest_over_many_shards(spark, monkeypatch):
     monkeypatch.setattr(ann, "SHARD", 60)
     monkeypatch.setattr(ann, "BLOCK", 3)
