@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .relational import numbered
+
 PRE, MOCK, EDMAN = 0, 1, 2
 
 
@@ -124,12 +126,61 @@ def track_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("dyt").agg(F.sum("n").alias("n"))
 
 
+def numbered_tracks(found: DataFrame) -> DataFrame:
+    """(dyt_i, dyt): distinct tracks in lexical order, so the dark one is 0; it is there even if no read was dark."""
+    size = F.size("dyt")
+    dark = found.select(F.array_repeat(F.lit(0), size).alias("dyt")).limit(1)
+    return numbered(found.select("dyt").unionByName(dark.select(F.col("dyt").cast("array<int>").alias("dyt"))).distinct(), "dyt", "dyt_i")
+
+
+def by_peptide(counts: DataFrame) -> DataFrame:
+    """Counts (dyt_i, pep_i, n) in the order of peptides, most reads first."""
+    return counts.orderBy("pep_i", F.col("n").desc(), "dyt_i")
+
+
+def redrawn(counts: DataFrame, n: int, seed: int = 1) -> DataFrame:
+    """(dyt_i, pep_i, n): exactly n reads of each peptide with any, drawn anew in proportion to its counts.
+
+    One multinomial draw a peptide, which depends on seed and peptide alone; tracks without a read go.
+    """
+
+    def draw(group: pa.Table) -> pa.Table:
+        group = group.sort_by("dyt_i")
+        pep, times = group.column("pep_i")[0].as_py(), np.array(group.column("n").to_pylist(), float)
+        if times.sum() <= 0:
+            return group.slice(0, 0).select(["dyt_i", "pep_i", "n"])
+        rng = np.random.default_rng(int.from_bytes(hashlib.sha256(f"{seed}|{pep}".encode()).digest()[:8], "little"))
+        drawn = rng.multinomial(n, times / times.sum())
+        kept = np.flatnonzero(drawn)
+        return pa.table({"dyt_i": group.column("dyt_i").take(pa.array(kept)), "pep_i": pa.array([pep] * len(kept), pa.int64()), "n": pa.array(drawn[kept].astype(np.int64))})
+
+    rows = counts.select(F.col("dyt_i").cast("long").alias("dyt_i"), F.col("pep_i").cast("long").alias("pep_i"), F.col("n").cast("long").alias("n"))
+    return rows.groupBy("pep_i").applyInArrow(draw, "dyt_i long, pep_i long, n long")
+
+
+def photobleach(n_cycles: int, p_bleach: float, seed: int = 1) -> Chemistry:
+    """One channel whose dyes only bleach: no other failures, no Edman cycles."""
+    return Chemistry(n_channels=1, cycles=(PRE, *[MOCK] * n_cycles), p_bright=(1.0,), p_bleach=(p_bleach,), p_cyclic_block=0.0, p_initial_block=0.0, p_detach=0.0, p_edman_failure=0.0, p_mislabel=(0.0,), seed=seed)
+
+
+def one_each(tracks: DataFrame, n: int = 1) -> DataFrame:
+    """(dyt_i, pep_i, n, recall): every track is its own peptide's, n times with recall 1; the dark one, number 0, not at all."""
+    lit = F.col("dyt_i") != 0
+    return tracks.select("dyt_i", F.col("dyt_i").alias("pep_i"), F.when(lit, n).otherwise(0).cast("long").alias("n"), F.when(lit, 1.0).otherwise(0.0).alias("recall"))
+
+
 def fret(donor: Column, acceptors: Column, strength: float, by_count: bool, self_quench: bool = False) -> Column:
     """Donor brightness left beside acceptors, without noise: times (1 - strength), clipped, to the power of their number."""
     k = F.greatest(acceptors - (1 if self_quench else 0), F.lit(0))
     return donor * F.pow(F.lit(clipped(1 - strength)), k if by_count else (k > 0).cast("int"))
 
 
+def noisy_fret(donor: Column, acceptors: Column, strength: float, spread: float, by_count: bool, seed: int, *keys: str) -> Column:
+    """Donor brightness left beside acceptors, where the strength varies from read to read about its mean; it is clipped to [0, 1] in every read."""
+    drawn = F.least(F.lit(1.0), F.greatest(F.lit(0.0), strength + spread * _normal(seed, *keys)))
+    return donor * F.pow(1 - drawn, acceptors if by_count else (acceptors > 0).cast("int"))
+
+
 def _normal(seed: int, *keys: str) -> Column:
     """A standard normal draw that depends on seed and keys alone."""
     uniform = lambda salt: (F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), *keys), F.lit(1 << 52)) + 0.5) / float(1 << 52)
@@ -140,10 +191,14 @@ def radmats(found: DataFrame, chem: Chemistry, gains: Gains, seed: int = 7) -> D
     """(pep_i, dyt, read_i, row_k, radmat): a row a read, with noisy brightness of its track. Catalyst only."""
     reads = found.filter("n > 0").withColumn("read_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).withColumn("row_k", 1 + gains.row_k_sigma * _normal(seed, "pep_i", "dyt", "read_i"))
     n_cy = len(chem.cycles)
-    at = F.col("at")
-    long = reads.select("pep_i", "dyt", "read_i", "row_k", F.posexplode("dyt").alias("at", "k"))
-    pick = lambda values: F.get(F.array(*map(F.lit, values)), F.floor(at / n_cy).cast("int"))
-    mean = F.col("k") * pick(gains.gain_mu) + pick(gains.bg_mu)
-    spread = F.sqrt(F.col("k") * F.pow(pick(gains.gain_sigma), 2) + F.pow(pick(gains.bg_sigma), 2))
-    lit = long.withColumn("v", (mean + spread * _normal(seed + 1, "pep_i", "dyt", "read_i", "at")) * F.col("row_k"))
-    return lit.groupBy("pep_i", "dyt", "read_i", "row_k").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("radmat"))
+    # Draws of a read come from its own number and the place in its track, so cells are made where the read is.
+    reads = reads.withColumn("key", F.xxhash64(F.lit(seed + 1), "pep_i", "dyt", "read_i"))
+
+    def cell(k: Column, at: Column) -> Column:
+        pick = lambda values: F.get(F.array(*map(F.lit, values)), F.floor(at / n_cy).cast("int"))
+        uniform = lambda salt: (F.pmod(F.xxhash64(F.col("key"), at, F.lit(salt)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+        normal = F.sqrt(-2 * F.log(uniform("r"))) * F.cos(2 * np.pi * uniform("a"))
+        spread = F.sqrt(k * F.pow(pick(gains.gain_sigma), 2) + F.pow(pick(gains.bg_sigma), 2))
+        return (k * pick(gains.gain_mu) + pick(gains.bg_mu) + spread * normal) * F.col("row_k")
+
+    return reads.select("pep_i", "dyt", "read_i", "row_k", F.transform("dyt", cell).alias("radmat"))

@@ -1,6 +1,6 @@
 """Queries of this package's own operators, registered on import."""
 
-from . import brightness, calls, models, relations, reports, sequences, signals, verdicts
+from . import brightness, calls, models, relations, reports, sequences, signals, values, verdicts
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "brightness", "calls", "models", "relations", "reports", "sequences", "signals", "verdicts"]
+__all__ = ["QUERIES", "SQL", "brightness", "calls", "models", "relations", "reports", "sequences", "signals", "values", "verdicts"]

@@ -38,12 +38,20 @@ def survey_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def rf_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors are radmats, their labels classes; the forest classifies its own training rows."""
+    """Vectors are radmats, their labels classes; the forest classifies its own training rows, as labels don't follow from vectors here."""
     rows = table(spark, sf_dir, "embeddings").filter("label is not null").select(F.col("vec_id").alias("row_i"), F.col("embedding").cast("array<double>").alias("radmat"), F.col("label").alias("class_i"))
     model, classes = forest.train(rows, n_trees=10, depth=6)
     return forest.classify(rows, model, classes)
 
 
+@query()
+def rf_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes are the signs of a vector's first two components; each row is classified by a forest that wasn't trained on it."""
+    e = F.col("embedding")
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_i"), e.cast("array<double>").alias("radmat"), (1 + (F.get(e, F.lit(0)) > 0).cast("int") + 2 * (F.get(e, F.lit(1)) > 0).cast("int")).alias("class_i"))
+    return forest.out_of_fold(rows, n_trees=100, depth=8)
+
+
 @query()
 def step_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order's and a user's values, in order, are traces."""

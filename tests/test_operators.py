@@ -315,3 +315,68 @@ def test_microscope_files(spark, tmp_path):
         assert r.height == 3 and r.pixels == stack[r.frame_i, :, :, r.channel_i].ravel().tolist()
     with pytest.raises(ValueError, match="no chunk map"):
         nd2.chunk_map(b"x" * 50)
+
+
+def test_more_arrays(spark):
+    nan = float("nan")
+    assert one(spark, arrays.nan_mean(F.col("t")), t=[1.0, nan, 3.0]) == 2.0 and one(spark, arrays.nan_median(F.col("t")), t=[5.0, nan, 1.0, 2.0, 10.0]) == 3.5
+    assert np.isnan(one(spark, arrays.nan_mean(F.col("t")), t=[nan]))
+    assert one(spark, arrays.int_linspace(F.lit(2), F.lit(12), 3)) == [2, 7, 12] and one(spark, arrays.repeated(F.col("t"), 2), t=[1, 2]) == [1, 1, 2, 2]
+    rows = F.array(F.array(F.lit(1), F.lit(2), F.lit(3)), F.array(F.lit(4), F.lit(5), F.lit(6)))
+    assert one(spark, arrays.times_rows(rows, F.array(F.lit(2), F.lit(1)))) == [[2, 4, 6], [4, 5, 6]] and one(spark, arrays.times_columns(rows, F.array(F.lit(1), F.lit(0), F.lit(2)))) == [[1, 0, 6], [4, 0, 12]]
+    assert one(spark, arrays.padded_rows(F.array(F.array(F.lit(1)), F.array(F.lit(2), F.lit(3))), F.lit(0))) == [[1, 0], [2, 3]]
+    assert one(spark, arrays.same(F.array(F.lit(nan), F.lit(None)), F.array(F.lit(nan), F.lit(None)))) is True
+    assert one(spark, arrays.entry_where(F.col("t"), lambda x: x > 1, last=True), t=[1, 2, 3]) == 3 and one(spark, arrays.index_where(F.col("t"), lambda x: x > 9), t=[1]) is None
+    assert one(spark, arrays.scaled_to_one(F.col("t")), t=[1.0, 4.0]) == [0.25, 1.0] and one(spark, arrays.sorted_rows(F.array(F.array(F.lit(2), F.lit(1))))) == [[1, 2]]
+    with pytest.raises(Exception, match="outside"):
+        one(spark, arrays.region_of(F.lit(9), F.lit(9), 3))
+    found = one(spark, arrays.fourier(F.col("t")), t=[1.0, 2.0, 0.5, -1.0])
+    assert np.allclose([x.re + 1j * x.im for x in found], np.fft.fft([1.0, 2.0, 0.5, -1.0]))
+
+
+def test_jobs_and_priors(spark, tmp_path):
+    job = workflow.Job(labels=["DE"], n_cycles=4)
+    peps = spark.createDataFrame([(1, "AK")], "pep_i long, pep string")
+    workflow.write_job(spark, f"file://{tmp_path}/job", job, {"peps": peps})
+    read, found = workflow.read_job(spark, f"file://{tmp_path}/job")
+    assert read == job and found.peps.count() == 1
+    priors = {"gain.ch_0": 1, "gain.ch_1": 2, "gain.ch_2": 3, "shift_y.ch_0": 0.0, "shift_y.ch_1": 2.0, "shift_y.ch_2": 5.0, "p": 9}
+    assert workflow.remapped(priors, [1, 2]) == {"p": 9, "gain.ch_0": 2, "gain.ch_1": 3, "shift_y.ch_0": 0.0, "shift_y.ch_1": 3.0}
+    assert ("n_cycles", "int", 8) in workflow.described() and workflow.filled("{a.b.1} of {c}", {"a": {"b": [1, 2]}, "c": "x"}) == "2 of x"
+    with pytest.raises(ValueError, match="unknown workflow"):
+        workflow.run("none", peps, job)
+
+
+def test_train_and_test_sets_are_drawn_apart(spark):
+    proteins = spark.createDataFrame([(0, list("ADAAK")), (1, list("AAYDAAYK")), (2, list("YAAAADDK"))], "pro_i long, tokens array<string>")
+    job = workflow.Job(labels=["D", "Y"], n_cycles=5, n_samples=60, n_samples_test=25)
+    tables_ = workflow.run("classify", proteins, job)
+    calls = tables_["calls"].collect()
+    assert len(calls) == 75 and len({r.row_i for r in calls}) == 75 and np.mean([r.true_i == r.pred_i for r in calls]) > 0.5
+    sets = workflow.run("simulate", proteins, job)
+    assert {n: sum(r.n for r in t.collect()) for n, t in sets.items()} == {"tracks": 180, "test_tracks": 75}
+
+
+def test_frame_sources(spark, tmp_path):
+    import struct
+
+    for k, cells in ((2, [[1, 2], [3, 4]]), (10, [[5, 6], [7, 8]])):
+        data = np.array(cells, "<u2").tobytes()
+        tags = [(256, 3, 1, 2), (257, 3, 1, 2), (258, 3, 1, 16), (259, 3, 1, 1), (273, 4, 1, 8), (279, 4, 1, len(data))]
+        head = b"II" + struct.pack("<HI", 42, 8 + len(data)) + data + struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", *t) for t in tags) + struct.pack("<I", 0)
+        (tmp_path / f"f_{k}.tif").write_bytes(head)
+    movie = frames.as_movie(frames.read_tifs(spark, f"file://{tmp_path}/*.tif"))
+    assert sorted((r.field_i, r.cycle_i, list(r.pixels)) for r in movie.collect()) == [(0, 0, [1, 2, 3, 4]), (1, 0, [5, 6, 7, 8])]
+    for k in range(2):
+        np.save(tmp_path / f"s_{k}.npy", np.full((4, 2, 2), k, np.float32))
+    stacks = frames.as_z_stack(frames.read_arrays(spark, f"file://{tmp_path}/*.npy"), 2)
+    assert sorted((r.field_i, r.slice_i, r.pixels[0]) for r in stacks.collect()) == [(f, s, float(f // 2)) for f in range(4) for s in range(2)]
+    with pytest.raises(ValueError, match="divide"):
+        frames.as_z_stack(frames.read_arrays(spark, f"file://{tmp_path}/*.npy"), 3)
+    rows = spark.createDataFrame([(f, c, y) for y in range(2) for f in range(3) for c in range(2)], "field_i int, channel_i int, cycle_i int")
+    assert {(r.channel_i, r.field_i) for r in frames.by_field(rows, {1: 0}).collect()} == {(0, f) for f in range(3)}
+
+
+def test_noisy_fret_has_its_mean(spark):
+    rows = spark.range(4000).select(simulate.noisy_fret(F.lit(100.0), F.lit(2), 0.3, 0.05, True, 3, "id").alias("v"))
+    assert abs(rows.agg(F.avg("v")).first()[0] - 100 * (0.49 + 0.0025)) < 1

@@ -60,6 +60,36 @@ def test_forest_beats_chance(spark):
     assert np.mean([labels[r.row_i] == r.pred_i for r in rows]) > 0.4
 
 
+def test_forest_calls_rows_that_it_has_not_seen(spark):
+    true = {r.vec_id: 1 + (r.embedding[0] > 0) + 2 * (r.embedding[1] > 0) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
+    rows = plans.QUERIES["rf_held_out"](spark, SF).collect()
+    assert sorted(r.row_i for r in rows) == sorted(true) and np.mean([true[r.row_i] == r.pred_i for r in rows]) > 0.6
+
+
+def test_redrawn_counts_have_their_sums(spark):
+    first, again = (sorted(map(tuple, plans.QUERIES["redrawn_counts"](spark, SF).collect())) for _ in range(2))
+    by = {}
+    for _, pep, n in first:
+        by[pep] = by.get(pep, 0) + n
+    assert first == again and set(by.values()) == {50}
+
+
+def test_photobleaching_only_loses_dyes(spark):
+    rows = plans.QUERIES["photobleach_tracks"](spark, SF).collect()
+    assert {r.pep_i for r in rows} == set(range(5)) and all(r.recall == 1 and r.dyt[0] == r.pep_i + 1 and list(r.dyt) == sorted(r.dyt, reverse=True) for r in rows)
+    lost = sum(r.n * (r.dyt[0] - r.dyt[-1]) for r in rows) / sum(r.n * r.dyt[0] for r in rows)
+    assert abs(lost - (1 - 0.9**10)) < 0.05
+
+
+def test_random_windows_lie_in_their_proteins(spark):
+    texts = {r.doc_id: "".join(c for c in (r.text or "") if c.isascii() and c.isalpha()).upper() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = plans.QUERIES["random_windows"](spark, SF).collect()
+    assert len(rows) == 500 and all(r.window == texts[r.pro_i][r.start : r.start + 10] for r in rows)
+    long = sorted(texts, key=lambda i: -len(texts[i]))[:20]
+    share = sum(len(texts[i]) for i in long) / sum(map(len, texts.values()))
+    assert abs(np.mean([r.pro_i in long for r in rows]) - share) < 0.1
+
+
 def test_image_fields_find_what_was_drawn(spark):
     rows = plans.QUERIES["image_fields"](spark, SF).collect()
     first = [r for r in rows if r.cycle_i == 0 and r.signal is not None]
