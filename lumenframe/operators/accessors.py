@@ -125,15 +125,6 @@ def write_fields(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").partitionBy("field_i").parquet(path)
 
 
-def levels(rows: DataFrame, n_bins: int = 100) -> DataFrame:
-    """(channel_i, cycle_i, p99, mode): the 99th percentile of positive signals, and the middle of the fullest of n_bins bins up to it."""
-    lit = rows.select("channel_i", "cycle_i", zero_for_nan(F.col("signal")).alias("v")).filter("v > 0")
-    top = lit.groupBy("channel_i", "cycle_i").agg(F.percentile("v", F.lit(0.99)).alias("p99"))
-    bins = lit.join(F.broadcast(top), ["channel_i", "cycle_i"]).filter("v <= p99").withColumn("bin", F.least(F.floor(F.col("v") / F.col("p99") * n_bins), F.lit(n_bins - 1)))
-    fullest = bins.groupBy("channel_i", "cycle_i", "p99", "bin").agg(F.count("*").alias("n")).groupBy("channel_i", "cycle_i", "p99").agg(F.max_by("bin", F.struct("n", -F.col("bin"))).alias("bin"))
-    return fullest.select("channel_i", "cycle_i", "p99", ((F.col("bin") + 0.5) / n_bins * F.col("p99")).alias("mode"))
-
-
 def channel_pairs(rows: DataFrame, first: int, second: int) -> DataFrame:
     """(field_i, field_peak_i, cycle_i, x, y): signals of two channels side by side."""
     by = rows.groupBy(*PEAK, "cycle_i").agg(*(F.max(F.when(F.col("channel_i") == c, zero_for_nan(F.col("signal")))).alias(name) for name, c in (("x", first), ("y", second))))

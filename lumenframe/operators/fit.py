@@ -7,6 +7,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def non_negative(a: np.ndarray, b: np.ndarray, rounds: int = 300) -> tuple[np.ndarray, float]:
@@ -125,3 +126,51 @@ def resampled(counts: DataFrame, n_replicates: int, statistic: Callable[[np.ndar
             yield pd.DataFrame(out, columns=["replicate", "value"])
 
     return numbers.mapInPandas(run, "replicate long, value array<double>")
+
+
+def scan(spark: SparkSession, f: Callable[[np.ndarray], float], x: np.ndarray, low: np.ndarray, high: np.ndarray, axes: list[tuple[int, ...]], n: int = 21) -> DataFrame:
+    """(axes, x, value): the objective on grids of n points a side over the named axes, the others held at x; one job for all grids.
+
+    Axes may be single (lines), pairs or more; the number of points is n to the power of their number.
+    """
+    rows = []
+    for group in axes:
+        sides = [np.linspace(low[k], high[k], n) for k in group]
+        for point in np.stack(np.meshgrid(*sides, indexing="ij"), axis=-1).reshape(-1, len(group)):
+            at = np.array(x, float)
+            at[list(group)] = point
+            rows.append((",".join(map(str, group)), at.tolist()))
+    frame = spark.createDataFrame(rows, "axes string, x array<double>").repartition(min(len(rows), 64))
+
+    def run(batches):
+        for batch in batches:
+            yield pd.DataFrame({"axes": batch["axes"], "x": batch["x"], "value": [float(f(np.asarray(v))) for v in batch["x"]]})
+
+    return frame.mapInPandas(run, "axes string, x array<double>, value double")
+
+
+def share_below(scores: DataFrame, value: float) -> float:
+    """The share of random scores (score) that are below a value; 0 of none."""
+    return scores.agg(F.coalesce(F.avg((F.col("score") < value).cast("double")), F.lit(0.0)).alias("p")).first()["p"]
+
+
+def trials(spark: SparkSession, draw: Callable[[np.random.Generator], list[float]], trial: Callable[[list[float]], float], n: int, seed: int = 1) -> DataFrame:
+    """(trial_i, params, score): n trials of parameters drawn at random; each depends on seed and its number alone."""
+
+    def run(batches):
+        for batch in batches:
+            params = [list(map(float, draw(np.random.default_rng([seed, int(i)])))) for i in batch["id"]]
+            yield pd.DataFrame({"trial_i": batch["id"], "params": params, "score": [float(trial(p)) for p in params]})
+
+    return spark.range(n).mapInPandas(run, "trial_i long, params array<double>, score double")
+
+
+def many_starts(spark: SparkSession, f: Callable[[np.ndarray], float], low: np.ndarray, high: np.ndarray, n: int, seed: int = 1) -> DataFrame:
+    """(start_i, x, value): local searches from n random starts within bounds, one a row."""
+
+    def run(batches):
+        for batch in batches:
+            found = [local_search(f, low + np.random.default_rng([seed, int(i)]).random(len(low)) * (high - low), low, high) for i in batch["id"]]
+            yield pd.DataFrame({"start_i": batch["id"], "x": [x.tolist() for x, _ in found], "value": [v for _, v in found]})
+
+    return spark.range(n).repartition(min(n, 64)).mapInPandas(run, "start_i long, x array<double>, value double")

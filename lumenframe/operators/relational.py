@@ -156,3 +156,36 @@ def unlike_proteins(calls: DataFrame, flus: DataFrame) -> DataFrame:
     pairs = few.join(called, "pro_i", "left_semi").join(few.withColumnRenamed("pro_i", "other"), "flustr").filter("pro_i <> other").select("pro_i", "other").distinct()
     lists = pairs.groupBy("pro_i").agg(F.array_join(F.transform(F.array_sort(F.collect_list("other")), lambda x: x.cast("string")), ",").alias("others"))
     return called.join(lists, "pro_i", "left").na.fill("", ["others"])
+
+
+def strings(rows: DataFrame, key: str = "pep_i", at: str = "at", aa: str = "aa") -> DataFrame:
+    """(key, seqstr): residues of each key put together in their order."""
+    lists = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(at, aa))).alias("_r"))
+    return lists.select(key, F.array_join(F.transform("_r", lambda r: r[aa]), "").alias("seqstr"))
+
+
+def with_strings(pros: DataFrame, peps: DataFrame, seqs: DataFrame) -> DataFrame:
+    """Peptides with their protein's name and their sequence: pros (pro_i, pro_id), peps (pep_i, pro_i, ...), seqs (pep_i, seqstr)."""
+    return peps.join(pros.select("pro_i", "pro_id"), "pro_i", "left").join(seqs, "pep_i", "left")
+
+
+def neighbours_of(rows: DataFrame, key: str, order: str, value: str, n: int = 1, fill: object = None) -> DataFrame:
+    """Adds the value n rows before, later ones for negative n, in each key; the fill value where there is none."""
+    over = Window.partitionBy(key).orderBy(order)
+    return rows.withColumn(f"{value}_shifted", F.lag(value, n, fill).over(over) if n >= 0 else F.lead(value, -n, fill).over(over))
+
+
+def with_group_statistics(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """Adds the group's size, and the value's least, most and mean in it, to every row."""
+    by = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("size"), *(f(value).alias(f"{name}_{value}") for name, f in (("min", F.min), ("max", F.max), ("mean", F.avg))))
+    return rows.join(by, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+
+
+def first_and_last(rows: DataFrame, key: str, order: str, true: Column) -> DataFrame:
+    """(key, first, last): the least and the most of the order among a key's rows for which the condition holds; null if it never does."""
+    return rows.groupBy(key).agg(F.min(F.when(true, F.col(order))).alias("first"), F.max(F.when(true, F.col(order))).alias("last"))
+
+
+def intersection(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """(key, left_i, right_i): keys of both, with their numbers (row_i) on either side."""
+    return left.select(key, F.col("row_i").alias("left_i")).join(right.select(key, F.col("row_i").alias("right_i")), key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import accessors
+from ..operators import accessors, pixels, radiometry
 from .registry import query, table
 
 LINES = "m AS (SELECT l_suppkey % 20 AS field_i, l_orderkey AS field_peak_i, l_linenumber % 2 AS channel_i, l_partkey % 3 AS cycle_i, CAST(l_extendedprice AS DOUBLE) AS signal, CAST(l_discount AS DOUBLE) AS noise FROM lineitem)"
@@ -92,7 +92,8 @@ b AS (SELECT channel_i, cycle_i, p99, least(floor(signal / p99 * 100), 99) AS bi
 w AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY channel_i, cycle_i ORDER BY n DESC, bin) = 1)
 SELECT channel_i, cycle_i, round(p99, 4) AS p99, round((bin + 0.5) / 100 * p99, 4) AS mode FROM w""")
 def channel_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return accessors.levels(measured(spark, sf_dir)).select("channel_i", "cycle_i", F.round("p99", 4).alias("p99"), F.round("mode", 4).alias("mode"))
+    found = radiometry.signal_levels(measured(spark, sf_dir))
+    return found.select("channel_i", "cycle_i", F.round("p99", 4).alias("p99"), F.round((F.col("peak_bin") + 0.5) / 100 * F.col("p99"), 4).alias("mode"))
 
 
 @query(f"WITH {LINES} SELECT field_i, field_peak_i, cycle_i, max(signal) FILTER (channel_i = 0) AS x, max(signal) FILTER (channel_i = 1) AS y FROM m GROUP BY ALL HAVING x IS NOT NULL AND y IS NOT NULL")
@@ -110,3 +111,29 @@ def sigproc_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 def measurements_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = accessors.with_metadata(measured(spark, sf_dir), frames(spark, sf_dir))
     return rows.groupBy("field_i", "channel_i").agg(F.count("*").alias("n"), F.count("quality").alias("n_known"), F.round(F.sum("quality"), 2).alias("quality"))
+
+
+VIEWS = "v AS (SELECT vec_id, label, list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE))) AS p FROM embeddings)"
+
+
+def views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as frames of eight rows, their labels as fields."""
+    pixel = F.transform("embedding", lambda x: F.abs(x.cast("double")))
+    return table(spark, sf_dir, "embeddings").select(F.col("label").cast("long").alias("field_i"), F.lit(0).cast("long").alias("channel_i"), F.col("vec_id").cast("long").alias("cycle_i"), F.lit(8).alias("height"), pixel.alias("pixels"))
+
+
+@query(f"WITH {VIEWS}, u AS (SELECT vec_id, unnest(p) AS v, generate_subscripts(p, 1) - 1 AS i FROM v) SELECT vec_id AS cycle_i, round(sum(v), 6) AS total, round(avg(v), 6) AS mean, round(sum(v * (i // 8)) / sum(v), 6) AS y, round(sum(v * (i % 8)) / sum(v), 6) AS x FROM u GROUP BY 1")
+def frame_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pixels.frame_statistics(views(spark, sf_dir)).select("cycle_i", *(F.round(c, 6).alias(c) for c in ("total", "mean", "y", "x")))
+
+
+@query(f"WITH {VIEWS}, u AS (SELECT vec_id, unnest(p) AS v, generate_subscripts(p, 1) - 1 AS i FROM v) SELECT vec_id AS cycle_i, CAST(i // 32 AS INT) AS region_y, CAST(i % 8 // 4 AS INT) AS region_x, round(avg(v), 6) AS mean FROM u GROUP BY ALL")
+def frame_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pixels.frame_regions(views(spark, sf_dir), 2).select("cycle_i", "region_y", "region_x", F.round("mean", 6).alias("mean"))
+
+
+@query(f"WITH {VIEWS}, u AS (SELECT label, vec_id, unnest(p) AS v, generate_subscripts(p, 1) - 1 AS i FROM v), s AS (SELECT label, i, sum(v) AS v, count(*) AS n FROM u GROUP BY ALL) SELECT label AS field_i, max(n) AS n, round(sum(v * (i + 1)), 4) AS weighted, round(max(v), 6) AS brightest FROM s GROUP BY 1")
+def frame_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pixels.stacked(views(spark, sf_dir))
+    weighted = F.aggregate(F.transform("total", lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    return found.select("field_i", "n", F.round(weighted, 4).alias("weighted"), F.round(F.array_max("total"), 6).alias("brightest"))

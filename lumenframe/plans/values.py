@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays, seq
-from ..operators import generators, sampling, simulate
+from ..operators import generators, relational, sampling, simulate
 from ..sources import tables
 from .registry import query, table
 
@@ -177,3 +177,47 @@ def fields_written_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared(spark, "fields")
     accessors.write_fields(table(spark, sf_dir, "nation").withColumn("field_i", F.col("n_regionkey")), path)
     return accessors.of_fields(spark.read.parquet(path), [1, 3]).groupBy("field_i").agg(F.count("*").alias("n"), F.sum("n_nationkey").alias("total"))
+
+
+@query("SELECT l_orderkey AS pep_i, string_agg(l_returnflag, '' ORDER BY l_linenumber, l_returnflag) AS seqstr FROM lineitem GROUP BY 1")
+def residue_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relational.strings(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pep_i"), F.col("l_linenumber").alias("at"), F.col("l_returnflag").alias("aa")))
+
+
+@query("SELECT s_suppkey AS pep_i, n_name AS pro_id, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS seqstr FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def peptides_with_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pros = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("pro_i"), F.col("n_name").alias("pro_id"))
+    peps = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pep_i"), F.col("s_nationkey").alias("pro_i"), "s_name")
+    seqs = peps.filter("pep_i % 3 > 0").select("pep_i", F.col("s_name").alias("seqstr"))
+    return relational.with_strings(pros, peps, seqs).select("pep_i", "pro_id", "seqstr")
+
+
+@query("SELECT event_id, coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id), 'none') AS before FROM events")
+def shifted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = relational.neighbours_of(table(spark, sf_dir, "events"), "user_id", "event_id", "event_type", 1, "none")
+    return found.select("event_id", F.col("event_type_shifted").alias("before"))
+
+
+@query("SELECT event_id, count(*) OVER w AS size, min(value) OVER w AS least, max(value) OVER w AS most, round(avg(value) OVER w, 6) AS mean FROM events WINDOW w AS (PARTITION BY event_type)")
+def group_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = relational.with_group_statistics(table(spark, sf_dir, "events").select("event_id", "event_type", "value"), "event_type", "value")
+    return found.select("event_id", "size", F.col("min_value").alias("least"), F.col("max_value").alias("most"), F.round("mean_value", 6).alias("mean"))
+
+
+@query("SELECT user_id, min(event_id) FILTER (event_type = 'purchase') AS first, max(event_id) FILTER (event_type = 'purchase') AS last FROM events GROUP BY 1")
+def first_and_last_true(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relational.first_and_last(table(spark, sf_dir, "events"), "user_id", "event_id", F.col("event_type") == "purchase")
+
+
+@query("SELECT n_name AS name, n_nationkey AS left_i, c.row_i AS right_i FROM nation JOIN (SELECT n_name AS name, 100 + n_nationkey AS row_i FROM nation WHERE n_regionkey = 2) c ON c.name = n_name WHERE n_nationkey > 5")
+def keys_of_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation")
+    left = nation.filter("n_nationkey > 5").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("row_i"))
+    return relational.intersection(left, nation.filter("n_regionkey = 2").select(F.col("n_name").alias("name"), (100 + F.col("n_nationkey")).alias("row_i")), "name")
+
+
+@query("SELECT p_brand AS dyeseq, count(*) AS n, min(p_partkey) AS pep_i FROM part GROUP BY 1")
+def dye_sequences_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared(spark, "dyeseqs")
+    tables.write_dye_sequences(table(spark, sf_dir, "part").select(F.col("p_brand").alias("dyeseq"), F.col("p_partkey").alias("pep_i")), path, 2)
+    return tables.read_dye_sequences(spark, path)

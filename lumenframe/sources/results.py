@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class Results:
@@ -20,6 +21,14 @@ class Results:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.path}/{name}")
 
+    def columns(self, name: str, wanted: list[str], missing_ok: bool = False) -> DataFrame:
+        """Some columns of a table, and no others are read; missing ones are null if that is allowed, else an error."""
+        table = getattr(self, name)
+        absent = [c for c in wanted if c not in table.columns]
+        if absent and not missing_ok:
+            raise KeyError(f"{name} has no {absent}")
+        return table.select(*(F.col(c) if c in table.columns else F.lit(None).alias(c) for c in wanted))
+
     @staticmethod
     def write(spark: SparkSession, path: str, tables: dict[str, DataFrame], by: dict[str, str] | None = None, **params) -> "Results":
         """by: the column that a table's folders go by, such as field_i."""

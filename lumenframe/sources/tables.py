@@ -63,3 +63,29 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 def fit_value(text: Column, name: str) -> Column:
     """A named number in a fitter's printed report."""
     return F.nullif(F.regexp_extract(text, rf"\b{name}\s*[:=]\s*(-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?)", 1), F.lit("")).cast("double")
+
+
+def read_bootstrap(spark: SparkSession, path: str) -> DataFrame:
+    """A table of fitted parameters, a row a bootstrap replicate, with types as they look."""
+    return spark.read.csv(path, header=True, inferSchema=True)
+
+
+def write_grid(rows: DataFrame, path: str, sep: str = ",") -> None:
+    """Rows as a text grid, array columns as `;`-joined lists."""
+    flat = [F.array_join(F.transform(c, lambda x: x.cast("string")), ";", "").alias(c) if t.startswith("array") else F.col(c) for c, t in rows.dtypes]
+    rows.select(*flat).write.csv(path, sep=sep, header=True)
+
+
+def write_dye_sequences(seqs: DataFrame, path: str, n_channels: int) -> None:
+    """An external classifier's dye sequences: tab-separated (sequence, peptides, first peptide) under lines of the numbers of channels and rows."""
+    rows = seqs.filter("dyeseq <> ''").groupBy("dyeseq").agg(F.count("*").alias("n"), F.min("pep_i").alias("pep_i"))
+    head = rows.agg(F.concat(F.lit(f"{n_channels}\n"), F.count("*").cast("string")).alias("value"))
+    body = rows.select(F.concat_ws("\t", "dyeseq", F.col("n").cast("string"), F.col("pep_i").cast("string")).alias("value"), "pep_i")
+    # One file with its head first, as the classifier reads it: rows are distinct patterns.
+    head.withColumn("pep_i", F.lit(-1).cast("long")).unionByName(body.withColumn("pep_i", F.col("pep_i").cast("long"))).coalesce(1).sortWithinPartitions("pep_i").select("value").write.text(path)
+
+
+def read_dye_sequences(spark: SparkSession, path: str) -> DataFrame:
+    """(dyeseq, n, pep_i) of such a file."""
+    cells = F.split("value", "\t")
+    return spark.read.text(path).filter(F.size(cells) == 3).select(F.get(cells, F.lit(0)).alias("dyeseq"), F.get(cells, F.lit(1)).cast("long").alias("n"), F.get(cells, F.lit(2)).cast("long").alias("pep_i"))

@@ -5,7 +5,7 @@ import gzip
 import numpy as np
 import pytest
 from lumenframe.functions import arrays, seq
-from lumenframe.operators import evaluate, fit, generators, images, radiometry, relational, sampling, simulate, steps, survey
+from lumenframe.operators import accessors, evaluate, fit, generators, images, pixels, radiometry, relational, sampling, simulate, steps, survey
 from lumenframe.plans import workflow
 from lumenframe.sources import frames, results, tables
 from lumenframe.streaming import calls as streamed
@@ -380,3 +380,60 @@ def test_frame_sources(spark, tmp_path):
 def test_noisy_fret_has_its_mean(spark):
     rows = spark.range(4000).select(simulate.noisy_fret(F.lit(100.0), F.lit(2), 0.3, 0.05, True, 3, "id").alias("v"))
     assert abs(rows.agg(F.avg("v")).first()[0] - 100 * (0.49 + 0.0025)) < 1
+
+
+def test_pixel_kernels():
+    image = np.arange(20.0).reshape(4, 5)
+    assert (pixels.cut_out(image, pixels.Box(-1, 3, 3, 3), -1) == [[-1, -1, -1], [3, 4, -1], [8, 9, -1]]).all()
+    copy = image.copy()
+    pixels.paste(copy, np.ones((3, 3)), 3, 4)
+    assert copy.sum() == image.sum() + 1
+    assert pixels.disc((5, 5), 2, 2, 1).sum() == 5 and pixels.disc((5, 5), 2, 2, 1, 0).sum() == 4
+    kernel = np.array([[0, 1, 0], [1, 2, 1], [0, 0, 3.0]])
+    padded = np.pad(image, 1)
+    plain = np.array([[(padded[y : y + 3, x : x + 3] * kernel[::-1, ::-1]).sum() for x in range(5)] for y in range(4)])
+    assert np.allclose(pixels.convolved(image, kernel), plain)
+    assert np.allclose(pixels.between_pixels(image, np.array([0.5, 3.0, 9.0]), np.array([1.5, 4.0, 0.0])), [4.0, 19.0, 15.0])
+    spot = images.gaussian(21, 2.0, 1.0, -2.0)
+    total, y, x, spread = pixels.moments(spot)
+    assert np.allclose([total, y, x], [1, 11, 8], atol=0.02) and abs(spread[0, 0] - 4) < 0.1 and pixels.aspect(spot)[0] > 0.98
+    line = np.zeros((9, 9))
+    line[4, 1:8] = 1
+    assert pixels.aspect(line)[0] == 0 and pixels.moments(np.zeros((3, 3)))[:3] == (0.0, 1.0, 1.0)
+    assert pixels.regions(image, 2).shape == (2, 2) and pixels.rolling(image, 2).shape == (3, 4) and pixels.rolling(image, 2)[0, 0] == 3.0
+    assert abs(pixels.commonest(np.r_[np.full(90, 5.0), np.linspace(0, 100, 10)].reshape(10, 10)) - 5) < 2
+    assert abs(pixels.with_camera(np.full((50, 50), 400.0), np.random.default_rng(0)).mean() - 500) < 3 and pixels.vignetted(np.ones((5, 5)), 2.0)[2, 2] == 1.0
+
+
+def test_scans_trials_and_starts(spark):
+    f = lambda x: float((x[0] - 0.3) ** 2 + (x[1] + 0.2) ** 2)
+    low, high = np.array([-1.0, -1.0]), np.array([1.0, 1.0])
+    rows = fit.scan(spark, f, np.zeros(2), low, high, [(0,), (1,), (0, 1)], n=5).collect()
+    assert len(rows) == 5 + 5 + 25 and all(abs(r.value - f(r.x)) < 1e-12 for r in rows)
+    found = fit.trials(spark, lambda rng: [rng.random()], lambda p: p[0], 200)
+    assert sorted(map(str, found.collect())) == sorted(map(str, found.collect())) and abs(fit.share_below(found, 0.5) - 0.5) < 0.12
+    best = min(fit.many_starts(spark, f, low, high, 4).collect(), key=lambda r: r.value)
+    assert np.allclose(best.x, [0.3, -0.2], atol=1e-3)
+
+
+def test_accessors(spark):
+    rows = spark.createDataFrame([(0, 0, 0, 0, 5.0, 2.0), (0, 1, 0, 0, float("nan"), 0.0), (1, 0, 0, 0, 3.0, None)], "field_i long, field_peak_i long, channel_i int, cycle_i int, signal double, noise double")
+    assert [(r.snr, r.signal is None) for r in accessors.signal_to_noise(rows).orderBy("field_i", "field_peak_i").collect()] == [(2.5, False), (None, False), (None, False)]
+    assert sorted(r.signal for r in accessors.measure(rows, "signal").collect()) == [0.0, 3.0, 5.0]
+    with pytest.raises(ValueError, match="no rows"):
+        accessors.of_fields(rows, [7])
+    drawn = accessors.sampled_fits(rows.select("field_i", "field_peak_i", "signal")).collect()
+    assert sorted((r.field_i, r.draw_i) for r in drawn) == [(0, 0), (0, 1), (1, 0)]
+    assert accessors.first_fields(rows, 1).count() == 2 and accessors.images_of(rows, 1, 0).count() == 1
+    meta, quality = accessors.import_tables(spark.createDataFrame([(0, 0, 0, 64, 1.0), (0, 1, 0, 64, 2.0)], "field_i long, channel_i int, cycle_i int, height int, quality double"))
+    assert tuple(meta.first()) == (0, 2, 1, 64) and quality.count() == 2
+
+
+def test_results_by_columns_and_grids(spark, tmp_path):
+    found = results.Results.write(spark, f"file://{tmp_path}/r", {"t": spark.createDataFrame([(1, 2)], "a int, b int")})
+    assert found.columns("t", ["b"]).columns == ["b"] and tuple(found.columns("t", ["a", "z"], missing_ok=True).first()) == (1, None)
+    with pytest.raises(KeyError):
+        found.columns("t", ["z"])
+    tables.write_grid(spark.createDataFrame([(1, [2, 3])], "a int, v array<int>"), f"file://{tmp_path}/grid")
+    assert [tuple(r) for r in spark.read.csv(f"file://{tmp_path}/grid", header=True).collect()] == [("1", "2;3")]
+    assert dict(tables.read_bootstrap(spark, f"file://{tmp_path}/grid").dtypes)["a"] == "int"
