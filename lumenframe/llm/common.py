@@ -46,6 +46,15 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str = "left") -> Data
     return left.join(F.broadcast(right) if few else right, on, how)
 
 
+def join_hot(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """As join_small for a right side without repeated keys; by a shuffle, a key's rows on the left are dealt over SALTS tasks."""
+    if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), on, how)
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
 def join_by_host(left: DataFrame, right: DataFrame, size: Column) -> DataFrame:
     """Left join with right, which must be materialized and has one row a host, by host.
 

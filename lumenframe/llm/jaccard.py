@@ -7,7 +7,7 @@
    of the block) are the distributed index; a probe reads one list a block and skips all others.
    T more blocks than needed let empty blocks go unlisted, but for sets with over T of them.
 3. Classes that meet in a list make clusters (connected components of the lists' stars). Each
-   cluster's sets are gathered once, in units of bounded total size: a large cluster is cut by band,
+   cluster's texts are gathered once, in units of bounded total size: a large cluster is cut by band,
    then into pairs of hashed parts.
 4. In a unit, `skip_join` keeps an index of the sets' rare prefixes, whose lists lie in blocks by
    position, and skips blocks whose positions and sizes leave too little overlap. A set's overlaps
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_small, materialize
+from .common import join_hot, join_small, materialize
 from .components import connected_components
 from .wordhash import U, chunks, mix, shingle_sets
 
@@ -46,6 +46,8 @@ SPARE = 1
 UNIT = 2_000_000
 #: Width of a position block in a unit's index.
 BLOCK = 8
+#: Keys of lists that a partition holds before it sends them on, and that a range of keys has on average.
+LISTED = 4_000_000
 
 
 def bands(percent: int, most: int = 1 << 40) -> list[int]:
@@ -164,6 +166,79 @@ def skip_join(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tup
     return forest
 
 
+def _packed(keys: np.ndarray, ids: np.ndarray) -> bytes:
+    """Keys, of which six bytes are kept, and ids; ids take four bytes where they lie close enough. Keys that are cut to one only make more candidates."""
+    low = int(ids.min())
+    near = int(ids.max()) - low < 1 << 32
+    return low.to_bytes(8, "little", signed=True) + bytes([near]) + np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes() + (ids - low).astype("<u4" if near else "<i8").tobytes()
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    low, near = int.from_bytes(blob[:8], "little", signed=True), blob[8]
+    n = (len(blob) - 9) // (10 if near else 14)
+    keys = np.zeros((n, 8), np.uint8)
+    keys[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, 9).reshape(n, 6)
+    return keys.view("<u8").ravel(), low + np.frombuffer(blob, "<u4" if near else "<i8", n, 9 + 6 * n).astype(np.int64)
+
+
+def _firsts(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each distinct key the least id; and the links of its other ids to that one, each once."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    first = np.repeat(ids[begins], np.diff(np.append(begins, len(keys))))
+    pairs = np.unique(np.stack([first, ids], axis=1)[first != ids], axis=0)
+    return keys[begins], ids[begins], pairs[:, 0], pairs[:, 1]
+
+
+def _candidates(described: DataFrame) -> DataFrame:
+    """Links (a, b) of the classes of each list (doc_id, keys) to the list's first one.
+
+    A partition links the classes of its own lists and sends on each list's first class only, so that a
+    list of very many classes is no large group; what it sends is packed by ranges of the key.
+    """
+    total = described.agg(F.sum(F.size("keys"))).first()[0] or 0
+    buckets = 1 << max(4, (total // LISTED).bit_length())
+    shift = U(48 - buckets.bit_length() + 1)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def out() -> pa.RecordBatch:
+            keys, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            # The upper six bytes of a key; its range comes first in their order.
+            keys, ids, a, b = _firsts(keys >> U(16), ids)
+            cuts = np.searchsorted(keys, np.arange(buckets + 1).astype(U) << shift)
+            spans = [(k, x, y) for k, (x, y) in enumerate(zip(cuts.tolist(), cuts[1:].tolist(), strict=False)) if x < y]
+            rows = [(k, _packed(keys[x:y], ids[x:y])) for k, x, y in spans]
+            # Links found here go by ranges below zero.
+            rows += [(-1 - i % buckets, np.stack([a[i : i + 50_000], b[i : i + 50_000]]).tobytes()) for i in range(0, len(a), 50_000)]
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "blob"])
+
+        for batch in batches:
+            lists = batch.column("keys")
+            keys = lists.flatten().to_numpy().view(U)
+            if len(keys):
+                held.append((keys, np.repeat(batch.column("doc_id").to_numpy(), np.diff(lists.offsets.to_numpy()))))
+            if sum(len(k) for k, _ in held) > LISTED:
+                yield out()
+        if held:
+            yield out()
+
+    def link(group: pa.Table) -> pa.Table:
+        blobs = group.column("blob").to_pylist()
+        if group.column("bucket")[0].as_py() < 0:
+            pairs = np.unique(np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1).T for x in blobs]), axis=0)
+            a, b = pairs[:, 0], pairs[:, 1]
+        else:
+            _, _, a, b = _firsts(*(np.concatenate(x) for x in zip(*map(_unpacked, blobs), strict=True)))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    sent = described.select("doc_id", "keys").mapInArrow(send, "bucket int, blob binary")
+    return sent.groupBy("bucket").applyInArrow(link, "a long, b long").distinct()
+
+
 def _links(docs: DataFrame, clusters: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between classes of a cluster: spanning forests of its units."""
     least = F.array(*(F.lit(x).cast("long") for x in bands(percent, 1 << 31)))
@@ -178,22 +253,18 @@ def _links(docs: DataFrame, clusters: DataFrame, sizes: DataFrame, words: int, p
     split = twice.select("node", "cluster", "unit", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
     whole = placed.join(large, "cluster", "left_anti").select("node", "cluster", F.lit(-1).alias("unit"), F.lit(0).alias("i"), F.lit(0).alias("j"))
     units = materialize(whole.unionByName(split), "units")
-    texts = join_small(docs.select("doc_id", "text"), units.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin, part in chunks(batch.column("text").to_pylist()):
-                found = shingle_sets(part, words)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, len(part)), pa.array([s.tobytes() for s in found], pa.binary())], names=["doc_id", "items"])
-
-    rows = texts.mapInArrow(sets, "doc_id long, items binary").filter("length(items) > 0").join(units, F.col("doc_id") == F.col("node"))
+    # Texts travel, as they take less room than sets of hashes.
+    rows = join_small(docs.select("doc_id", "text"), units.withColumnRenamed("node", "doc_id"), "doc_id", "inner")
 
     def join(group: pa.Table) -> pa.Table:
-        ids = np.array(group.column("doc_id").to_pylist(), np.int64)
-        forest = skip_join(ids, [np.frombuffer(x, U) for x in group.column("items").to_pylist()], percent)
+        ids, sets = group.column("doc_id").to_numpy(), []
+        for _, texts in chunks(group.column("text").to_pylist()):
+            sets += shingle_sets(texts, words)
+        filled = [k for k, s in enumerate(sets) if len(s)]
+        forest = skip_join(ids[filled], [sets[k] for k in filled], percent) if filled else []
         return pa.table({"a": pa.array([a for a, _ in forest], pa.int64()), "b": pa.array([b for _, b in forest], pa.int64())})
 
-    return rows.select("cluster", "unit", "i", "j", "doc_id", "items").groupBy("cluster", "unit", "i", "j").applyInArrow(join, "a long, b long")
+    return rows.select("cluster", "unit", "i", "j", "doc_id", "text").groupBy("cluster", "unit", "i", "j").applyInArrow(join, "a long, b long")
 
 
 def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -201,18 +272,19 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = materialize(_described(docs, words, percent), "shingle-sets")
     slim = described.select("doc_id", "n", "d1", "d2")
-    classes = materialize(slim.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("class")), "classes")
-    copies = materialize(slim.filter("n > 0").join(classes, ["d1", "d2"]).filter("doc_id is null or doc_id <> class").select("doc_id", "d1", "d2").distinct(), "copies")
+    # Classes of one row need no class: they are the row's own.
+    classes = materialize(slim.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("class"), F.count("*").alias("rows")).filter("rows > 1 or class is null").drop("rows"), "classes")
+    copies = materialize(join_hot(slim.filter("n > 0"), classes, ["d1", "d2"], "inner").filter("doc_id is null or doc_id <> class").select("doc_id", "d1", "d2").distinct(), "copies")
     alone = join_small(described.filter("n > 0 and doc_id is not null"), copies, ["doc_id", "d1", "d2"], "left_anti")
-    postings = alone.select("doc_id", F.explode("keys").alias("key"))
-    lists = postings.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("key", "first")
-    stars = materialize(postings.join(lists.hint("shuffle_hash"), "key").filter("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), "candidates")
+    stars = materialize(_candidates(alone), "candidates")
     clusters = connected_components(stars)
     sizes = alone.select("doc_id", "n").groupBy("doc_id").agg(F.max("n").alias("n"))
     links = materialize(_links(docs, clusters, sizes, words, percent), "links")
-    reached = connected_components(links).withColumnRenamed("node", "class")
-    labels = materialize(classes.join(reached, "class", "left").select("d1", "d2", F.coalesce("component", "class").alias("label")), "labels")
-    return slim.join(labels, ["d1", "d2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("doc_id")).alias("component_id"))
+    reached = materialize(connected_components(links).withColumnRenamed("node", "class"), "reached")
+    # Rows of several-row classes get their class's component, others their own.
+    named = join_hot(slim, classes, ["d1", "d2"]).withColumn("class", F.when(F.col("n") > 0, F.coalesce("class", "doc_id")).otherwise(F.col("doc_id")))
+    found = join_hot(named, reached, ["class"])
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = NEAR_WORDS, percent: int = NEAR_PERCENT) -> DataFrame:
