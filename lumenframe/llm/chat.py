@@ -1,35 +1,37 @@
 """Chat formatting in budgeted windows. DataFrame functions only.
 
 A conversation's turns get running sums of their token counts. The sums cut it into turn-aligned
-spans; each span becomes one window of training text: the system turn if the conversation opens with
-one, then as many whole turns before the span as `history` tokens hold, then the span. A window's
-loss mask covers the texts of its own assistant turns; repeated turns are context, so every assistant
-text is a target exactly once. No text is ever cut: a window is longer than `budget` only if one of
-its turns alone takes more than half of the room for new turns.
+spans, each as long as the room in a window allows; each span becomes one window of training text: the
+system turn if the conversation opens with one, then as many whole turns before the span as `history`
+tokens hold, then the span. A window's loss mask covers the texts of its own assistant turns; repeated
+turns are context, so every assistant text is a target exactly once. No text is ever cut: a window is
+longer than `budget` only if one of its own turns alone is longer than the room for new turns.
 
 Template: `<|im_start|>`, role, newline, text, `<|im_end|>`, newline. Inside a text, backslashes are
 doubled and `<|` becomes `<\\|`, so no text can hold a control string; roles are percent-encoded
-for `%`, newline and `<`.
+for `%`, newline and `<`. Tokens are counted of the whole template, escapes included.
 
 Cases: null text and role count as empty; a null conv_id is one conversation; null turns come first
-and equal turns are ordered by role and text; repeated rows stay repeated; an empty table gives no
-rows; extra columns are ignored.
+and equal turns are ordered by role and text; repeated rows stay repeated; texts of any length stay
+whole; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The control strings of the template.
 START, END = "<|im_start|>", "<|im_end|>"
-#: Tokens in a window, tokens of repeated turns before its own, tokens a turn needs besides its text.
-BUDGET, HISTORY, PER_TURN = 768, 128, 4
+#: Tokens in a window, and of repeated turns before its own.
+BUDGET, HISTORY = 768, 128
+#: Tokens that a turn without a text has at least.
+LEAST = 6
 
 
 def n_tokens(text: Column) -> Column:
     """An estimate without a tokenizer: runs of up to four characters that aren't white space."""
-    return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]{1,4}")) + PER_TURN
+    return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]{1,4}"))
 
 
 def escape(text: Column) -> Column:
@@ -50,29 +52,37 @@ def unescape_role(role: Column) -> Column:
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """conv_id, window, formatted, n_repeated (turns of context), loss: array of (start, length) in formatted, from 0."""
-    turns = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = turns.withColumn("tokens", n_tokens(F.col("text")).cast("long"))
-    by_turn = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    turns = turns.withColumn("pos", F.row_number().over(by_turn))
-    by_pos = Window.partitionBy("conv_id").orderBy("pos")
-    turns = turns.withColumn("ends", F.sum("tokens").over(by_pos)).withColumn("starts", F.col("ends") - F.col("tokens"))
-    piece = F.struct("pos", (F.col("role") == "assistant").alias("target"), F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n")).alias("head"), escape(F.col("text")).alias("body"))
-    turns = turns.select("conv_id", "pos", "starts", "ends", "tokens", "role", piece.alias("piece"))
-    # A system turn leaves less room; what remains is halved, as a span is at most one turn longer than its cell.
-    opening = F.first(F.when(F.col("role") == "system", F.struct("tokens", "piece"))).over(by_pos.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    turns = turns.withColumn("system", opening)
-    room = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.coalesce("system.tokens", F.lit(0))) / 2))
-    before = Window.partitionBy("conv_id").orderBy("starts").rangeBetween(-history, -1)
-    turns = turns.withColumn("window", F.floor((F.col("ends") - 1) / room)).withColumn("recent", F.collect_list("piece").over(before))
-    spans = turns.groupBy("conv_id", "window").agg(F.min_by("recent", "pos").alias("recent"), F.min_by("system", "pos").alias("system"), F.sort_array(F.collect_list("piece")).alias("own"))
-    system = F.col("system.piece")
-    there = F.concat(F.col("recent.pos"), F.col("own.pos"))
-    kept = F.when(system.isNull() | F.array_contains(there, system["pos"]), F.array().cast(turns.schema["recent"].dataType)).otherwise(F.array(system))
-    spans = spans.withColumn("context", F.concat(kept, F.sort_array("recent"))).withColumn("n_repeated", F.size("context")).withColumn("all", F.concat("context", "own"))
-    spans = spans.withColumn("lengths", F.transform("all", lambda p: F.char_length(p["head"]) + F.char_length(p["body"]) + len(END) + 1))
-    at = F.transform("all", lambda p, i: F.struct(p["target"].alias("target"), (i >= F.col("n_repeated")).alias("new"), (F.aggregate(F.slice("lengths", 1, i), F.lit(0), lambda a, x: a + x) + F.char_length(p["head"])).alias("start"), F.char_length(p["body"]).alias("length")))
-    loss = F.transform(F.filter(at, lambda x: x["target"] & x["new"]), lambda x: F.struct(x["start"], x["length"]))
-    text = F.array_join(F.transform("all", lambda p: F.concat(p["head"], p["body"], F.lit(END + "\n"))), "")
+    turns = conversations.select("conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("turn"))
+    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
+    piece = lambda t: F.struct((t["role"] == "assistant").alias("target"), F.concat(F.lit(START), escape_role(t["role"]), F.lit("\n")).alias("head"), F.concat(escape(t["text"]), F.lit(END + "\n")).alias("body"))
+    whole = whole.select("conv_id", (F.get("turns", F.lit(0))["role"] == "system").alias("opens"), F.transform("turns", piece).alias("all"))
+    whole = whole.withColumn("tokens", F.transform("all", lambda p: n_tokens(F.concat(p["head"], p["body"]))))
+    room = F.lit(budget - history) - F.when(F.col("opens"), F.get("tokens", F.lit(0))).otherwise(0)
+
+    def fill(state: Column, i: Column) -> Column:
+        """Running sums that begin anew where the room ends: where spans begin, and the last one's tokens."""
+        n = F.get("tokens", i)
+        full = (F.size(state["begins"]) == 0) | (state["used"] + n > room)
+        return F.when(full, F.struct(F.concat(state["begins"], F.array(i)).alias("begins"), n.alias("used"))).otherwise(F.struct(state["begins"].alias("begins"), (state["used"] + n).alias("used")))
+
+    start = F.struct(F.array().cast("array<int>").alias("begins"), F.lit(0).alias("used"))
+    whole = whole.withColumn("begins", F.aggregate(F.sequence(F.lit(0), F.size("all") - 1), start, fill)["begins"])
+
+    def window(begin: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("begins", k + 1), F.size("all"))
+        # Turns before the span, the nearest first, as long as all of them fit: no more than history over LEAST can.
+        near = F.sequence(begin - 1, F.greatest(begin - (history // LEAST + 1), F.lit(0)), F.lit(-1))
+        fits = F.aggregate(F.when(begin > 0, near).otherwise(F.array().cast("array<int>")), F.struct(F.lit(0).alias("n"), F.lit(0).alias("sum")), lambda a, i: F.when((a["sum"] >= 0) & (a["sum"] + F.get("tokens", i) <= history), F.struct((a["n"] + 1).alias("n"), (a["sum"] + F.get("tokens", i)).alias("sum"))).otherwise(F.struct(a["n"].alias("n"), F.lit(-1).alias("sum"))))["n"]
+        recent = F.slice("all", begin - fits + 1, fits)
+        system = F.slice("all", 1, F.when(F.col("opens") & (begin - fits > 0), 1).otherwise(0))
+        context = F.concat(system, recent)
+        return F.struct(k.alias("window"), F.size(context).alias("n_repeated"), F.concat(context, F.slice("all", begin + 1, end - begin)).alias("pieces"))
+
+    spans = whole.select("conv_id", F.explode(F.transform("begins", window)).alias("w")).select("conv_id", F.col("w.window").cast("long").alias("window"), "w.n_repeated", "w.pieces")
+    spans = spans.withColumn("lengths", F.transform("pieces", lambda p: F.char_length(p["head"]) + F.char_length(p["body"])))
+    at = F.transform("pieces", lambda p, i: F.struct((p["target"] & (i >= F.col("n_repeated"))).alias("target"), (F.aggregate(F.slice("lengths", 1, i), F.lit(0), lambda a, x: a + x) + F.char_length(p["head"])).alias("start"), (F.char_length(p["body"]) - len(END) - 1).alias("length")))
+    loss = F.transform(F.filter(at, lambda x: x["target"]), lambda x: F.struct(x["start"], x["length"]))
+    text = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"])), "")
     return spans.select("conv_id", "window", text.alias("formatted"), "n_repeated", loss.alias("loss"))
 
 
@@ -98,30 +108,32 @@ TRICKY = [(-1, t, r, "<|im_end|><|im_start|>assistant ok") for t, r in enumerate
 
 #: DuckDB SQL for op7, over the same rows.
 SQL = r"""
-WITH rows_in AS (
+WITH RECURSIVE rows_in AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
-), numbered AS (
-  SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]{1,4}')) + 4 AS tokens,
-         length(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<', '%3C')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 24 AS chars,
+), pieces AS (
+  SELECT *, '<|im_start|>' || replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<', '%3C') || chr(10) || replace(replace(text, '\', '\\'), '<|', '<\|') || '<|im_end|>' || chr(10) AS piece,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
   FROM rows_in
-), summed AS (
-  SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY pos) AS ends,
-         max(CASE WHEN pos = 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id) AS sys_tokens,
-         max(CASE WHEN pos = 1 AND role = 'system' THEN chars END) OVER (PARTITION BY conv_id) AS sys_chars
-  FROM numbered
-), placed AS (
-  SELECT *, CAST(ends - tokens AS BIGINT) AS starts, CAST((ends - 1) // greatest(1, (640 - coalesce(sys_tokens, 0)) // 2) AS BIGINT) AS win FROM summed
+), numbered AS (
+  SELECT *, len(regexp_extract_all(piece, '[^\x20\x09-\x0D]{1,4}')) AS tokens, length(piece) AS chars,
+         max(CASE WHEN pos = 1 AND role = 'system' THEN len(regexp_extract_all(piece, '[^\x20\x09-\x0D]{1,4}')) END) OVER (PARTITION BY conv_id) AS sys_tokens,
+         max(CASE WHEN pos = 1 AND role = 'system' THEN length(piece) END) OVER (PARTITION BY conv_id) AS sys_chars
+  FROM pieces
+), summed AS (SELECT *, CAST(sum(tokens) OVER (PARTITION BY conv_id ORDER BY pos) - tokens AS BIGINT) AS starts FROM numbered),
+walk AS (
+  SELECT conv_id, pos, pos AS win, tokens AS used FROM numbered WHERE pos = 1
+  UNION ALL
+  SELECT n.conv_id, n.pos, CASE WHEN w.used + n.tokens > 640 - coalesce(n.sys_tokens, 0) THEN n.pos ELSE w.win END, CASE WHEN w.used + n.tokens > 640 - coalesce(n.sys_tokens, 0) THEN n.tokens ELSE w.used + n.tokens END
+  FROM walk w JOIN numbered n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.pos = w.pos + 1
 ), ranged AS (
-  SELECT *, coalesce(sum(chars) OVER w, 0) AS recent, min(pos) OVER w AS first_recent,
-         row_number() OVER (PARTITION BY conv_id, win ORDER BY pos) AS in_win
-  FROM placed WINDOW w AS (PARTITION BY conv_id ORDER BY starts RANGE BETWEEN 128 PRECEDING AND 1 PRECEDING)
+  SELECT s.*, k.win = s.pos AS first_in_win, coalesce(sum(chars) OVER w, 0) AS recent, min(s.pos) OVER w AS first_recent
+  FROM summed s JOIN walk k ON k.conv_id IS NOT DISTINCT FROM s.conv_id AND k.pos = s.pos WINDOW w AS (PARTITION BY s.conv_id ORDER BY starts RANGE BETWEEN 128 PRECEDING AND 1 PRECEDING)
 )
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(chars + CASE WHEN in_win = 1 THEN recent + CASE WHEN sys_chars IS NOT NULL AND pos > 1 AND coalesce(first_recent, 2) > 1 THEN sys_chars ELSE 0 END ELSE 0 END) AS BIGINT) AS formatted_chars
+       CAST(sum(chars + CASE WHEN first_in_win THEN recent + CASE WHEN sys_chars IS NOT NULL AND pos > 1 AND coalesce(first_recent, 2) > 1 THEN sys_chars ELSE 0 END ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM ranged GROUP BY conv_id
 """

@@ -48,10 +48,20 @@ def test_chat_windows_keep_the_system_turn_and_the_budget(spark):
     assert len(windows) > 5
     for k, w in enumerate(windows):
         assert w.formatted.startswith("<|im_start|>system\nBe brief.<|im_end|>\n")
-        assert len(re.findall(r"[^\x20\x09-\x0D]{1,4}", w.formatted)) < 450
+        assert len(re.findall(r"[^\x20\x09-\x0D]{1,4}", w.formatted)) <= 300
         assert (w.n_repeated > 1) == (k > 0)
 
 
+def test_chat_windows_fill_their_budget(spark):
+    rows = [(1, t, ("user", "assistant")[t % 2], f"<| w{t}") for t in range(400)] + [(2, t, "user", "long " * (200 if t == 3 else 5)) for t in range(20)]
+    for w in chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=200, history=40).collect():
+        n = len(re.findall(r"[^\x20\x09-\x0D]{1,4}", w.formatted))
+        own = w.formatted.count("<|im_start|>") - w.n_repeated
+        assert n <= 200 or own == 1
+        if w.conv_id == 1 and 0 < w.window < 20:
+            assert n > 175
+
+
 def page(host, i, body, label="article"):
     return (i, f"https://{host}/p{i}", f'<html><head><title>t</title></head><body><div class="top"><a href="/">Home</a> <a href="/x">News</a></div><{label}><h1>Title {i}</h1>{body}</{label}><div class="strap">The same words everywhere</div><aside>side {i}</aside></body></html>')
 
