@@ -179,3 +179,8 @@ def at_path(json: Column, path: str) -> Column:
     """The value at a dotted path, whose parts may be list indices, of a JSON text; null if it isn't there."""
     steps = "".join(f"[{p}]" if p.isdigit() else f".{p}" for p in path.split("."))
     return F.get_json_object(json, f"${steps}")
+
+
+def masked(a: Column, mask: Column) -> Column:
+    """Entries whose place in the mask is true; parallel arrays keep the same ones."""
+    return F.filter(a, lambda _, i: F.coalesce(F.get(mask, i), F.lit(False)))

@@ -6,6 +6,8 @@ thresholds. Windows run by class, or over one row a threshold.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -269,3 +271,33 @@ def canonical_peptides(seqs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def passing(radmats: DataFrame, filters: DataFrame, key: str = "row_i") -> DataFrame:
     """Rows whose filter row says pass_all, before they are classified."""
     return radmats.join(filters.filter("pass_all").select(key), key, "left_semi")
+
+
+def nearest_classes(radmats: DataFrame, tracks: DataFrame, likely: DataFrame, k: int, sigma: float, block: int = 2000) -> DataFrame:
+    """(row_i, pred_i, score): reads by the peptides of their k nearest expected tracks, with weights that fall by a normal law of width sigma.
+
+    radmats: (row_i, radmat) in dyes; tracks: (dyt_i, vec); likely: (dyt_i, pep_i, p). Reads meet the broadcast
+    tracks of their own experiment, which are bounded by its scheme, block by block.
+    """
+    known = tracks.select("dyt_i", F.col("vec").cast("array<double>").alias("vec")).orderBy("dyt_i").toPandas()
+    spark = radmats.sparkSession
+    shared = spark.sparkContext.broadcast((known["dyt_i"].to_numpy(), np.array(known["vec"].tolist(), float).reshape(len(known), -1)))
+
+    def run(batches):
+        ids, vecs = shared.value
+        for batch in batches:
+            rows = []
+            for begin in range(0, batch.num_rows, block):
+                part = batch.slice(begin, block)
+                x = np.array(part.column("radmat").to_pylist(), float)
+                d = ((x * x).sum(axis=1)[:, None] + (vecs * vecs).sum(axis=1)[None, :] - 2 * x @ vecs.T).clip(0)
+                near = np.argsort(d, axis=1, kind="stable")[:, :k]
+                weight = np.exp(-np.take_along_axis(d, near, axis=1) / (2 * sigma * sigma))
+                rows.append((np.repeat(part.column("row_i").to_numpy(), near.shape[1]), ids[near].ravel(), weight.ravel()))
+            columns = [np.concatenate(c) for c in zip(*rows, strict=True)] if rows else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["row_i", "dyt_i", "w"])
+
+    near = radmats.select(F.col("row_i").cast("long").alias("row_i"), F.col("radmat").cast("array<double>").alias("radmat")).mapInArrow(run, "row_i long, dyt_i long, w double")
+    by = near.join(likely, "dyt_i").groupBy("row_i", "pep_i").agg(F.sum(F.col("w") * F.col("p")).alias("w"))
+    total = by.groupBy("row_i").agg(F.sum("w").alias("all"), F.max_by("pep_i", F.struct("w", -F.col("pep_i"))).alias("pred_i"), F.max("w").alias("best"))
+    return total.select("row_i", "pred_i", safe_divide(F.col("best"), F.col("all")).alias("score"))

@@ -189,3 +189,9 @@ def first_and_last(rows: DataFrame, key: str, order: str, true: Column) -> DataF
 def intersection(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(key, left_i, right_i): keys of both, with their numbers (row_i) on either side."""
     return left.select(key, F.col("row_i").alias("left_i")).join(right.select(key, F.col("row_i").alias("right_i")), key)
+
+
+def with_flus(peps: DataFrame, flus: DataFrame) -> DataFrame:
+    """Peptides with their labelled pattern, how many share it, and its dyes: flus (pep_i, flustr, n_dyes_max_any_ch)."""
+    counts = flus.groupBy("flustr").agg(F.count("*").alias("flu_count"))
+    return peps.join(flus.join(counts, "flustr"), "pep_i", "left")

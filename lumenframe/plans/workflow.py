@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass, field, fields as fields_of, is_dataclass
 from typing import Any, get_type_hints
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -118,6 +119,16 @@ def trained_and_tested(peps: DataFrame, job: Job, n_trees: int = 20, depth: int
     return calls, evaluate.precision_recall(evaluate.confusion(calls))
 
 
+def drawn(priors: dict[str, Any], seed: int = 1) -> dict[str, float]:
+    """A value of each prior: numbers stay, {"mean", "sd"} is normal, {"low", "high"} uniform; each depends on seed and name alone, and chances (names `p_...`) stay in [0, 1]."""
+    out = {}
+    for name, prior in priors.items():
+        rng = np.random.default_rng([seed, *name.encode()])
+        value = prior if not isinstance(prior, dict) else rng.normal(prior["mean"], prior["sd"]) if "mean" in prior else rng.uniform(prior["low"], prior["high"])
+        out[name] = simulate.clipped(float(value)) if name.split(".")[-1].startswith("p_") else float(value)
+    return out
+
+
 def remapped(priors: dict[str, Any], channels: list[int]) -> dict[str, Any]:
     """Priors of chosen channels, numbered anew from 0: names end in `.ch_<i>`; shifts (`shift_y.`, `shift_x.`) are told from the new first channel."""
     out = {k: v for k, v in priors.items() if ".ch_" not in k}

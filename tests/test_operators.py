@@ -437,3 +437,16 @@ def test_results_by_columns_and_grids(spark, tmp_path):
     tables.write_grid(spark.createDataFrame([(1, [2, 3])], "a int, v array<int>"), f"file://{tmp_path}/grid")
     assert [tuple(r) for r in spark.read.csv(f"file://{tmp_path}/grid", header=True).collect()] == [("1", "2;3")]
     assert dict(tables.read_bootstrap(spark, f"file://{tmp_path}/grid").dtypes)["a"] == "int"
+
+
+def test_masks_priors_and_nearest_classes(spark):
+    assert one(spark, arrays.masked(F.col("t"), F.array(F.lit(True), F.lit(None), F.lit(True))), t=[1, 2, 3]) == [1, 3]
+    values = workflow.drawn({"p_x": {"mean": 5.0, "sd": 0.1}, "gain": {"low": 2.0, "high": 3.0}, "n": 4})
+    assert values["p_x"] == 1.0 and 2 <= values["gain"] <= 3 and values["n"] == 4.0 and values == workflow.drawn({"p_x": {"mean": 5.0, "sd": 0.1}, "gain": {"low": 2.0, "high": 3.0}, "n": 4})
+    tracks = spark.createDataFrame([(1, [2.0, 1.0]), (2, [1.0, 1.0]), (3, [0.0, 3.0])], "dyt_i long, vec array<double>")
+    likely = spark.createDataFrame([(1, 10, 1.0), (2, 10, 0.4), (2, 20, 0.6), (3, 30, 1.0)], "dyt_i long, pep_i long, p double")
+    reads = spark.createDataFrame([(0, [1.9, 1.1]), (1, [0.1, 2.8]), (2, [1.0, 1.0])], "row_i long, radmat array<double>")
+    found = {r.row_i: r for r in evaluate.nearest_classes(reads, tracks, likely, 2, 0.3).collect()}
+    assert {i: r.pred_i for i, r in found.items()} == {0: 10, 1: 30, 2: 20} and all(0 < r.score <= 1 for r in found.values())
+    flus = spark.createDataFrame([(1, "a", 2), (2, "a", 2), (3, "b", 1)], "pep_i long, flustr string, n_dyes_max_any_ch int")
+    assert {(r.pep_i, r.flu_count) for r in relational.with_flus(spark.range(1, 5).withColumnRenamed("id", "pep_i"), flus).collect()} == {(1, 2), (2, 2), (3, 1), (4, None)}
