@@ -40,11 +40,14 @@ def tokenize(text: Column) -> Column:
 
     Null gives null. Other characters raise an error, as do brackets without a partner.
     """
-    clean = without_comments(text)
-    clean = F.regexp_replace(clean, r"\s+(?![^\[]*\])", "")
+    wrong = F.raise_error(F.concat(F.lit("not a residue sequence: "), F.substring(text, 1, 80))).cast("array<string>")
+    # Most sequences have no marks: their letters are their tokens.
+    plain = F.regexp_replace(text, r"\s+", "")
+    simple = F.when(plain.rlike(r"[^A-Za-z0-9.]"), wrong).when(plain == "", F.array().cast("array<string>")).otherwise(F.split(F.upper(plain), "(?!^)(?!$)"))
+    clean = F.regexp_replace(without_comments(text), r"\s+(?![^\[]*\])", "")
     tokens = F.transform(F.regexp_extract_all(clean, F.lit(r"([A-Za-z0-9.](?:\[[^\[\]]*\])?)")), lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, F.lit(2), F.char_length(t))))
-    legal = F.regexp_replace(clean, r"[A-Za-z0-9.](?:\[[^\[\]]*\])?", "") == ""
-    return F.when(text.isNull(), None).when(legal, tokens).otherwise(F.raise_error(F.concat(F.lit("not a residue sequence: "), F.substring(text, 1, 80))).cast("array<string>"))
+    marked = F.when(F.regexp_replace(clean, r"[A-Za-z0-9.](?:\[[^\[\]]*\])?", "") == "", tokens).otherwise(wrong)
+    return F.when(text.isNull(), None).when(text.rlike(r"[\[\]()]"), marked).otherwise(simple)
 
 
 def letters(text: Column) -> Column:

@@ -13,7 +13,7 @@ DECAY = 0.8
 
 
 #: Tracks in a block on average.
-BLOCK = 2000
+BLOCK = 1000
 
 
 def nearest_tracks(tracks: DataFrame, k: int, distance: str = "l1", block: int = BLOCK) -> DataFrame:
@@ -42,7 +42,8 @@ def nearest_tracks(tracks: DataFrame, k: int, distance: str = "l1", block: int =
         for i, v in enumerate(x):
             d = np.abs(y - v).sum(axis=1) if distance == "l1" else np.sqrt(((y - v) ** 2).sum(axis=1))
             d[other_ids == ids[i]] = np.inf
-            near = np.lexsort((other_ids, d))[:k]
+            near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
+            near = near[np.lexsort((other_ids[near], d[near]))][:k]
             near = near[np.isfinite(d[near])]
             out.append((np.full(len(near), ids[i]), other_ids[near], d[near]))
         return [np.concatenate(c) if out else np.zeros(0) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
