@@ -26,6 +26,7 @@ extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +48,7 @@ UNIT = 2_000_000
 #: Width of a position block in a unit's index.
 BLOCK = 8
 #: Keys of lists that a partition holds before it sends them on, and that a range of keys has on average.
-LISTED = 4_000_000
+LISTED = 1_000_000
 
 
 def bands(percent: int, most: int = 1 << 40) -> list[int]:
@@ -84,22 +85,18 @@ def signatures(items: np.ndarray, percent: int, least: list[int]) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, d1 and d2 (the set's digest), keys of every row."""
+def _described(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, n, d1 and d2 (the set's digest) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = bands(percent)
         for batch in batches:
             for begin, texts in chunks(batch.column("text").to_pylist()):
                 sets = shingle_sets(texts, words)
                 n = np.array([len(s) for s in sets], np.int64)
                 digests = [np.array([mix(s ^ U(k)).sum(dtype=U) for s in sets], U).astype(np.int64) for k in (0x2545F4914F6CDD1D, 0x5851F42D4C957F2D)]
-                keys = [signatures(s, percent, least) for s in sets]
-                at = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
-                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(keys).astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, len(texts)), pa.array(n), *map(pa.array, digests), lists], names=["doc_id", "n", "d1", "d2", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, len(texts)), pa.array(n), *map(pa.array, digests)], names=["doc_id", "n", "d1", "d2"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long")
 
 
 def skip_join(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -191,18 +188,17 @@ def _firsts(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[begins], ids[begins], pairs[:, 0], pairs[:, 1]
 
 
-def _candidates(described: DataFrame) -> DataFrame:
-    """Links (a, b) of the classes of each list (doc_id, keys) to the list's first one.
+def _candidates(docs: DataFrame, total: int, words: int, percent: int) -> DataFrame:
+    """Links (a, b) of the documents of each list to the list's first one. total: shingles of all documents.
 
-    A partition links the classes of its own lists and sends on each list's first class only, so that a
-    list of very many classes is no large group; what it sends is packed by ranges of the key.
+    A partition links the documents of its own lists and sends on each list's first one only, so that a
+    list of very many documents is no large group; what it sends is packed by ranges of the key.
     """
-    total = described.agg(F.sum(F.size("keys"))).first()[0] or 0
     buckets = 1 << max(4, (total // LISTED).bit_length())
     shift = U(48 - buckets.bit_length() + 1)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        least, held, waiting = bands(percent), [], 0
 
         def out() -> pa.RecordBatch:
             keys, ids = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -213,16 +209,20 @@ def _candidates(described: DataFrame) -> DataFrame:
             spans = [(k, x, y) for k, (x, y) in enumerate(zip(cuts.tolist(), cuts[1:].tolist(), strict=False)) if x < y]
             rows = [(k, _packed(keys[x:y], ids[x:y])) for k, x, y in spans]
             # Links found here go by ranges below zero.
-            rows += [(-1 - i % buckets, np.stack([a[i : i + 50_000], b[i : i + 50_000]]).tobytes()) for i in range(0, len(a), 50_000)]
+            rows += [(-1 - i // 50_000 % buckets, np.stack([a[i : i + 50_000], b[i : i + 50_000]]).tobytes()) for i in range(0, len(a), 50_000)]
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
-            lists = batch.column("keys")
-            keys = lists.flatten().to_numpy().view(U)
-            if len(keys):
-                held.append((keys, np.repeat(batch.column("doc_id").to_numpy(), np.diff(lists.offsets.to_numpy()))))
-            if sum(len(k) for k, _ in held) > LISTED:
-                yield out()
+            for begin, texts in chunks(batch.column("text").to_pylist()):
+                keys = [signatures(s, percent, least) for s in shingle_sets(texts, words)]
+                ids = batch.column("doc_id").slice(begin, len(texts)).to_pylist()
+                sizes = [len(k) if i is not None else 0 for k, i in zip(keys, ids, strict=True)]
+                if sum(sizes):
+                    held.append((np.concatenate([k for k, n in zip(keys, sizes, strict=True) if n]), np.repeat(np.array([i or 0 for i in ids], np.int64), sizes)))
+                    waiting += sum(sizes)
+                if waiting > LISTED:
+                    yield out()
+                    waiting = 0
         if held:
             yield out()
 
@@ -235,10 +235,16 @@ def _candidates(described: DataFrame) -> DataFrame:
             _, _, a, b = _firsts(*(np.concatenate(x) for x in zip(*map(_unpacked, blobs), strict=True)))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    sent = described.select("doc_id", "keys").mapInArrow(send, "bucket int, blob binary")
+    sent = docs.mapInArrow(send, "bucket int, blob binary")
     return sent.groupBy("bucket").applyInArrow(link, "a long, b long").distinct()
 
 
+def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bodies = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bodies, pa.binary())], names=["doc_id", "body"])
+
+
 def _links(docs: DataFrame, clusters: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between classes of a cluster: spanning forests of its units."""
     least = F.array(*(F.lit(x).cast("long") for x in bands(percent, 1 << 31)))
@@ -253,32 +259,37 @@ def _links(docs: DataFrame, clusters: DataFrame, sizes: DataFrame, words: int, p
     split = twice.select("node", "cluster", "unit", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
     whole = placed.join(large, "cluster", "left_anti").select("node", "cluster", F.lit(-1).alias("unit"), F.lit(0).alias("i"), F.lit(0).alias("j"))
     units = materialize(whole.unionByName(split), "units")
-    # Texts travel, as they take less room than sets of hashes.
-    rows = join_small(docs.select("doc_id", "text"), units.withColumnRenamed("node", "doc_id"), "doc_id", "inner")
+    # Packed texts travel, as they take less room than sets of hashes.
+    rows = join_small(docs.select("doc_id", "text").mapInArrow(_zipped, "doc_id long, body binary"), units.withColumnRenamed("node", "doc_id"), "doc_id", "inner")
 
     def join(group: pa.Table) -> pa.Table:
         ids, sets = group.column("doc_id").to_numpy(), []
-        for _, texts in chunks(group.column("text").to_pylist()):
+        for _, texts in chunks([zlib.decompress(x).decode("utf-8", "surrogatepass") for x in group.column("body").to_pylist()]):
             sets += shingle_sets(texts, words)
         filled = [k for k, s in enumerate(sets) if len(s)]
         forest = skip_join(ids[filled], [sets[k] for k in filled], percent) if filled else []
         return pa.table({"a": pa.array([a for a, _ in forest], pa.int64()), "b": pa.array([b for _, b in forest], pa.int64())})
 
-    return rows.select("cluster", "unit", "i", "j", "doc_id", "text").groupBy("cluster", "unit", "i", "j").applyInArrow(join, "a long, b long")
+    return rows.select("cluster", "unit", "i", "j", "doc_id", "body").groupBy("cluster", "unit", "i", "j").applyInArrow(join, "a long, b long")
 
 
 def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = materialize(_described(docs, words, percent), "shingle-sets")
-    slim = described.select("doc_id", "n", "d1", "d2")
+    slim = materialize(_described(docs, words), "shingle-sets")
     # Classes of one row need no class: they are the row's own.
     classes = materialize(slim.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("class"), F.count("*").alias("rows")).filter("rows > 1 or class is null").drop("rows"), "classes")
-    copies = materialize(join_hot(slim.filter("n > 0"), classes, ["d1", "d2"], "inner").filter("doc_id is null or doc_id <> class").select("doc_id", "d1", "d2").distinct(), "copies")
-    alone = join_small(described.filter("n > 0 and doc_id is not null"), copies, ["doc_id", "d1", "d2"], "left_anti")
-    stars = materialize(_candidates(alone), "candidates")
+    # Documents all of whose texts are one class's stand for it.
+    stands = join_hot(slim.filter("n > 0 and doc_id is not null"), classes, ["d1", "d2"]).withColumn("class", F.coalesce("class", "doc_id")).groupBy("doc_id").agg(F.min("class").alias("class"), F.max("class").alias("most"))
+    copies = materialize(stands.filter("class = most and doc_id <> class").drop("most"), "copies")
+    met = _candidates(docs, slim.agg(F.sum("n")).first()[0] or 0, words, percent)
+    # A list's documents stand for their classes; those with several texts for themselves.
+    for end in ("a", "b"):
+        met = join_small(met, copies.withColumnsRenamed({"doc_id": end, "class": f"of_{end}"}), end)
+    pair = [F.coalesce("of_a", "a"), F.coalesce("of_b", "b")]
+    stars = materialize(met.select(F.least(*pair).alias("a"), F.greatest(*pair).alias("b")).filter("a <> b").distinct(), "candidates")
     clusters = connected_components(stars)
-    sizes = alone.select("doc_id", "n").groupBy("doc_id").agg(F.max("n").alias("n"))
+    sizes = slim.filter("n > 0").groupBy("doc_id").agg(F.max("n").alias("n"))
     links = materialize(_links(docs, clusters, sizes, words, percent), "links")
     reached = materialize(connected_components(links).withColumnRenamed("node", "class"), "reached")
     # Rows of several-row classes get their class's component, others their own.

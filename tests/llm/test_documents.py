@@ -86,6 +86,14 @@ def test_jaccard_in_large_clusters(spark, docs, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id if r.doc_id is not None else None) for r in found) == brute_components(corpus())
 
 
+def test_jaccard_with_one_id_of_several_texts(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(3, a, ""), (5, a, ""), (5, b, ""), (7, b + " end", ""), (9, b + " end", ""), (11, "other words here", "")]
+    found = jaccard.components(spark.createDataFrame(rows, "doc_id long, text string, keys string").repartition(3)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(rows)
+    assert {r.component_id for r in found} == {3, 11}
+
+
 def test_one_of_each_keeps_whole_rows(docs):
     kept = jaccard.one_of_each(docs)
     assert kept.columns == docs.columns
