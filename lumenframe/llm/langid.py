@@ -46,9 +46,13 @@ def log_frequencies(counts: list[dict[str, int]], most: int, least: int = 1) ->
     for c in counts:
         total.update(c)
     kept = sorted({k for c in counts for k in sorted((k for k in c if total[k] >= least), key=lambda k: (-c[k], k))[:most]})
+    return logs_of(kept, np.array([[c.get(k, 0) for c in counts] for k in kept], float))
+
+
+def logs_of(kept: list[str], table: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
+    """Places of keys, and their smoothed log frequencies by language less the mean over languages."""
     if not kept:
         return {}, np.zeros((0, 0), np.float32)
-    table = np.array([[c.get(k, 0) for c in counts] for k in kept], float)
     logs = np.log(table + 0.5) - np.log(table.sum(axis=0) + 0.5 * len(kept))
     return {k: i for i, k in enumerate(kept)}, (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
 
@@ -56,23 +60,33 @@ def log_frequencies(counts: list[dict[str, int]], most: int, least: int = 1) ->
 class Model:
     """What is learned, and what it scores a text."""
 
-    def __init__(self, counts: list[tuple[str, str, int]], of_grams: list[tuple[str, int, str, int]] | None = None):
-        """counts: language, word, times. of_grams: language, length, n-gram, times; those of the words if not given."""
-        self.langs = sorted({lang for lang, _, _ in counts} | {lang for lang, _, _, _ in of_grams or ()})
+    def __init__(self, counts: list[tuple[str, str, int]]):
+        """counts: language, word, times."""
+        self.langs = sorted({lang for lang, _, _ in counts})
         words: list[dict[str, int]] = [{} for _ in self.langs]
         by_n = [[Counter() for _ in self.langs] for _ in range(MAX_N + 1)]
         at = {lang: i for i, lang in enumerate(self.langs)}
         for lang, word, times in counts:
             words[at[lang]][word] = times
-        if of_grams is None:
-            of_grams = [(lang, n, gram, times) for lang, word, times in counts for n in range(1, MAX_N + 1) for gram in grams(word, n)]
-        for lang, n, gram, times in of_grams:
-            by_n[n][at[lang]][gram] += times
+            for n in range(1, MAX_N + 1):
+                for gram in grams(word, n):
+                    by_n[n][at[lang]][gram] += times
         # A word met once says less than its n-grams do.
         self.words, self.word_rows = log_frequencies(words, MAX_WORDS, least=2)
         self.grams = [log_frequencies(c, MAX_GRAMS) for c in by_n]
         self.forget()
 
+    @classmethod
+    def of_tables(cls, langs: list[str], tables: dict[int, tuple[list[str], np.ndarray]]) -> "Model":
+        """A model from keys and their counts by language: of words under 0, of n-grams under their length."""
+        model = cls([])
+        none = [], np.zeros((0, len(langs)))
+        model.langs = langs
+        model.words, model.word_rows = logs_of(*tables.get(0, none))
+        model.grams = [logs_of(*(tables.get(n, none) if n else none)) for n in range(MAX_N + 1)]
+        model.forget()
+        return model
+
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("raw", "cache", "rows")}
 
@@ -130,11 +144,13 @@ class Model:
         return self.langs[best], float(1 / np.exp(np.clip(sums - sums[best], -700, 0)).sum())
 
 
-def _common(counted: DataFrame, by: list[str], most: int) -> DataFrame:
-    """Of (lang, *by, key, n), the rows of keys that are among the `most` commonest of their kind in any language."""
-    order = Window.partitionBy("lang", *by).orderBy(F.col("n").desc(), "key")
-    kept = counted.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= most).select(*by, "key").distinct()
-    return counted.join(kept, [*by, "key"], "left_semi")
+def _common(counted: DataFrame, langs: list[str], most: int) -> DataFrame:
+    """(size, key, counts): of (lang, size, key, n) the keys that are among the `most` commonest of their size in any language, with their counts by language."""
+    order = Window.partitionBy("lang", "size").orderBy(F.col("n").desc(), "key")
+    kept = counted.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= most).select("size", "key").distinct()
+    by = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
+    wide = counted.join(kept, ["size", "key"], "left_semi").groupBy("size", "key").agg(by.alias("by"))
+    return wide.select("size", "key", F.array(*(F.coalesce(F.element_at("by", F.lit(lang)), F.lit(0)).cast("double") for lang in langs)).alias("counts"))
 
 
 def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Model:
@@ -160,12 +176,14 @@ def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Model:
     parts = words.select("lang", "n", F.explode(F.flatten(F.array(*map(runs, range(1, MAX_N + 1))))).alias("part"))
     of_grams = materialize(parts.groupBy("lang", "part.size", F.col("part.gram").alias("key")).agg(F.sum("n").alias("n")), "language-grams")
     again = words.groupBy("key").agg(F.sum("n").alias("all")).filter("all > 1").select("key")
-    kept_words = _common(words.join(again, "key", "left_semi"), [], MAX_WORDS).toPandas()
-    kept_grams = _common(of_grams, ["size"], MAX_GRAMS).toPandas()
-    return Model(
-        list(zip(kept_words["lang"], kept_words["key"], kept_words["n"].tolist(), strict=True)),
-        list(zip(kept_grams["lang"], kept_grams["size"].tolist(), kept_grams["key"], kept_grams["n"].tolist(), strict=True)),
-    )
+    langs = sorted(counts)
+    found = _common(words.join(again, "key", "left_semi").withColumn("size", F.lit(0)), langs, MAX_WORDS).unionByName(_common(of_grams, langs, MAX_GRAMS)).toArrow()
+    sizes = found.column("size").to_numpy()
+    tables = {}
+    for n in range(MAX_N + 1):
+        own = found.filter(pa.array(sizes == n))
+        tables[n] = own.column("key").to_pylist(), own.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, len(langs))
+    return Model.of_tables(langs, tables)
 
 
 def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
