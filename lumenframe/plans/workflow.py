@@ -35,13 +35,13 @@ class Priors:
 
 @dataclass
 class Job:
-    """What a workflow needs. Limits below 0 are unset."""
+    """What a workflow needs. Limits below 0 are unset: a test set is then as large as the training set."""
 
     enzymes: list[str] = field(default_factory=lambda: ["lysc"])
     labels: list[str] = field(default_factory=lambda: ["DE", "Y"])
     n_cycles: int = 8
     n_samples: int = 100
-    n_samples_test: int = 20
+    n_samples_test: int = -1
     decoys: bool = False
     seed: int = 1
 
@@ -49,7 +49,7 @@ class Job:
         unknown = [e for e in self.enzymes if e not in seq.ENZYMES]
         if unknown:
             raise ValueError(f"unknown enzymes: {unknown}")
-        if not self.labels or self.n_cycles < 1 or self.n_samples < 1 or self.n_samples_test < 1:
+        if not self.labels or self.n_cycles < 1 or self.n_samples < 1 or self.n_samples_test == 0:
             raise ValueError("a job needs labels, cycles and samples")
 
 
@@ -94,7 +94,7 @@ def simulated(peps: DataFrame, job: Job, test: bool = False) -> tuple[DataFrame,
     """Tracks of all peptides; the test set is drawn by itself."""
     n = len(job.labels)
     chem = simulate.Chemistry(n_channels=n, cycles=(simulate.PRE, *[simulate.EDMAN] * job.n_cycles), p_bright=(0.82,) * n, p_bleach=(0.06,) * n, p_mislabel=(0.0,) * n, seed=job.seed + 1_000_003 * test)
-    return simulate.dye_tracks(peps, job.n_samples_test if test else job.n_samples, chem), chem
+    return simulate.dye_tracks(peps, job.n_samples_test if test and job.n_samples_test > 0 else job.n_samples, chem), chem
 
 
 def surveyed(peps: DataFrame, job: Job, k: int = 10) -> DataFrame:
