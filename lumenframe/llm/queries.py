@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, fingerprints, html, jaccard, langid, mixing, packing, pseudo, quality, repair
+from . import ann, chat, fingerprints, html, jaccard, langid, mixing, packing, pieces, pseudo, quality, repair, variants
 from .common import load
 
 
@@ -57,6 +57,14 @@ def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(repair.edits(repair.damaged(load(spark, sf_dir, "conversations"))))
 
 
+def op12_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(pieces.encoded(load(spark, sf_dir, "documents")))
+
+
+def op13_group_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(load(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # a script at the repository's top, which need not be on the path for the other queries
 
@@ -65,7 +73,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     op1_jaccard_join, op2_classify_quality, op3_score_pseudo_likelihood, op4_identify_languages, op5_extract_text, op6_pack,
-    op7_format_chats, op8_nearest, op9_fingerprints, op10_mix_sources, op11_repair_conversations, pipeline,
+    op7_format_chats, op8_nearest, op9_fingerprints, op10_mix_sources, op11_repair_conversations, op12_encode_pieces, op13_group_variants, pipeline,
 )
 
 
@@ -74,4 +82,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_jaccard_join": jaccard.SQL, "op7_format_chats": chat.SQL, "op10_mix_sources": mixing.SQL, "op11_repair_conversations": repair.SQL}
+    return {"op1_jaccard_join": jaccard.SQL, "op7_format_chats": chat.SQL, "op10_mix_sources": mixing.SQL, "op11_repair_conversations": repair.SQL, "op13_group_variants": variants.SQL}
