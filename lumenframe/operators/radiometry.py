@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import lifespan, max_rise
+from .quantiles import exact_quantiles
+from .shared import is_few, join_counted, written
 
 
 def to_radmat(rows: DataFrame, n_channels: int, n_cycles: int, value: str = "signal") -> DataFrame:
@@ -136,18 +138,20 @@ def histogram_2d(rows: DataFrame, x: str, y: str, x_range: tuple[float, float],
 
 
 def box_plot(rows: DataFrame, by: str, value: str) -> DataFrame:
-    """(by, q0, q1, q2, q3, q4, low_fence, high_fence, n_outliers) of each group."""
-    q = rows.groupBy(by).agg(F.percentile(value, F.array(*(F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)))).alias("q"))
-    q = q.select(by, *(F.col("q")[i].alias(f"q{i}") for i in range(5)))
+    """(by, q0, q1, q2, q3, q4, low_fence, high_fence, n_outliers) of each group, exactly at any size of a group."""
+    q = exact_quantiles(rows, [by], value, [0.0, 0.25, 0.5, 0.75, 1.0]).drop("n")
     q = q.withColumn("low_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn("high_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    outside = rows.join(q, by).groupBy(by).agg(F.count_if((F.col(value) < F.col("low_fence")) | (F.col(value) > F.col("high_fence"))).alias("n_outliers"))
-    return q.join(outside, by)
+    q = written(q, "box-plots")
+    fences = q.select(F.col(by).alias("_by"), "low_fence", "high_fence")
+    near = rows.select(by, value).join(F.broadcast(fences) if is_few(fences) else fences, F.col(by).eqNullSafe(F.col("_by")))
+    outside = near.groupBy("_by").agg(F.count_if((F.col(value) < F.col("low_fence")) | (F.col(value) > F.col("high_fence"))).alias("n_outliers"))
+    return q.join(outside, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
 
 
 def signal_levels(rows: DataFrame, n_bins: int = 100) -> DataFrame:
     """(channel_i, cycle_i, p99, peak_bin): the 99th percentile and the fullest bin from 0 to it; the lowest of equals."""
-    top = rows.groupBy("channel_i", "cycle_i").agg(F.percentile("signal", F.lit(0.99)).alias("p99"))
-    binned = rows.join(top, ["channel_i", "cycle_i"]).filter((F.col("signal") >= 0) & (F.col("signal") <= F.col("p99")) & (F.col("p99") > 0)).withColumn("bin", F.least(F.floor(F.col("signal") / (F.col("p99") / n_bins)), F.lit(n_bins - 1)).cast("int"))
+    top = written(exact_quantiles(rows, ["channel_i", "cycle_i"], "signal", [0.99]).select("channel_i", "cycle_i", F.col("q0").alias("p99")), "signal-levels")
+    binned = join_counted(rows, top, ["channel_i", "cycle_i"], "inner").filter((F.col("signal") >= 0) & (F.col("signal") <= F.col("p99")) & (F.col("p99") > 0)).withColumn("bin", F.least(F.floor(F.col("signal") / (F.col("p99") / n_bins)), F.lit(n_bins - 1)).cast("int"))
     counts = binned.groupBy("channel_i", "cycle_i", "bin").agg(F.count("*").alias("n"))
     peak = counts.groupBy("channel_i", "cycle_i").agg(F.max_by("bin", F.struct("n", -F.col("bin"))).alias("peak_bin"))
     return top.join(peak, ["channel_i", "cycle_i"], "left")

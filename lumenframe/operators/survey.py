@@ -2,77 +2,15 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: How fast confusion falls with distance.
-DECAY = 0.8
-
-
-#: Tracks in a block on average.
-BLOCK = 1000
+from .nearest import nearest_tracks
 
+__all__ = ["best_schemes", "coverage", "coverage_of_spans", "filtered", "isolation", "nearest_tracks", "neighbour_metrics", "of_schemes", "ranked"]
 
-def nearest_tracks(tracks: DataFrame, k: int, distance: str = "l1", block: int = BLOCK) -> DataFrame:
-    """(dyt_i, other_i, d): the k nearest other tracks of each, exactly; ties go to the smaller id. tracks: (dyt_i, vec), one row a distinct track.
-
-    Blocks hold tracks of like norm. A first pass compares tracks of a block, which bounds the distances
-    that matter to it; as two tracks are at least as far apart as their norms, only blocks whose norms
-    are within that bound are compared with it. Vectors without an entry take no part.
-    """
-    norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + (F.abs(x) if distance == "l1" else x * x))
-    rows = tracks.select("dyt_i", F.col("vec").cast("array<double>").alias("vec")).filter("size(vec) > 0").withColumn("norm", norm if distance == "l1" else F.sqrt(norm))
-    n = rows.count()
-    parts = max(1, -(-n // block))
-    cuts = rows.agg(F.percentile_approx("norm", [i / parts for i in range(1, parts)] or [0.5], 100_000).alias("c")).first()["c"] or []
-    layer = F.size(F.filter(F.array(*(F.lit(float(c)) for c in sorted(set(cuts)))), lambda c: c < F.col("norm"))) if parts > 1 else F.lit(0)
-    rows = rows.withColumn("layer", layer)
-    # Tracks of one norm may be many: a layer is cut into hashed parts.
-    sizes = rows.groupBy("layer").agg(F.ceil(F.count("*") / block).alias("of"))
-    rows = rows.join(F.broadcast(sizes), "layer").withColumn("block", F.concat_ws("-", "layer", F.pmod(F.xxhash64("dyt_i"), F.col("of")))).select("dyt_i", "vec", "norm", "block")
-    hit = "dyt_i long, other_i long, d double"
-
-    def best(mine: pa.Table, others: pa.Table) -> list[np.ndarray]:
-        ids, other_ids = (t.column("dyt_i").to_numpy() for t in (mine, others))
-        x, y = (np.array(t.column("vec").to_pylist(), float) for t in (mine, others))
-        out = []
-        for i, v in enumerate(x):
-            d = np.abs(y - v).sum(axis=1) if distance == "l1" else np.sqrt(((y - v) ** 2).sum(axis=1))
-            d[other_ids == ids[i]] = np.inf
-            near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
-            near = near[np.lexsort((other_ids[near], d[near]))][:k]
-            near = near[np.isfinite(d[near])]
-            out.append((np.full(len(near), ids[i]), other_ids[near], d[near]))
-        return [np.concatenate(c) if out else np.zeros(0) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-
-    def table(columns: list[np.ndarray]) -> pa.Table:
-        return pa.table({"dyt_i": pa.array(columns[0], pa.int64()), "other_i": pa.array(columns[1], pa.int64()), "d": pa.array(columns[2], pa.float64())})
-
-    def bound(group: pa.Table) -> pa.Table:
-        found = best(group, group)
-        ids, times = np.unique(found[0], return_counts=True)
-        norms = group.column("norm").to_numpy()
-        far = float(found[2].max()) if len(ids) == group.num_rows and times.min(initial=k) >= k else np.inf
-        return pa.table({"block": group.column("block")[:1], "low": [norms.min()], "high": [norms.max()], "far": [far]})
-
-    blocks = rows.groupBy("block").applyInArrow(bound, "block string, low double, high double, far double")
-    other = blocks.select(F.col("block").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
-    # One row a block on both sides. A little slack covers rounding of norms.
-    slack = F.col("far") * (1 + 1e-9) + 1e-9
-    pairs = blocks.join(F.broadcast(other), (F.col("other_low") <= F.col("high") + slack) & (F.col("other_high") >= F.col("low") - slack)).select("block", "other")
-    mine = rows.join(F.broadcast(pairs), "block").select("block", "other", "dyt_i", "vec", F.lit(True).alias("mine"))
-    theirs = rows.withColumnRenamed("block", "other").join(F.broadcast(pairs), "other").select("block", "other", "dyt_i", "vec", F.lit(False).alias("mine"))
-
-    def compare(group: pa.Table) -> pa.Table:
-        own = group.column("mine")
-        return table(best(group.filter(own), group.filter(pc.invert(own))))
-
-    found = mine.unionByName(theirs).groupBy("block", "other").applyInArrow(compare, hit)
-    order = F.row_number().over(Window.partitionBy("dyt_i").orderBy("d", "other_i"))
-    return found.withColumn("rank", order).filter(F.col("rank") <= k).drop("rank")
+#: How fast confusion falls with distance.
+DECAY = 0.8
 
 
 def isolation(counts: DataFrame, near: DataFrame, likely: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays
 from ..operators import radiometry
+from ..operators.quantiles import exact_quantiles
 from .calls import TYPES
 from .registry import query, table
 
@@ -90,8 +91,8 @@ def boxplot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_type, round(quantile_cont(value, 0), 6) AS p0, round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75, round(quantile_cont(value, 1), 6) AS p100 FROM events GROUP BY 1")
 def distr_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "events").groupBy("event_type").agg(F.percentile("value", F.array(*(F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)))).alias("p"))
-    return p.select("event_type", *(F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("p0", "p25", "p50", "p75", "p100"))))
+    p = exact_quantiles(table(spark, sf_dir, "events"), ["event_type"], "value", [0.0, 0.25, 0.5, 0.75, 1.0])
+    return p.select("event_type", *(F.round(f"q{i}", 6).alias(n) for i, n in enumerate(("p0", "p25", "p50", "p75", "p100"))))
 
 
 @query(f"""WITH {ROWS}, ok AS (SELECT peak_i FROM rows_ WHERE channel_i = 2 AND field_i NOT IN (3, 4) GROUP BY 1 HAVING count(*) > 0 AND coalesce(bool_and(signal > -49) FILTER (cycle_i <= 1), true) AND max(signal) <= 250 AND coalesce(bool_and(signal <= 200) FILTER (cycle_i = 0), true))
