@@ -58,7 +58,7 @@ def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digests(pieces.encoded(load(spark, sf_dir, "documents")))
+    return pieces.digests(load(spark, sf_dir, "documents"))
 
 
 def op13_group_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

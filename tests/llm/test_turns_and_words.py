@@ -142,11 +142,11 @@ def test_pieces_equal_the_library(spark, library):
         text = by[r.doc_id][0]
         whole = library.encode(text, return_type="proto")
         assert (r.ids, r.begins, r.ends) == ([p.id for p in whole.pieces], [p.begin for p in whole.pieces], [p.end for p in whole.pieces])
-    for r in pieces.digests(found).collect():
+    for r in pieces.digests(docs).collect():
         ids = library.encode(by[r.doc_id][0])
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest())
         assert r.n_bytes == len(by[r.doc_id][0].encode())
-    assert pieces.digests(pieces.encoded(docs.limit(0))).collect() == []
+    assert pieces.digests(docs.limit(0)).collect() == pieces.encoded(docs.limit(0)).collect() == []
 
 
 def test_decoding_of_any_ids(library):
