@@ -24,11 +24,11 @@ def chunk(data: bytes, at: int) -> bytes:
     return data[at + 16 + name : at + 16 + name + size]
 
 
-def chunk_map(data: bytes) -> dict[str, int]:
-    """Places of chunks by name."""
+def chunk_map(data: bytes, begin: int = 0) -> dict[str, int]:
+    """Places of chunks by name; data: the file, or what follows from its place `begin`."""
     if len(data) < 40 or data[-40:-8] != SIGNATURE:
         raise ValueError("no chunk map")
-    body = chunk(data, struct.unpack("<Q", data[-8:])[0])
+    body = chunk(data, struct.unpack("<Q", data[-8:])[0] - begin)
     found, at = {}, 0
     while at < len(body):
         end = body.index(b"!", at) + 1
