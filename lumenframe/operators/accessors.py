@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .relational import dense_ids
+from .shared import join_counted
 
 FRAME = ["field_i", "channel_i", "cycle_i"]
 PEAK = ["field_i", "field_peak_i"]
@@ -73,7 +74,7 @@ def sampled_fits(fits: DataFrame, seed: int = 1) -> DataFrame:
     """As many fits as there are, drawn with replacement in each field: every place takes the fit of a hashed one."""
     sizes = fits.groupBy("field_i").agg(F.count("*").alias("_n"))
     place = F.row_number().over(Window.partitionBy("field_i").orderBy("field_peak_i")) - 1
-    numbered = fits.join(F.broadcast(sizes), "field_i").withColumn("_at", place)
+    numbered = join_counted(fits, sizes, "field_i", "inner").withColumn("_at", place)
     pick = F.pmod(F.xxhash64(F.lit(seed), "field_i", "_at"), F.col("_n"))
     asked = numbered.select("field_i", pick.alias("_at"), F.col("_at").alias("draw_i"))
     return asked.join(numbered.drop("_n"), ["field_i", "_at"]).drop("_at")
@@ -141,4 +142,4 @@ def overview(frames: DataFrame, peaks: DataFrame) -> DataFrame:
 
 def with_metadata(rows: DataFrame, frames: DataFrame) -> DataFrame:
     """Measurements with their frame's quality and alignment."""
-    return rows.join(F.broadcast(frames), FRAME, "left")
+    return join_counted(rows, frames, FRAME)

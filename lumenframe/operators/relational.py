@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from .shared import join_counted
+
 
 def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return left.join(right, on, "left")
@@ -34,7 +36,7 @@ def spans_of(rows: DataFrame, keys: list[str], offset: str = "offset") -> DataFr
 def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Residues with channel, p_bright and p_bleach of their label; null where unlabelled. labels: (aa, ch_i, p_dud, p_bleach)."""
     of = labels.select(F.col("aa").alias("_aa"), "ch_i", (1 - F.col("p_dud")).alias("p_bright"), "p_bleach")
-    return rows.join(F.broadcast(of), F.substring("aa", 1, 1) == F.col("_aa"), "left").drop("_aa")
+    return join_counted(rows, of, F.substring("aa", 1, 1) == F.col("_aa")).drop("_aa")
 
 
 #: Rows in a bucket of an order on average, and buckets at most.

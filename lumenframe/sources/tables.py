@@ -65,9 +65,9 @@ def fit_value(text: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(text, rf"\b{name}\s*[:=]\s*(-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?)", 1), F.lit("")).cast("double")
 
 
-def read_bootstrap(spark: SparkSession, path: str) -> DataFrame:
-    """A table of fitted parameters, a row a bootstrap replicate, with types as they look."""
-    return spark.read.csv(path, header=True, inferSchema=True)
+def read_bootstrap(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A table of fitted parameters, a row a bootstrap replicate; without a schema types are as they look, which takes a pass of its own."""
+    return spark.read.csv(path, header=True, schema=schema, inferSchema=schema is None)
 
 
 def write_grid(rows: DataFrame, path: str, sep: str = ",") -> None:
