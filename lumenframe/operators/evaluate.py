@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import safe_divide
+from .quantiles import exact_quantiles
 from .relational import PER_BUCKET, even_buckets, running
 
 
@@ -22,7 +23,7 @@ def thresholded(calls: DataFrame, keep: Column) -> DataFrame:
 
 def above_percentile(calls: DataFrame, q: float) -> DataFrame:
     """Rows with a score strictly above the exact percentile."""
-    cut = calls.agg(F.percentile("score", F.lit(q)).alias("cut"))
+    cut = exact_quantiles(calls, [], "score", [q]).select(F.col("q0").alias("cut"))
     return calls.join(F.broadcast(cut), F.col("score") > F.col("cut")).drop("cut")
 
 

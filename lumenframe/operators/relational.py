@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil, sqrt
+
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +41,8 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return join_counted(rows, of, F.substring("aa", 1, 1) == F.col("_aa")).drop("_aa")
 
 
-#: Rows in a bucket of an order on average, and buckets at most.
-PER_BUCKET, MOST_BUCKETS = 500_000, 512
+#: Rows in a bucket of an order on average, buckets at most, and cuts that are compared one after the other.
+PER_BUCKET, MOST_BUCKETS, FLAT = 500_000, 16_384, 256
 
 
 def even_buckets(rows: DataFrame, key: Column, per_bucket: int = PER_BUCKET) -> Column:
@@ -55,7 +57,16 @@ def even_buckets(rows: DataFrame, key: Column, per_bucket: int = PER_BUCKET) ->
     cuts = picked.groupBy().agg(F.array_sort(F.collect_list("k")).alias("k")).select(F.filter("k", lambda _, i: i % 16 == 8).alias("k")).first()["k"]
     kind = rows.select(key.alias("k")).schema["k"].dataType
     fixed = [(F.struct(*map(F.lit, c)) if isinstance(c, Row) else F.lit(c)).cast(kind) for c in cuts]
-    return F.when(key.isNull(), F.lit(0)).otherwise(F.size(F.filter(F.array(*fixed), lambda c: c <= key)) + 1) if fixed else F.lit(0)
+    if not fixed:
+        return F.lit(0)
+    if len(fixed) <= FLAT:
+        return F.when(key.isNull(), F.lit(0)).otherwise(F.size(F.filter(F.array(*fixed), lambda c: c <= key)) + 1)
+    # Two steps of about the root of their number each: first among every step-th cut, then among those after it.
+    step = ceil(sqrt(len(fixed)))
+    runs = [fixed[i : i + step] for i in range(0, len(fixed), step)]
+    above = F.size(F.filter(F.array(*(r[0] for r in runs)), lambda c: c <= key))
+    inside = F.size(F.filter(F.get(F.array(*(F.array(*r) for r in runs)), above - 1), lambda c: c <= key))
+    return F.when(key.isNull(), F.lit(0)).when(above == 0, F.lit(1)).otherwise((above - 1) * step + inside + 1)
 
 
 def running(rows: DataFrame, order: list[Column], amounts: dict[str, Column], bucket: Column, upto: int = -1) -> DataFrame:

@@ -5,8 +5,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from lumenframe.operators import intervals, quantiles, schemes, shared, spatial, survey, unmix
+from lumenframe.operators import intervals, quantiles, relational, schemes, shared, spatial, survey, unmix
 from lumenframe.operators.fit import non_negative
+from pyspark.sql import functions as F
 
 
 @pytest.mark.parametrize(("distance", "by"), [("l1", None), ("l2", None), ("l1", "scheme")])
@@ -144,3 +145,15 @@ def test_salted_join(spark, monkeypatch):
     right = spark.createDataFrame([(1, "a"), (2, "b"), (4, "c")], "k long, w string")
     for most in (0, 100):
         assert Counter(r.w for r in shared.join_salted(left, right, ["k"], most=most).collect()) == {"a": 100, "b": 1, None: 1}
+
+
+@pytest.mark.parametrize("flat", [4, 256])
+def test_numbers_over_many_buckets(spark, monkeypatch, flat):
+    monkeypatch.setattr(relational, "FLAT", flat)
+    keys = random.Random(7).sample(range(10**6), 900) + [None]
+    rows = spark.createDataFrame([(k,) for k in keys], "k long").repartition(4)
+    bucket = relational.even_buckets(rows, F.col("k"), 20)
+    placed = sorted((r.k is not None, r.k or 0, r.b) for r in rows.select("k", bucket.alias("b")).collect())
+    assert [b for *_, b in placed] == sorted(b for *_, b in placed) and len({b for *_, b in placed}) > 35
+    order = sorted(keys, key=lambda k: (k is not None, k or 0))
+    assert {r.k: r.i for r in relational.numbered(rows, "k", "i", 20).collect()} == {k: i for i, k in enumerate(order)}
