@@ -11,23 +11,39 @@ from .relational import even_buckets, running
 from .sampling import draw
 
 
-def triangle_tracks(spark: SparkSession, n_dyes: int, n_cycles: int, multi_drop: bool = False) -> DataFrame:
-    """(dyt): all non-increasing counts up to n_dyes over n_cycles; without steps of two or more unless multi_drop."""
-    rows = spark.range(n_dyes + 1).select(F.array(F.col("id").cast("int")).alias("dyt"))
+def tracks_of(rows: DataFrame, most: Column, n_cycles: int, multi_drop: bool = True, name: str = "dyt") -> DataFrame:
+    """Every row with each of its tracks: non-increasing counts over n_cycles that begin with `most` dyes or fewer; without steps of two or more unless multi_drop."""
+    rows = rows.withColumn("_first", F.explode(F.sequence(F.lit(0), most.cast("int")))).withColumn(name, F.array("_first")).drop("_first")
     for _ in range(n_cycles - 1):
-        last = F.element_at("dyt", -1)
+        last = F.element_at(name, -1)
         low = F.lit(0) if multi_drop else F.greatest(F.lit(0), last - 1)
-        rows = rows.select("dyt", F.explode(F.sequence(low, last)).alias("next")).select(F.concat("dyt", F.array("next")).alias("dyt"))
+        rows = rows.withColumn("_next", F.explode(F.sequence(low, last))).withColumn(name, F.concat(name, F.array("_next"))).drop("_next")
     return rows
 
 
+def spans_of(rows: DataFrame, most: list[Column], n_cycles: int) -> DataFrame:
+    """Every row with all combinations of its channels' tracks, channels one after the other."""
+    names = [f"_channel_{i}" for i in range(len(most))]
+    for name, n in zip(names, most, strict=True):
+        rows = tracks_of(rows, n, n_cycles, name=name)
+    return rows.withColumn("dyt", F.concat(*names)).drop(*names)
+
+
+def placements_of(rows: DataFrame, count: Column, label: str, length: int) -> DataFrame:
+    """Every row with all ways (pep) to put its count of labels on `length` residues (up to 20), others are dots."""
+    masks = F.filter(F.sequence(F.lit(0), F.lit((1 << length) - 1)), lambda m: F.bit_count(m) == count)
+    shown = F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda i: F.when(F.call_function("getbit", F.col("_mask"), i) == 1, F.lit(label)).otherwise(F.lit(".")))
+    return rows.withColumn("_mask", F.explode(masks)).withColumn("pep", F.array_join(shown, "")).drop("_mask")
+
+
+def triangle_tracks(spark: SparkSession, n_dyes: int, n_cycles: int, multi_drop: bool = False) -> DataFrame:
+    """(dyt): all non-increasing counts up to n_dyes over n_cycles; without steps of two or more unless multi_drop."""
+    return tracks_of(spark.range(1), F.lit(n_dyes), n_cycles, multi_drop).select("dyt")
+
+
 def span_tracks(spark: SparkSession, n_dyes: list[int], n_cycles: int) -> DataFrame:
     """(dyt): all combinations of channels' non-increasing tracks, channels one after the other."""
-    out = None
-    for n in n_dyes:
-        one = triangle_tracks(spark, n, n_cycles, multi_drop=True)
-        out = one if out is None else out.withColumnRenamed("dyt", "_a").crossJoin(one).select(F.concat("_a", "dyt").alias("dyt"))
-    return out
+    return spans_of(spark.range(1), [F.lit(n) for n in n_dyes], n_cycles).select("dyt")
 
 
 def pseudo_sequence(dyt: Column) -> Column:
@@ -43,11 +59,7 @@ def schemes(spark: SparkSession, proteases: list[str], labels: list[str], n_chan
 
 def placements(spark: SparkSession, label: str, count: int, length: int) -> DataFrame:
     """(pep): all ways to put `count` labels on `length` residues, others are dots."""
-    rows = spark.range(1).select(F.array().cast("array<int>").alias("at"))
-    for _ in range(count):
-        after = F.coalesce(F.element_at(F.concat(F.array(F.lit(-1)), "at"), -1), F.lit(-1)) + 1
-        rows = rows.filter(after < length).select("at", F.explode(F.sequence(after, F.lit(length - 1))).alias("next")).select(F.concat("at", F.array("next")).alias("at"))
-    return rows.select(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda i: F.when(F.array_contains("at", i), F.lit(label)).otherwise(F.lit("."))), "").alias("pep"))
+    return placements_of(spark.range(1), F.lit(count), label, length).select("pep")
 
 
 def subsets(items: Column) -> Column:

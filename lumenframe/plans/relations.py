@@ -158,26 +158,42 @@ def sample_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.stratified(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", 7, "c_custkey", "strata")
 
 
-@query("""WITH RECURSIVE t AS (SELECT [i] AS dyt FROM (SELECT unnest(range(0, 5)) AS i) UNION ALL SELECT list_append(dyt, n) FROM (SELECT dyt, unnest(range(greatest(0, dyt[-1] - 1), dyt[-1] + 1)) AS n FROM t WHERE len(dyt) < 6))
-SELECT array_to_string(dyt, '') AS dyt FROM t WHERE len(dyt) = 6""")
+def _text(dyt: str):
+    return F.array_join(F.transform(dyt, lambda x: x.cast("string")), "")
+
+
+@query("""WITH RECURSIVE t AS (SELECT p_partkey, [i] AS dyt FROM (SELECT p_partkey, unnest(range(0, p_size % 4 + 1)) AS i FROM part) UNION ALL SELECT p_partkey, list_append(dyt, n) FROM (SELECT p_partkey, dyt, unnest(range(greatest(0, dyt[-1] - 1), dyt[-1] + 1)) AS n FROM t WHERE len(dyt) < 6))
+SELECT p_partkey, array_to_string(dyt, '') AS dyt FROM t WHERE len(dyt) = 6""")
 def triangle_dyt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generators.triangle_tracks(spark, 4, 6).select(F.array_join(F.transform("dyt", lambda x: x.cast("string")), "").alias("dyt"))
+    """Every part with the tracks of as many dyes as its size mod 4, which fall by one at most."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    return generators.tracks_of(parts, F.col("p_size") % 4, 6, multi_drop=False).select("p_partkey", _text("dyt").alias("dyt"))
 
 
-@query("""WITH RECURSIVE t AS (SELECT [i] AS dyt, 2 AS m FROM (SELECT unnest(range(0, 3)) AS i) UNION ALL SELECT list_append(dyt, n), m FROM (SELECT dyt, m, unnest(range(0, dyt[-1] + 1)) AS n FROM t WHERE len(dyt) < 4))
-SELECT array_to_string(a.dyt, '') || array_to_string(b.dyt, '') AS dyt FROM t a CROSS JOIN t b WHERE len(a.dyt) = 4 AND len(b.dyt) = 4 AND b.dyt[1] <= 1""")
+@query("""WITH RECURSIVE t AS (SELECT s_suppkey, c, [i] AS dyt FROM (SELECT s_suppkey, 0 AS c, unnest(range(0, s_nationkey % 3 + 1)) AS i FROM supplier UNION ALL SELECT s_suppkey, 1, unnest(range(0, s_nationkey % 2 + 1)) FROM supplier)
+UNION ALL SELECT s_suppkey, c, list_append(dyt, n) FROM (SELECT s_suppkey, c, dyt, unnest(range(0, dyt[-1] + 1)) AS n FROM t WHERE len(dyt) < 4))
+SELECT a.s_suppkey, array_to_string(a.dyt, '') || array_to_string(b.dyt, '') AS dyt FROM t a JOIN t b USING (s_suppkey) WHERE a.c = 0 AND b.c = 1 AND len(a.dyt) = 4 AND len(b.dyt) = 4""")
 def span_dyt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generators.span_tracks(spark, [2, 1], 4).select(F.array_join(F.transform("dyt", lambda x: x.cast("string")), "").alias("dyt"))
+    """Every supplier with all combinations of its two channels' tracks."""
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return generators.spans_of(rows, [F.col("s_nationkey") % 3, F.col("s_nationkey") % 2], 4).select("s_suppkey", _text("dyt").alias("dyt"))
 
 
-@query("SELECT p || '-' || a || ',' || b AS scheme, p AS protease, a || ',' || b AS labels FROM (VALUES ('trypsin'), ('lysc'), ('aspn')) x(p), (VALUES ('C', 1), ('DE', 2), ('K', 3), ('Y', 4)) u(a, i), (VALUES ('C', 1), ('DE', 2), ('K', 3), ('Y', 4)) v(b, j) WHERE i < j")
+@query("""WITH s AS (SELECT p || '-' || a || ',' || b AS scheme, a, b FROM (VALUES ('trypsin'), ('lysc'), ('aspn')) x(p), (VALUES ('C', 1), ('DE', 2), ('K', 3), ('Y', 4)) u(a, i), (VALUES ('C', 1), ('DE', 2), ('K', 3), ('Y', 4)) v(b, j) WHERE i < j)
+SELECT n_name, scheme, length(n_name) - length(translate(n_name, a, '')) AS n_first, length(n_name) - length(translate(n_name, b, '')) AS n_second FROM nation, s""")
 def scheme_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generators.schemes(spark, ["trypsin", "lysc", "aspn"], ["C", "DE", "K", "Y"], 2)
+    """Every nation's name under all schemes, with the residues that either label holds."""
+    every = generators.schemes(spark, ["trypsin", "lysc", "aspn"], ["C", "DE", "K", "Y"], 2).withColumn("panel", F.lit(0))
+    names = table(spark, sf_dir, "nation").select("n_name", F.lit(0).alias("panel")).join(F.broadcast(every), "panel")  # 18 schemes
+    held = lambda i: F.char_length("n_name") - F.char_length(F.call_function("translate", F.col("n_name"), F.get(F.split("labels", ","), F.lit(i)), F.lit("")))
+    return names.select("n_name", "scheme", held(0).alias("n_first"), held(1).alias("n_second"))
 
 
-@query("WITH m AS (SELECT unnest(range(0, 256)) AS m) SELECT array_to_string(list_transform(range(0, 8), lambda i: CASE WHEN (m >> i) & 1 = 1 THEN 'K' ELSE '.' END), '') AS pep FROM m WHERE bit_count(m::INT) = 3")
+@query("WITH m AS (SELECT unnest(range(0, 256)) AS m) SELECT s_suppkey, array_to_string(list_transform(range(0, 8), lambda i: CASE WHEN (m >> i) & 1 = 1 THEN 'K' ELSE '.' END), '') AS pep FROM supplier JOIN m ON bit_count(m::INT) = s_nationkey % 4")
 def spanning_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generators.placements(spark, "K", 3, 8)
+    """Every supplier with all places for its number of labels among eight residues."""
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return generators.placements_of(rows, F.col("s_nationkey") % 4, "K", 8).select("s_suppkey", "pep")
 
 
 @query("SELECT p_name AS pep, CAST(k AS INT) AS k, repeat('.', k) || p_name AS clone FROM (SELECT DISTINCT p_name FROM part) CROSS JOIN (SELECT unnest(range(1, 4)) AS k)")

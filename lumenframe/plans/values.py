@@ -122,10 +122,12 @@ def photobleach_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simulate.dye_tracks(peps, 200, simulate.photobleach(10, 0.1))
 
 
-@query("""WITH t AS (SELECT [a, b] AS dyt FROM (SELECT unnest(range(0, 3)) AS a) x, (SELECT unnest(range(0, 3)) AS b) y WHERE b <= a), n AS (SELECT row_number() OVER (ORDER BY dyt) - 1 AS dyt_i, dyt FROM t)
+@query("""WITH most AS (SELECT max(r_regionkey % 3) AS m FROM region), t AS (SELECT [a, b] AS dyt FROM (SELECT unnest(range(0, m + 1)) AS a FROM most) x, (SELECT unnest(range(0, m + 1)) AS b FROM most) y WHERE b <= a), n AS (SELECT row_number() OVER (ORDER BY dyt) - 1 AS dyt_i, dyt FROM t)
 SELECT dyt_i, array_to_string(dyt, '') AS dyt, CASE WHEN dyt_i = 0 THEN 0 ELSE 100 END AS n FROM n""")
 def span_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tracks = simulate.numbered_tracks(generators.span_tracks(spark, [2], 2))
+    """The distinct tracks of all regions' dyes, with 100 reads each but for the dark one."""
+    regions = table(spark, sf_dir, "region").select("r_regionkey")
+    tracks = simulate.numbered_tracks(generators.spans_of(regions, [F.col("r_regionkey") % 3], 2).select("dyt").distinct())
     return tracks.join(simulate.one_each(tracks, 100), "dyt_i").select("dyt_i", F.array_join(F.transform("dyt", lambda x: x.cast("string")), "").alias("dyt"), "n")
 
 

@@ -26,12 +26,14 @@ def called_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.called_peptides(calls(spark, sf_dir), classes(spark), 0.995).select("class_i", "seqstr")
 
 
-@query(f"""WITH {CLASSES}, flus AS (SELECT class_i, class_i || '..' AS flustr FROM classes WHERE class_i <> 3)
-SELECT class_i, seqstr, flustr, seqstr[2] = 'P' AS p2, CASE WHEN is_poi THEN class_i * 2.5 ELSE 0 END AS abundance FROM classes LEFT JOIN flus USING (class_i)""")
+@query("""WITH p AS (SELECT p_partkey AS class_i, upper(regexp_replace(p_name || p_type, '[^A-Za-z]', '', 'g')) AS seqstr, p_size, p_retailprice FROM part), flus AS (SELECT class_i, class_i || '..' AS flustr FROM p WHERE p_size <> 3)
+SELECT class_i, seqstr, flustr, seqstr[2] = 'P' AS p2, CASE WHEN p_size > 25 THEN p_retailprice ELSE 0 END AS abundance FROM p LEFT JOIN flus USING (class_i)""")
 def peptide_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    peps = classes(spark)
-    flus = peps.filter("class_i <> 3").select("class_i", F.concat(F.col("class_i").cast("string"), F.lit("..")).alias("flustr"))
-    abundance = peps.filter("is_poi").select("class_i", (F.col("class_i") * 2.5).alias("abundance"))
+    """Parts as peptides: letters of name and type, prices as abundance of the large ones."""
+    letters = F.upper(F.regexp_replace(F.concat("p_name", "p_type"), "[^A-Za-z]", ""))
+    peps = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("class_i"), letters.alias("seqstr"), "p_size", "p_retailprice")
+    flus = peps.filter("p_size <> 3").select("class_i", F.concat(F.col("class_i").cast("string"), F.lit("..")).alias("flustr"))
+    abundance = peps.filter("p_size > 25").select("class_i", F.col("p_retailprice").alias("abundance"))
     return evaluate.peptide_report(peps.select("class_i"), peps.select("class_i", "seqstr"), flus, abundance)
 
 
