@@ -49,13 +49,17 @@ TEMPLATE_TAGS = frozenset("nav aside footer form button select dialog menu ifram
 TEMPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 #: Words of class and id that name what isn't the article, and words that say nothing beside them.
 TEMPLATE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement adbox adslot banner banners bottombar breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus disclaimer dropdown flash follow foot footer gdpr hidden login masthead menu menus menubar modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup popups print promo promoted promotion recommended related replies reply respond responses rightbar search share sharing sidebar sidebars sidenav signup skip social sponsor sponsored sponsors subscribe subscription tags teaser toolbar topbar tracking widget widgets".split()
+    "ad ads adv advert adverts advertisement adbox adslot banner banners bottombar breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus disclaimer dropdown foot footer gdpr hidden login masthead menu menus menubar modal nav navbar navigation newsletter notice notices notification pager pagination paywall popup popups promo promoted promotion replies reply rightbar sidebar sidebars sidenav signup sponsor sponsored sponsors subscribe subscription toolbar topbar".split()
 )
+#: Words that name such parts and parts of articles alike: evidence beside the wrapper's, whatever else the name holds.
+HINTS = frozenset("flash follow overlay print related recommended respond responses search share sharing skip social tags teaser tracking widget widgets".split())
 PLAIN_WORDS = frozenset("a area article bar block blog bottom box buttons cell center col column container content entry form global group header inner item left links list main message page panel post primary right root row secondary section site slot story text top unit user wrap wrapper".split())
 #: Words that make a name one about other elements.
 ABOUT = frozenset("with without has have no not".split())
 #: Share of a slot's pages on which a constant text is found, outside of the main part, inside, and in an element with a telling name; different pages that it takes.
 CONSTANT, INSIDE, NAMED, THREE = 0.5, 0.8, 0.2, 3
+#: In an article: different pages that a constant text takes, and the share of them with neighbours of its own. What lies between unlike texts on almost all pages is no passage that articles share, and near copies of an article share neighbours too.
+FIVE, APART = 5, 0.5
 #: Share of links in a slot that makes a menu, and in an element with a telling name.
 LINKS, NAMED_LINKS = 0.6, 0.3
 #: Layouts held in a partition before they are passed on; aligned layouts and wrappers remembered.
@@ -88,8 +92,8 @@ def described(tag: str, attributes: str) -> tuple[str, int]:
         for name in names:
             telling = TEMPLATE_WORDS.intersection(name)
             # A name such as with-sidebar tells of another element.
-            if telling and not ABOUT.intersection(name):
-                says |= TEMPLATE if telling | PLAIN_WORDS >= set(name) else WEAK
+            if (telling or HINTS.intersection(name)) and not ABOUT.intersection(name):
+                says |= TEMPLATE if telling and telling | PLAIN_WORDS | HINTS >= set(name) else WEAK
             elif "header" in name and PLAIN_WORDS >= set(name):
                 says |= HEADER
     if tag == "header":
@@ -391,15 +395,26 @@ def aligned(pages: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def constants(runs: DataFrame) -> DataFrame:
-    """(host, constant): of each host the texts (slot, hash, share) that are on THREE different pages and a share NAMED of the slot's pages, by exact counts."""
-    pair = F.array_distinct(F.transform("runs", lambda x: F.struct(x["slot"].alias("slot"), F.xxhash64(x["text"]).alias("hash"))))
-    there = F.array_distinct(F.transform("runs", lambda x: F.struct(x["slot"].alias("slot"), F.lit(None).cast("long").alias("hash"))))
+    """(host, constant): of each host the texts (slot, hash, share, apart) that are on THREE different pages and a share NAMED of the slot's pages, by exact counts.
+
+    apart: whether the texts before it and those after it both vary from page to page.
+    """
+    beside = lambda i: F.coalesce(F.xxhash64(F.get("runs", i)["text"]), F.lit(0))
+    pair = F.transform("runs", lambda x, i: F.struct(x["slot"].alias("slot"), F.xxhash64(x["text"]).alias("hash"), beside(i - 1).alias("before"), beside(i + 1).alias("after")))
+    # Each text of a slot once a page: sorted, the others of its kind follow it.
+    placed = runs.select("host", "runs", F.array_sort(pair).alias("placed"))
+    before = lambda i, c: F.get(F.col("placed"), i - 1)[c]
+    first = F.filter("placed", lambda x, i: (i == 0) | (x["slot"] != before(i, "slot")) | (x["hash"] != before(i, "hash")))
+    there = F.array_distinct(F.transform("runs", lambda x: F.struct(x["slot"].alias("slot"), F.lit(None).cast("long").alias("hash"), F.lit(0).cast("long").alias("before"), F.lit(0).cast("long").alias("after"))))
     # Pages that say the same are one page.
-    different = runs.select("host", F.xxhash64("runs.slot", "runs.text").alias("digest"), F.concat(pair, there).alias("pairs")).dropDuplicates(["host", "digest"])
-    counts = materialize(different.select("host", F.inline("pairs")).groupBy("host", "slot", "hash").agg(F.count("*").alias("n")).filter(F.col("hash").isNull() | (F.col("n") >= THREE)), "page-texts")
+    digest = F.xxhash64("runs.slot", "runs.text")
+    different = placed.select("host", digest.alias("digest"), F.concat(first, there).alias("pairs")).dropDuplicates(["host", "digest"])
+    counts = different.select("host", F.inline("pairs")).groupBy("host", "slot", "hash").agg(F.count("*").alias("n"), F.least(F.approx_count_distinct("before"), F.approx_count_distinct("after")).alias("ways"))
+    counts = materialize(counts.filter(F.col("hash").isNull() | (F.col("n") >= THREE)), "page-texts")
     of_slot = counts.filter("hash is null").select("host", "slot", F.col("n").alias("pages"))
     share = counts.filter("hash is not null").join(of_slot, ["host", "slot"]).withColumn("share", F.col("n") / F.col("pages")).filter(F.col("share") >= NAMED)
-    return share.groupBy("host").agg(F.collect_list(F.struct("slot", "hash", "share")).alias("constant"))
+    apart = (F.col("n") >= FIVE) & (F.col("ways") >= APART * F.col("n"))
+    return share.groupBy("host").agg(F.collect_list(F.struct("slot", "hash", "share", apart.alias("apart"))).alias("constant"))
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -408,16 +423,18 @@ def extracted(pages: DataFrame) -> DataFrame:
     runs = materialize(aligned(pages, materialize(wrappers(pages), "wrappers")), "page-runs")
     joined = join_by_host(runs, materialize(constants(runs), "constant-texts"), F.size("constant") * 16)
 
+    def known(x):
+        return F.get(F.filter(F.col("constant"), lambda c: (c["slot"] == x["slot"]) & (c["hash"] == F.xxhash64(x["text"]))), F.lit(0))
+
     def share(x):
-        same = F.filter(F.col("constant"), lambda c: (c["slot"] == x["slot"]) & (c["hash"] == F.xxhash64(x["text"])))
-        return F.coalesce(F.get(same, F.lit(0))["share"], F.lit(0.0))
+        return F.coalesce(known(x)["share"], F.lit(0.0))
 
     def says(x, *what):
         return x["says"].bitwiseAND(sum(what)) > 0
 
     def template(x):
         never = F.lit(2.0)
-        least = F.when(says(x, WEAK), NAMED).when(says(x, ARTICLE), never).when(says(x, MAIN), INSIDE).otherwise(CONSTANT)
+        least = F.when(says(x, WEAK), NAMED).when(says(x, ARTICLE), F.when(F.coalesce(known(x)["apart"], F.lit(False)), INSIDE).otherwise(never)).when(says(x, MAIN), INSIDE).otherwise(CONSTANT)
         menu = F.when(says(x, WEAK), NAMED_LINKS).when(says(x, MAIN, ARTICLE), never).otherwise(LINKS)
         return (x["links"] > menu) | (share(x) >= least)
 
