@@ -5,8 +5,8 @@ a mark at either end. A known word adds its log frequency in each language to th
 An unknown word adds the mean log frequency of its n-grams of the longest length at which it has a
 known one, from MAX_N down to 1. The softmax of the sums gives language and score.
 
-Training reads at most about PER_LANG documents of each language, chosen by a hash of doc_id at a rate
-that each language's count sets; counts and choice run over the whole table. Of each language the model
+Training reads at most about PER_LANG different texts of each language, chosen by a hash of the text at a
+rate that each language's count sets; counts and choice run over the whole table, and copies of a text train once. Of each language the model
 keeps its MAX_WORDS commonest words and MAX_GRAMS commonest n-grams of each length, so a small language
 loses none to a large one, and what is broadcast is bounded by the number of languages.
 
@@ -32,7 +32,17 @@ UNKNOWN = "und"
 PER_LANG, MAX_WORDS, MAX_GRAMS, MAX_N = 3000, 60_000, 20_000, 5
 #: Words that a prediction remembers before it starts anew.
 CACHE = 150_000
-LETTERS = re.compile(r"[^\W\d_]+")
+
+#: Runs of letters and of numbers that are no digits, such as fractions and Roman numerals.
+RUNS = re.compile(r"[^\W\d_]+")
+
+
+def letter_runs(text: str) -> list[str]:
+    """Runs of letters (`str.isalpha`)."""
+    runs = RUNS.findall(text)
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [x for run in runs for x in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -108,7 +118,7 @@ class Model:
             index, rows = self.grams[n]
             found = [index[g] for g in grams(word, n) if g in index]
             if found:
-                return rows[found].mean(axis=0)
+                return rows[found].mean(axis=0, dtype=np.float64).astype(np.float32)
         return np.zeros(len(self.langs), np.float32)
 
     def add(self, row: np.ndarray) -> int:
@@ -120,7 +130,7 @@ class Model:
 
     def token(self, token: str) -> int:
         """The row of a run without white space: the sum over its words. Row 0 if it has no letter."""
-        words = LETTERS.findall(token.lower())
+        words = letter_runs(token.lower())
         if len(words) == 1:
             at = self.cache.get(words[0])
             if at is None:
@@ -158,14 +168,14 @@ def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Model:
 
     Words and n-grams are counted in the cluster; only those that the model keeps reach the driver.
     """
-    labelled = labelled.select("doc_id", "text", "lang").filter("text is not null and lang is not null")
+    labelled = labelled.select("text", "lang").filter("text is not null and lang is not null")
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Model([])
     # The rate falls with a language's count: a hash below it chooses the same documents each time.
     rate = F.create_map(*(x for lang, n in counts.items() for x in (F.lit(lang), F.lit(per_lang / n))))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.element_at(rate, F.col("lang")) * (1 << 20)
-    found = labelled.filter(chosen).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("key"))
+    chosen = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.element_at(rate, F.col("lang")) * (1 << 20)
+    found = labelled.filter(chosen).select("text", "lang").distinct().select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("key"))
     words = materialize(found.groupBy("lang", "key").agg(F.count("*").alias("n")), "language-words")
 
     def runs(n: int) -> Column:
