@@ -6,6 +6,10 @@
    differ; so linked sets agree in at least one whole block. Lists of classes by (band, block, digest
    of the block) are the distributed index; a probe reads one list a block and skips all others.
    T more blocks than needed let empty blocks go unlisted, but for sets with over T of them.
+   Where links take less likeness, blocks get small and unlike texts that share a passage agree in
+   one: then lists are by single elements of rare prefixes. All elements have one order, in which those that
+   several texts of a half of all texts hold come last; linked sets share one of their first
+   n - ceil(t n) + 1 elements, and passages that many texts hold make no list.
 3. Classes that meet in a list make clusters (connected components of the lists' stars). Each
    cluster's texts are gathered once, in units of bounded total size: a large cluster is cut by band,
    then into pairs of hashed parts.
@@ -43,8 +47,10 @@ WORDS, PERCENT = 3, 90
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 #: Blocks beyond those that linked sets can spoil.
 SPARE = 1
+#: One text in so many counts for the order of n-grams, texts that hold a common one, and common ones that are told apart at most.
+EVERY, OFTEN, COMMON = 2, 2, 4_000_000
 #: Shingles that a unit of a cluster holds at most, but for a band's two parts.
-UNIT = 2_000_000
+UNIT = 1_000_000
 #: Width of a position block in a unit's index.
 BLOCK = 8
 #: Keys of lists that a partition holds before it sends them on, and that a range of keys has on average.
@@ -85,6 +91,63 @@ def signatures(items: np.ndarray, percent: int, least: list[int]) -> np.ndarray:
     return np.concatenate(out)
 
 
+def rare_signatures(items: np.ndarray, percent: int, least: list[int], common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """List keys of a set's rarest elements, as many as a linked set can't miss all of, in its own band and the next.
+
+    common: the upper 48 bits of hashes that several texts of a sample hold, sorted, and how many do. They come
+    last in the one order of all elements, the most frequent ones at its end; others go by their hashes.
+    """
+    n = len(items)
+    if not n:
+        return np.zeros(0, U)
+    known, times = common
+    often = np.zeros(n, np.int64)
+    if len(known):
+        own = items >> U(16)
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        often = np.where(known[at] == own, times[at], 0)
+    rare = items[np.lexsort((items, often))[: n - -(-n * percent // 100) + 1]]
+    own = bisect.bisect_right(least, n) - 1
+    return np.concatenate([mix(mix(rare + U(0x632BE59BD9B4E019)) + U(band << 40)) for band in (own, own + 1)])
+
+
+def common_items(docs: DataFrame, words: int, percent: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """The upper 48 bits of hashes of n-grams that OFTEN different texts of one in EVERY hold, sorted, with their number of texts.
+
+    Only hashes of the lower part of their range are counted, from which rare prefixes mostly come. The
+    counts only order elements, and any order gives the same links: of more than COMMON hashes the most frequent ones are kept.
+    """
+    buckets = 1 << max(4, (total // EVERY // LISTED).bit_length())
+    low = U(int(min(1.0, 2.5 * (100 - percent) / 100) * ((1 << 48) - 1)))
+    shift = U(48 - buckets.bit_length() + 1)
+    chosen = docs.filter(F.pmod(F.xxhash64("text"), F.lit(EVERY)) == 0).select("text").distinct()
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in chunks(batch.column("text").to_pylist()):
+                found = [s >> U(16) for s in shingle_sets(texts, words)]
+                keys, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, U), np.zeros(0, np.int64))
+                keys, n = keys[keys <= low], n[keys <= low]
+                cuts = np.searchsorted(keys, np.arange(buckets + 1).astype(U) << shift)
+                spans = [(k, x, y) for k, (x, y) in enumerate(zip(cuts.tolist(), cuts[1:].tolist(), strict=False)) if x < y]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, *_ in spans], pa.int32()), pa.array([_packed(keys[x:y], n[x:y]) for _, x, y in spans], pa.binary())], names=["bucket", "blob"])
+
+    def count(group: pa.Table) -> pa.Table:
+        keys, n = (np.concatenate(x) for x in zip(*map(_unpacked, group.column("blob").to_pylist()), strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        sums = np.add.reduceat(n, begins)
+        often = sums >= OFTEN
+        return pa.table({"item": pa.array(keys[begins][often].astype(np.int64)), "n": pa.array(sums[often], pa.int64())})
+
+    counts = materialize(chosen.mapInArrow(send, "bucket int, blob binary").groupBy("bucket").applyInArrow(count, "item long, n long"), "common-grams")
+    found = (counts if counts.count() <= COMMON else counts.orderBy(F.col("n").desc(), "item").limit(COMMON)).toArrow()
+    items = found.column("item").to_numpy().astype(U)
+    order = np.argsort(items)
+    return items[order], found.column("n").to_numpy()[order]
+
+
 def _described(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n, d1 and d2 (the set's digest) of every row."""
 
@@ -188,7 +251,7 @@ def _firsts(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[begins], ids[begins], pairs[:, 0], pairs[:, 1]
 
 
-def _candidates(docs: DataFrame, total: int, words: int, percent: int) -> DataFrame:
+def _candidates(docs: DataFrame, total: int, words: int, percent: int, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """Links (a, b) of the documents of each list to the list's first one. total: shingles of all documents.
 
     A partition links the documents of its own lists and sends on each list's first one only, so that a
@@ -196,6 +259,7 @@ def _candidates(docs: DataFrame, total: int, words: int, percent: int) -> DataFr
     """
     buckets = 1 << max(4, (total // LISTED).bit_length())
     shift = U(48 - buckets.bit_length() + 1)
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least, held, waiting = bands(percent), [], 0
@@ -208,13 +272,16 @@ def _candidates(docs: DataFrame, total: int, words: int, percent: int) -> DataFr
             cuts = np.searchsorted(keys, np.arange(buckets + 1).astype(U) << shift)
             spans = [(k, x, y) for k, (x, y) in enumerate(zip(cuts.tolist(), cuts[1:].tolist(), strict=False)) if x < y]
             rows = [(k, _packed(keys[x:y], ids[x:y])) for k, x, y in spans]
-            # Links found here go by ranges below zero.
-            rows += [(-1 - i // 50_000 % buckets, np.stack([a[i : i + 50_000], b[i : i + 50_000]]).tobytes()) for i in range(0, len(a), 50_000)]
+            # Links found here go to groups below zero, by a hash of their first document.
+            group = (mix(a.astype(U)) % U(buckets)).astype(np.int64)
+            order = np.argsort(group, kind="stable")
+            cuts = np.searchsorted(group[order], np.arange(buckets + 1))
+            rows += [(-1 - k, np.stack([a[order[x:y]], b[order[x:y]]]).tobytes()) for k, (x, y) in enumerate(zip(cuts.tolist(), cuts[1:].tolist(), strict=False)) if x < y]
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
             for begin, texts in chunks(batch.column("text").to_pylist()):
-                keys = [signatures(s, percent, least) for s in shingle_sets(texts, words)]
+                keys = [signatures(s, percent, least) if shared.value is None else rare_signatures(s, percent, least, shared.value) for s in shingle_sets(texts, words)]
                 ids = batch.column("doc_id").slice(begin, len(texts)).to_pylist()
                 sizes = [len(k) if i is not None else 0 for k, i in zip(keys, ids, strict=True)]
                 if sum(sizes):
@@ -273,8 +340,8 @@ def _links(docs: DataFrame, clusters: DataFrame, sizes: DataFrame, words: int, p
     return rows.select("cluster", "unit", "i", "j", "doc_id", "body").groupBy("cluster", "unit", "i", "j").applyInArrow(join, "a long, b long")
 
 
-def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
+def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rare: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of docs (doc_id, text). rare: route by rare prefixes in place of position blocks."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     slim = materialize(_described(docs, words), "shingle-sets")
     # Classes of one row need no class: they are the row's own.
@@ -282,7 +349,8 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     # Documents all of whose texts are one class's stand for it.
     stands = join_hot(slim.filter("n > 0 and doc_id is not null"), classes, ["d1", "d2"]).withColumn("class", F.coalesce("class", "doc_id")).groupBy("doc_id").agg(F.min("class").alias("class"), F.max("class").alias("most"))
     copies = materialize(stands.filter("class = most and doc_id <> class").drop("most"), "copies")
-    met = _candidates(docs, slim.agg(F.sum("n")).first()[0] or 0, words, percent)
+    total = slim.agg(F.sum("n")).first()[0] or 0
+    met = _candidates(docs, total, words, percent, common_items(docs, words, percent, total) if rare else None)
     # A list's documents stand for their classes; those with several texts for themselves.
     for end in ("a", "b"):
         met = join_small(met, copies.withColumnsRenamed({"doc_id": end, "class": f"of_{end}"}), end)
@@ -300,7 +368,7 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
 
 def one_of_each(docs: DataFrame, words: int = NEAR_WORDS, percent: int = NEAR_PERCENT) -> DataFrame:
     """The documents that stay when near copies go: of each component the one with the least id, once if its row repeats; and rows without an id."""
-    found = components(docs, words, percent).select(F.col("doc_id").alias("_id"), "component_id").filter("_id = component_id").select("_id").distinct()
+    found = components(docs, words, percent, rare=True).select(F.col("doc_id").alias("_id"), "component_id").filter("_id = component_id").select("_id").distinct()
     kept = docs.join(found, docs["doc_id"] == found["_id"], "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.filter("doc_id is null"))
 

@@ -5,10 +5,11 @@ import html as entities
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
-from lumenframe.llm import ann, chat, components, html
+from lumenframe.llm import ann, chat, components, html, jaccard, langid
 from lumenframe.llm.common import materialize
 
 CONV = "conv_id long, turn long, role string, text string, window long, pos int"
@@ -261,3 +262,87 @@ def test_queries_are_registered_for_every_operator():
     names = list(entry.queries())
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_texts_that_share_a_passage_seldom_meet(spark):
+    """A passage that many texts hold makes no list; near copies still meet."""
+    rng = random.Random(3)
+    passage = " ".join(f"common{i}" for i in range(60))
+    rows = []
+    for i in range(300):
+        own = [f"w{rng.randrange(10**7)}" for _ in range(200)]
+        at = rng.randrange(200)
+        rows.append((i, " ".join(own[:at]) + " " + passage + " " + " ".join(own[at:])))
+        if i % 10 == 0:
+            rows.append((1000 + i, rows[-1][1] + " end"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    common = jaccard.common_items(docs, 5, 80, 80_000)
+    assert 15 < (common[1] > 100).sum() <= 56
+    met = jaccard._candidates(docs, 80_000, 5, 80, common).collect()
+    assert {(i, 1000 + i) for i in range(0, 300, 10)} <= {(min(r.a, r.b), max(r.a, r.b)) for r in met} and len(met) < 60
+    assert {r.doc_id: r.component_id for r in jaccard.components(docs, 5, 80, rare=True).collect()} == {i: i - 1000 if i >= 1000 else i for i, _ in rows}
+    assert [len(x) for x in jaccard.common_items(docs.limit(0), 5, 80, 0)] == [0, 0]
+
+
+def test_local_links_are_spread(spark, monkeypatch):
+    """Very many links of one partition go to many groups."""
+    monkeypatch.setattr(jaccard, "LISTED", 1000)
+    docs = spark.createDataFrame([(i, f"a{i // 2} b{i // 2} c{i // 2}") for i in range(4000)], "doc_id long, text string").coalesce(1)
+    groups = Counter()
+
+    def held(df, *_):
+        groups.update(r.bucket for r in df.filter("bucket < 0").select("bucket").collect())
+        return df
+
+    monkeypatch.setattr(type(docs), "groupBy", lambda self, *c, own=type(docs).groupBy: own(held(self) if c == ("bucket",) else self, *c))
+    assert len({(r.a, r.b) for r in jaccard._candidates(docs, 16_000, 3, 90).collect()}) == 2000
+    assert len(groups) >= 8
+
+
+def test_languages_of_texts_without_letters_and_of_one_id(spark):
+    kinds = {"en": "the of and river stone light".split(), "de": "der die und fluss stein licht".split()}
+    rng = random.Random(1)
+    rows = [(7, " ".join(rng.choice(kinds[lang]) for _ in range(12)), lang) for lang in ("en", "de") for _ in range(4000)]
+    for ids in ([7], [None], [8], list(range(50))):
+        docs = spark.createDataFrame([(ids[i % len(ids)], t, lang) for i, (_, t, lang) in enumerate(rows)], "doc_id long, text string, lang string").repartition(4)
+        model = langid.train(docs, per_lang=300)
+        assert [model.predict(t)[0] for t in ("the river and", "der fluss und")] == ["en", "de"]
+        counts = model.words["the"], model.words["der"]
+        assert len(set(counts)) == 2 and len(model.words) == 12
+    for text in ("½ ² Ⅷ", "12 345 _ !", "٣ ¼", "", None):
+        assert model.predict(text) == ("und", 0.0)
+    assert model.predict("ʰx")[0] in ("en", "de")
+    # Copies of a text train once.
+    again = spark.createDataFrame([(i, "the river", "en") for i in range(3000)] + [(i, "der fluss", "de") for i in range(3000)], "doc_id long, text string, lang string")
+    assert langid.train(again, per_lang=10_000).words == {}
+
+
+def test_ids_equal_the_files_own_library_for_special_strings():
+    import public_tokenizers
+    from lumenframe.llm.tokens import encoder
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|", "<|endoftext|> \n", "é<|endoftext|>é"):
+        assert encoder()(text).tolist() == own.encode(text, add_special_tokens=False).ids
+    assert 50256 in encoder()("a <|endoftext|> b").tolist()
+
+
+def test_names_alone_decide_nothing_that_varies(spark):
+    """Parts with ambiguous names stay while their texts vary, and constant sentences of articles go; passages and near copies stay."""
+    rows = []
+    for i in range(40):
+        rows.append((i, "https://a.example/", f'<nav><a href="/">Home</a></nav><div class="print-content"><p>Body {i} of print</p></div><footer>f</footer>'))
+        rows.append((100 + i, "https://b.example/", f'<article><h1>T{i}</h1><p class="teaser">Lead {i}</p><p>Story {i}</p><p>Sign up for our letters today</p><p>End {i}</p></article>'))
+        rows.append((200 + i, "https://c.example/", f'<main><h1>Poll {i}</h1><div class="responses"><p>Answer {i}</p></div><div class="tags"><p>On {i}</p></div></main>'))
+        shared = "<p>A passage that some articles share word for word</p>" if i % 3 == 0 else ""
+        rows.append((300 + i, "https://d.example/", f"<article><p>One {i}</p>{shared}<p>Two {i}</p></article>"))
+        # Near copies: all but one paragraph is the same on every page.
+        rows.append((400 + i, "https://e.example/", f"<article><p>First part</p><p>Second part</p><p>Third part {i}</p><p>Fourth part</p><p>Last part</p></article>"))
+    found = {r.page_id: r.text for r in html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    for i in range(40):
+        assert found[i] == f"Body {i} of print"
+        assert found[100 + i] == f"T{i}\nLead {i}\nStory {i}\nEnd {i}"
+        assert found[200 + i] == f"Poll {i}\nAnswer {i}\nOn {i}"
+        assert found[300 + i] == f"One {i}\n" + ("A passage that some articles share word for word\n" if i % 3 == 0 else "") + f"Two {i}"
+        assert found[400 + i].startswith("First part\n") and found[400 + i].endswith("Last part")
