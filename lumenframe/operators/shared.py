@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a written side is broadcast, and tasks that share a key's rows beyond it.
 FEW, SALTS = 200_000, 16
+#: Rows of a task that keeps them sorted or in a table.
+HELD = 1_000_000
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -29,6 +31,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows, dealt by keys into so many tasks that none holds many more than HELD rows, whatever their size once packed; few rows are left as they are."""
+    n = -(-rows.count() // HELD)
+    return rows.repartition(n, *keys) if n > 1 else rows
+
+
 def is_few(df: DataFrame, most: int = FEW) -> bool:
     return df.limit(most + 1).count() <= most
 

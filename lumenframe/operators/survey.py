@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .nearest import nearest_tracks
+from .shared import dealt
 
 __all__ = ["best_schemes", "coverage", "coverage_of_spans", "filtered", "isolation", "nearest_tracks", "neighbour_metrics", "of_schemes", "ranked"]
 
@@ -37,7 +38,7 @@ def isolation(counts: DataFrame, near: DataFrame, likely: DataFrame) -> DataFram
 def ranked(survey: DataFrame, most: int) -> DataFrame:
     """The `most` best isolated peptides of each protein, ties to shorter ones with fewer dyes, then the smaller id."""
     order = Window.partitionBy("pro_i").orderBy(F.col("nn_dist").desc(), "pep_len", "n_dyes", "pep_i")
-    return survey.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    return dealt(survey, "pro_i").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
 
 
 def filtered(survey: DataFrame, *, poi_only: bool = False, max_pep_len: int = -1, max_dyes: int = -1, max_ptms: int = -1, no_proline_2: bool = False, proteins: list[int] | None = None) -> DataFrame:
@@ -74,10 +75,13 @@ def coverage_of_spans(spans: DataFrame, lengths: DataFrame) -> DataFrame:
 
 
 def best_schemes(ranks: DataFrame) -> DataFrame:
-    """(scheme, avg_dist, min_dist, place): schemes by their proteins' mean of best distances; ranks: (scheme, pro_i, nn_dist)."""
+    """(scheme, avg_dist, min_dist, place): schemes by their proteins' mean of best distances; ranks: (scheme, pro_i, nn_dist).
+
+    Means that agree in nine digits are ties, which go to the scheme of the smaller name: sums of the same numbers differ by their order.
+    """
     best = ranks.groupBy("scheme", "pro_i").agg(F.max("nn_dist").alias("best"))
     by = best.groupBy("scheme").agg(F.avg("best").alias("avg_dist"), F.min("best").alias("min_dist"))
-    return by.withColumn("place", F.row_number().over(Window.orderBy(F.col("avg_dist").desc(), "scheme")))
+    return by.withColumn("place", F.row_number().over(Window.orderBy(F.round("avg_dist", 9).desc(), "scheme")))
 
 
 def neighbour_metrics(ranks: DataFrame) -> DataFrame:
