@@ -7,7 +7,7 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from .shared import join_counted
+from .shared import join_counted, join_salted, written
 
 
 def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
@@ -157,18 +157,40 @@ def transitions(counts: DataFrame) -> DataFrame:
     return counts.join(totals, "pep_i").select("dyt_i", "pep_i", (F.col("n") / F.col("_total")).alias("p"))
 
 
+#: Members of all shared patterns up to which their lists are broadcast, and numbers that a task writes into lists of others.
+LISTED, WRITTEN = 2_000_000, 10_000_000
+
+
 def unlike_proteins(calls: DataFrame, flus: DataFrame) -> DataFrame:
     """(pro_i, others): other proteins that share a labelled pattern, as an ordered comma list. flus: (pro_i, flustr).
 
-    An equi-join on the pattern of called proteins with all, with patterns of one protein left out before.
+    A shared pattern's proteins are listed once. A called protein with one such pattern takes its list without
+    itself; only those with several are put together. So no pairs are made, and proteins are dealt over tasks
+    by what they write, however few patterns there are. What is written grows with the square of a pattern's proteins.
     """
     called = calls.select("pro_i").distinct()
-    distinct = flus.select("pro_i", "flustr").distinct()
-    shared = distinct.groupBy("flustr").agg(F.min("pro_i").alias("_a"), F.max("pro_i").alias("_b")).filter("_a < _b").select("flustr")
-    few = distinct.join(shared, "flustr")
-    pairs = few.join(called, "pro_i", "left_semi").join(few.withColumnRenamed("pro_i", "other"), "flustr").filter("pro_i <> other").select("pro_i", "other").distinct()
-    lists = pairs.groupBy("pro_i").agg(F.array_join(F.transform(F.array_sort(F.collect_list("other")), lambda x: x.cast("string")), ",").alias("others"))
-    return called.join(lists, "pro_i", "left").na.fill("", ["others"])
+    distinct = written(flus.select("pro_i", "flustr").filter("pro_i is not null and flustr is not null").distinct(), "patterns")
+    lists = distinct.groupBy("flustr").agg(F.array_sort(F.collect_list("pro_i")).alias("_all")).filter(F.size("_all") > 1)
+    lists = written(lists.select("flustr", F.size("_all").cast("long").alias("_n"), F.transform("_all", lambda x: x.cast("string")).alias("_all")), "shared-patterns")
+    sizes = lists.agg(F.sum("_n").alias("members"), F.sum(F.col("_n") * F.col("_n")).alias("pairs")).first()
+    of = join_salted(distinct.join(called, "pro_i", "left_semi"), lists.select("flustr", "_n"), ["flustr"], "inner")
+    of = written(called.join(of.groupBy("pro_i").agg(F.count("*").alias("_of"), F.first("flustr").alias("flustr")), "pro_i", "left"), "called")
+    tasks = min(10_000, 1 + (sizes["pairs"] or 0) // WRITTEN)
+
+    def with_lists(rows: DataFrame) -> DataFrame:
+        rows = rows.repartition(tasks, "pro_i")
+        if (sizes["members"] or 0) <= LISTED:
+            return rows.join(F.broadcast(lists), "flustr")
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64("pro_i"), F.lit(tasks)))
+        return salted.join(lists.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))), ["flustr", "_salt"])
+
+    own = F.col("pro_i").cast("string")
+    one = with_lists(of.filter("_of = 1")).select("pro_i", F.array_join(F.array_remove("_all", own), ",").alias("others"))
+    several = with_lists(of.filter("_of > 1").select("pro_i").join(distinct, "pro_i"))
+    merged = several.groupBy("pro_i").agg(F.array_distinct(F.flatten(F.collect_list("_all"))).alias("_all"))
+    kind = distinct.schema["pro_i"].dataType
+    merged = merged.select("pro_i", F.array_join(F.transform(F.array_sort(F.transform(F.array_remove("_all", own), lambda x: x.cast(kind))), lambda x: x.cast("string")), ",").alias("others"))
+    return of.filter("_of is null").select("pro_i", F.lit("").alias("others")).unionByName(one).unionByName(merged)
 
 
 def strings(rows: DataFrame, key: str = "pep_i", at: str = "at", aa: str = "aa") -> DataFrame:
