@@ -64,9 +64,10 @@ def sites_in_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sites are an S or T before an E or N, in whole texts."""
     marked = F.split(F.regexp_replace(F.col("seq"), "([ST])(?=[EN])", "$1|"), "[|]")
     ends = F.transform(marked, lambda x: F.char_length(x))
-    runs = proteins(spark, sf_dir).select("pro_i", F.posexplode(ends).alias("i", "n"), F.size(ends).alias("of"))
+    # The last run has no site behind it. Nothing but the key lies beside the exploded column: it would be worked out again for every row.
+    runs = proteins(spark, sf_dir).select("pro_i", ends.alias("ends")).select("pro_i", F.posexplode(F.slice("ends", 1, F.size("ends") - 1)).alias("i", "n"))
     order = Window.partitionBy("pro_i").orderBy("i")
-    sites = runs.withColumn("ptm", F.sum("n").over(order)).filter("i < of - 1").select("pro_i", "ptm")
+    sites = runs.withColumn("ptm", F.sum("n").over(order)).select("pro_i", "ptm")
     found = intervals.peptides_with_sites(placed(spark, sf_dir, "lysc").drop("pep"), sites)
     return found.select(F.col("pro_i").alias("doc_id"), "pep_in_pro", "ptm", "n_ptms")
 
