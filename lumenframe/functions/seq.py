@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ ENZYMES: dict[str, list[tuple[bool, str]]] = {
 }
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def without_comments(text: Column) -> Column:
     """Text outside of parentheses of any depth; unchanged if they have no partner, so that it is no legal sequence.
 
@@ -31,8 +38,8 @@ def without_comments(text: Column) -> Column:
     parts = F.split(text, r"(?<=[()])|(?=[()])")
     state = lambda depth, out: F.struct(depth.alias("depth"), out.alias("out"))
     step = lambda a, x: F.when(x == "(", state(a["depth"] + 1, a["out"])).when(x == ")", state(F.when(a["depth"] > 0, a["depth"] - 1).otherwise(F.lit(1_000_000)), a["out"])).when(a["depth"] == 0, state(a["depth"], F.concat(a["out"], x))).otherwise(a)
-    found = F.aggregate(parts, state(F.lit(0), F.lit("")), step)
-    return F.when(~text.contains("(") & ~text.contains(")"), text).when(found["depth"] == 0, found["out"]).otherwise(text)
+    found = once(F.aggregate(parts, state(F.lit(0), F.lit("")), step), lambda end: F.when(end["depth"] == 0, end["out"]).otherwise(text))
+    return F.when(~text.contains("(") & ~text.contains(")"), text).otherwise(found)
 
 
 def tokenize(text: Column) -> Column:
@@ -40,24 +47,29 @@ def tokenize(text: Column) -> Column:
 
     Null gives null. Other characters raise an error, as do brackets without a partner.
     """
+    return once(text, _tokens)
+
+
+def _tokens(text: Column) -> Column:
     wrong = F.raise_error(F.concat(F.lit("not a residue sequence: "), F.substring(text, 1, 80))).cast("array<string>")
     # Most sequences have no marks: their letters are their tokens.
-    plain = F.regexp_replace(text, r"\s+", "")
-    simple = F.when(plain.rlike(r"[^A-Za-z0-9.]"), wrong).when(plain == "", F.array().cast("array<string>")).otherwise(F.split(F.upper(plain), "(?!^)(?!$)"))
-    clean = F.regexp_replace(without_comments(text), r"\s+(?![^\[]*\])", "")
-    tokens = F.transform(F.regexp_extract_all(clean, F.lit(r"([A-Za-z0-9.](?:\[[^\[\]]*\])?)")), lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, F.lit(2), F.char_length(t))))
-    marked = F.when(F.regexp_replace(clean, r"[A-Za-z0-9.](?:\[[^\[\]]*\])?", "") == "", tokens).otherwise(wrong)
-    return F.when(text.isNull(), None).when(text.rlike(r"[\[\]()]"), marked).otherwise(simple)
+    simple = lambda plain: F.when(plain.rlike(r"[^A-Za-z0-9.]"), wrong).when(plain == "", F.array().cast("array<string>")).otherwise(F.split(F.upper(plain), "(?!^)(?!$)"))
+    upper = lambda t: F.when(F.char_length(t) == 1, F.upper(t)).otherwise(F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, F.lit(2), F.char_length(t))))
+    tokens = lambda clean: F.transform(F.regexp_extract_all(clean, F.lit(r"([A-Za-z0-9.](?:\[[^\[\]]*\])?)")), upper)
+    # A bracket belongs to the letter before it, the last one of its run.
+    marked = lambda clean: F.when(F.regexp_replace(clean, r"[A-Za-z0-9.]+(?:\[[^\[\]]*\])?", "") == "", tokens(clean)).otherwise(wrong)
+    bare = once(F.regexp_replace(text, r"\s+", ""), simple)
+    return F.when(text.isNull(), None).when(text.rlike(r"[\[\]()]"), once(F.regexp_replace(without_comments(text), r"\s+(?![^\[]*\])", ""), marked)).otherwise(bare)
 
 
 def letters(text: Column) -> Column:
     """The ASCII letters of any text as upper-case residues."""
-    return F.filter(F.split(F.upper(F.regexp_replace(text, "[^A-Za-z]", "")), ""), lambda c: c != "")
+    return F.filter(F.split(F.upper(F.regexp_replace(text, "[^A-Za-z]+", "")), ""), lambda c: c != "")
 
 
 def letter_text(text: Column) -> Column:
     """The same as one string, for sequences without modifications: far quicker to cut and count."""
-    return F.upper(F.regexp_replace(text, "[^A-Za-z]", ""))
+    return F.upper(F.regexp_replace(text, "[^A-Za-z]+", ""))
 
 
 def cut_pattern(*enzymes: str) -> str:

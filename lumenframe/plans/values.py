@@ -71,9 +71,9 @@ def nested_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("WITH s AS (SELECT doc_id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS s FROM documents) SELECT doc_id, length(s) AS n_residues, CASE WHEN s = '' THEN '' ELSE s[1] || '[p]' END AS first, md5(CASE WHEN s = '' THEN '' ELSE s[1] || '[p]' || s[2:] END) AS digest FROM s")
 def tokens_with_modifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with a modified first residue, a comment and white space between."""
-    text = seq.letter_text(F.coalesce("text", F.lit("")))
-    marked = F.when(text == "", F.lit(" ")).otherwise(F.concat(F.substring(text, 1, 1), F.lit("[p] (a (nested) note)\n"), F.substring(text, F.lit(2), F.char_length(text))))
-    rows = table(spark, sf_dir, "documents").select("doc_id", seq.tokenize(marked).alias("t"))
+    marked = lambda text: F.when(text == "", F.lit(" ")).otherwise(F.concat(F.substring(text, 1, 1), F.lit("[p] (a (nested) note)\n"), F.substring(text, F.lit(2), F.char_length(text))))
+    text = seq.once(seq.letter_text(F.coalesce("text", F.lit(""))), marked)
+    rows = table(spark, sf_dir, "documents").select("doc_id", seq.tokenize(text).alias("t"))
     return rows.select("doc_id", F.size("t").cast("long").alias("n_residues"), F.coalesce(F.get("t", F.lit(0)), F.lit("")).alias("first"), F.md5(seq.join_tokens(F.col("t"))).alias("digest"))
 
 
