@@ -11,8 +11,8 @@
    several texts of a half of all texts hold come last; linked sets share one of their first
    n - ceil(t n) + 1 elements, and passages that many texts hold make no list.
 3. Classes that meet in a list make clusters (connected components of the lists' stars). Each
-   cluster's texts are gathered once, in units of bounded total size: a large cluster is cut by band,
-   then into pairs of hashed parts.
+   cluster's texts are gathered once, in units of bounded total size: of a large cluster, whole stars go
+   to units; a star too large for a unit is compared within parts first, then across parts of different components.
 4. In a unit, `skip_join` keeps an index of the sets' rare prefixes, whose lists lie in blocks by
    position, and skips blocks whose positions and sizes leave too little overlap. A set's overlaps
    with all others are derived from those of a similar set that has been answered, by adding and
@@ -30,6 +30,7 @@ extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -55,6 +56,8 @@ UNIT = 1_000_000
 BLOCK = 8
 #: Keys of lists that a partition holds before it sends them on, and that a range of keys has on average.
 LISTED = 1_000_000
+#: Parts by first document in which a range's pairs are sent on.
+DEALT = 64
 
 
 def bands(percent: int, most: int = 1 << 40) -> list[int]:
@@ -241,21 +244,29 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return keys.view("<u8").ravel(), low + np.frombuffer(blob, "<u4" if near else "<i8", n, 9 + 6 * n).astype(np.int64)
 
 
-def _firsts(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each distinct key the least id; and the links of its other ids to that one, each once."""
+def _stars(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Of each distinct key, pairs of its least id and every other one; each pair once."""
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
     begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     first = np.repeat(ids[begins], np.diff(np.append(begins, len(keys))))
-    pairs = np.unique(np.stack([first, ids], axis=1)[first != ids], axis=0)
-    return keys[begins], ids[begins], pairs[:, 0], pairs[:, 1]
+    return np.unique(np.stack([first, ids], axis=1)[first != ids], axis=0)
+
+
+def _spread(pairs: np.ndarray, n: int) -> list[tuple[int, bytes]]:
+    """Pairs packed into up to n parts by a hash of their first column, with the part's number."""
+    part = (mix(pairs[:, 0].astype(U)) % U(n)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(n + 1)).tolist()
+    return [(k, pairs[order[x:y]].tobytes()) for k, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y]
 
 
 def _candidates(docs: DataFrame, total: int, words: int, percent: int, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """Links (a, b) of the documents of each list to the list's first one. total: shingles of all documents.
+    """Distinct pairs (a, b) of each list's least document and its others. total: shingles of all documents.
 
-    A partition links the documents of its own lists and sends on each list's first one only, so that a
-    list of very many documents is no large group; what it sends is packed by ranges of the key.
+    Of equal sets that a partition holds at once only the first sends its keys, so that a list of very many
+    copies is no large group; the others are paired with it. Keys are packed by their ranges. Near copies meet in
+    very many lists, so pairs leave a range packed by a hash of their first document, and become rows only where each is left once.
     """
     buckets = 1 << max(4, (total // LISTED).bit_length())
     shift = U(48 - buckets.bit_length() + 1)
@@ -263,30 +274,37 @@ def _candidates(docs: DataFrame, total: int, words: int, percent: int, common: t
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least, held, waiting = bands(percent), [], 0
+        first: dict[bytes, int] = {}
+        copies: list[tuple[int, int]] = []
 
         def out() -> pa.RecordBatch:
             keys, ids = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
+            pairs = np.array(copies, np.int64).reshape(-1, 2)
+            for x in (held, first, copies):
+                x.clear()
             # The upper six bytes of a key; its range comes first in their order.
-            keys, ids, a, b = _firsts(keys >> U(16), ids)
+            order = np.argsort(keys, kind="stable")
+            keys, ids = keys[order] >> U(16), ids[order]
             cuts = np.searchsorted(keys, np.arange(buckets + 1).astype(U) << shift)
             spans = [(k, x, y) for k, (x, y) in enumerate(zip(cuts.tolist(), cuts[1:].tolist(), strict=False)) if x < y]
             rows = [(k, _packed(keys[x:y], ids[x:y])) for k, x, y in spans]
-            # Links found here go to groups below zero, by a hash of their first document.
-            group = (mix(a.astype(U)) % U(buckets)).astype(np.int64)
-            order = np.argsort(group, kind="stable")
-            cuts = np.searchsorted(group[order], np.arange(buckets + 1))
-            rows += [(-1 - k, np.stack([a[order[x:y]], b[order[x:y]]]).tobytes()) for k, (x, y) in enumerate(zip(cuts.tolist(), cuts[1:].tolist(), strict=False)) if x < y]
+            # Copies found here go to groups below zero, by a hash of their first document.
+            rows += [(-1 - k, x) for k, x in _spread(pairs, buckets)]
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
             for begin, texts in chunks(batch.column("text").to_pylist()):
-                keys = [signatures(s, percent, least) if shared.value is None else rare_signatures(s, percent, least, shared.value) for s in shingle_sets(texts, words)]
-                ids = batch.column("doc_id").slice(begin, len(texts)).to_pylist()
-                sizes = [len(k) if i is not None else 0 for k, i in zip(keys, ids, strict=True)]
-                if sum(sizes):
-                    held.append((np.concatenate([k for k, n in zip(keys, sizes, strict=True) if n]), np.repeat(np.array([i or 0 for i in ids], np.int64), sizes)))
-                    waiting += sum(sizes)
+                for i, s in zip(batch.column("doc_id").slice(begin, len(texts)).to_pylist(), shingle_sets(texts, words), strict=True):
+                    if i is None or not len(s):
+                        continue
+                    known = first.setdefault(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), i)
+                    if known != i:
+                        copies.append((known, i))
+                        waiting += 1
+                        continue
+                    keys = signatures(s, percent, least) if shared.value is None else rare_signatures(s, percent, least, shared.value)
+                    held.append((keys, np.full(len(keys), i, np.int64)))
+                    waiting += len(keys)
                 if waiting > LISTED:
                     yield out()
                     waiting = 0
@@ -296,14 +314,18 @@ def _candidates(docs: DataFrame, total: int, words: int, percent: int, common: t
     def link(group: pa.Table) -> pa.Table:
         blobs = group.column("blob").to_pylist()
         if group.column("bucket")[0].as_py() < 0:
-            pairs = np.unique(np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1).T for x in blobs]), axis=0)
-            a, b = pairs[:, 0], pairs[:, 1]
+            pairs = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 2) for x in blobs])
         else:
-            _, _, a, b = _firsts(*(np.concatenate(x) for x in zip(*map(_unpacked, blobs), strict=True)))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            pairs = _stars(*(np.concatenate(x) for x in zip(*map(_unpacked, blobs), strict=True)))
+        rows = _spread(pairs, DEALT)
+        return pa.table({"dealt": pa.array([k for k, _ in rows], pa.int32()), "pairs": pa.array([x for _, x in rows], pa.binary())})
+
+    def each(group: pa.Table) -> pa.Table:
+        pairs = np.unique(np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 2) for x in group.column("pairs").to_pylist()]), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
     sent = docs.mapInArrow(send, "bucket int, blob binary")
-    return sent.groupBy("bucket").applyInArrow(link, "a long, b long").distinct()
+    return sent.groupBy("bucket").applyInArrow(link, "dealt int, pairs binary").groupBy("dealt").applyInArrow(each, "a long, b long")
 
 
 def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,20 +334,52 @@ def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bodies, pa.binary())], names=["doc_id", "body"])
 
 
-def _links(docs: DataFrame, clusters: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes of a cluster: spanning forests of its units."""
+def _links(docs: DataFrame, stars: DataFrame, clusters: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between classes of a cluster: spanning forests of its units. stars: the pairs (a, b) of a list's least class and its others.
+
+    Linked classes lie in one star, a class with all that it is the least of. A cluster of up to UNIT shingles is
+    a unit. Of larger ones, light stars are dealt to units by a hash, so a text is sent once a star at most.
+    A heavy star is first compared within parts, dealt twice in different ways, which connects what are near
+    copies of each other; then only pairs are left that don't both lie in its largest component.
+    """
     least = F.array(*(F.lit(x).cast("long") for x in bands(percent, 1 << 31)))
-    placed = clusters.join(sizes, clusters["node"] == sizes["doc_id"]).select("node", F.col("component").alias("cluster"), "n")
-    placed = materialize(placed.withColumn("band", F.size(F.filter(least, lambda e: e <= F.col("n")))), "clusters")
-    weight = placed.groupBy("cluster").agg(F.sum("n").alias("weight"))
-    large = weight.filter(F.col("weight") > UNIT).select("cluster")
-    # A large cluster's unit is a band with the next one, if need be in pairs of parts.
-    twice = placed.join(large, "cluster").withColumn("unit", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    parts = twice.groupBy("cluster", "unit").agg(F.ceil(F.sum("n") / UNIT).alias("parts"))
-    twice = twice.join(parts, ["cluster", "unit"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    split = twice.select("node", "cluster", "unit", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-    whole = placed.join(large, "cluster", "left_anti").select("node", "cluster", F.lit(-1).alias("unit"), F.lit(0).alias("i"), F.lit(0).alias("j"))
-    units = materialize(whole.unionByName(split), "units")
+    placed = materialize(clusters.join(sizes, clusters["node"] == sizes["doc_id"]).select("node", F.col("component").alias("cluster"), "n"), "clusters")
+    large = materialize(placed.groupBy("cluster").agg(F.sum("n").alias("weight")).filter(F.col("weight") > UNIT).select("cluster"), "large-clusters")
+    zero = F.lit(0).cast("long")
+    units = placed.join(large, "cluster", "left_anti").select("node", F.col("cluster").alias("center"), F.lit("cluster").alias("kind"), zero.alias("i"), zero.alias("j"))
+    if large.isEmpty():
+        return _compared(docs, materialize(units, "units"), words, percent)
+    inside = placed.join(large, "cluster").select("node", "n")
+    both = stars.join(inside.select(F.col("node").alias("a")), "a", "left_semi")
+    members = both.select(F.col("a").alias("center"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    members = materialize(members.join(inside, "node"), "members")
+    weights = materialize(members.groupBy("center").agg(F.sum("n").alias("weight")), "star-weights")
+    light = weights.filter(F.col("weight") <= UNIT)
+    dealt = max(1, -(-2 * (light.agg(F.sum("weight")).first()[0] or 0) // UNIT))
+    few = members.join(light.select("center"), "center", "left_semi").select("node", F.pmod(F.xxhash64("center"), F.lit(dealt)).alias("center"), F.lit("light").alias("kind"), zero.alias("i"), zero.alias("j")).distinct()
+    heavy = materialize(members.join(weights.filter(F.col("weight") > UNIT), "center"), "heavy")
+    ways = [heavy.select("node", "center", F.lit("heavy").alias("kind"), F.lit(w).cast("long").alias("i"), F.pmod(F.xxhash64("node", F.lit(w)), F.ceil(F.col("weight") / UNIT)).alias("j")) for w in (1, 2)]
+    found = materialize(_compared(docs, materialize(units.unionByName(few).unionByName(ways[0]).unionByName(ways[1]), "units"), words, percent), "unit-links")
+    if heavy.isEmpty():
+        return found
+    known = connected_components(found)
+    heavy = heavy.join(known, "node", "left").select("node", "center", "n", F.coalesce("component", "node").alias("component"))
+    heavy = materialize(heavy.withColumn("band", F.size(F.filter(least, lambda e: e <= F.col("n")))), "heavy-components")
+    most = heavy.groupBy("center", "component").agg(F.sum("n").alias("weight")).groupBy("center").agg(F.max_by("component", F.struct("weight", "component")).alias("most"))
+    # A unit is a band with the next one, in pairs of parts: those of the largest component come first, and only meet others.
+    twice = heavy.join(most, "center").withColumn("most", F.col("component") == F.col("most")).withColumn("unit", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    weight = lambda c: F.ceil(F.coalesce(F.sum(F.when(c, F.col("n"))), zero) / UNIT)
+    parts = twice.groupBy("center", "unit").agg(weight(F.col("most")).alias("firsts"), weight(~F.col("most")).alias("rest")).filter("rest > 0")
+    twice = twice.join(parts, ["center", "unit"])
+    part = F.when(F.col("most"), F.pmod(F.xxhash64("node"), F.col("firsts"))).otherwise(F.col("firsts") + F.pmod(F.xxhash64("node"), F.col("rest")))
+    others = F.sequence(F.when(F.col("most"), F.col("firsts")).otherwise(zero), F.col("firsts") + F.col("rest") - 1)
+    twice = twice.withColumn("part", part).withColumn("other", F.explode(others))
+    split = twice.select("node", "center", F.col("unit").cast("string").alias("kind"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    return found.unionByName(_compared(docs, materialize(split, "units"), words, percent))
+
+
+def _compared(docs: DataFrame, units: DataFrame, words: int, percent: int) -> DataFrame:
+    """Spanning forests (a, b) of the links in each unit; units: materialized rows (node, center, kind, i, j), of which the last four name the unit."""
     # Packed texts travel, as they take less room than sets of hashes.
     rows = join_small(docs.select("doc_id", "text").mapInArrow(_zipped, "doc_id long, body binary"), units.withColumnRenamed("node", "doc_id"), "doc_id", "inner")
 
@@ -337,7 +391,7 @@ def _links(docs: DataFrame, clusters: DataFrame, sizes: DataFrame, words: int, p
         forest = skip_join(ids[filled], [sets[k] for k in filled], percent) if filled else []
         return pa.table({"a": pa.array([a for a, _ in forest], pa.int64()), "b": pa.array([b for _, b in forest], pa.int64())})
 
-    return rows.select("cluster", "unit", "i", "j", "doc_id", "body").groupBy("cluster", "unit", "i", "j").applyInArrow(join, "a long, b long")
+    return rows.select("center", "kind", "i", "j", "doc_id", "body").groupBy("center", "kind", "i", "j").applyInArrow(join, "a long, b long")
 
 
 def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rare: bool = False) -> DataFrame:
@@ -354,11 +408,10 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rare
     # A list's documents stand for their classes; those with several texts for themselves.
     for end in ("a", "b"):
         met = join_small(met, copies.withColumnsRenamed({"doc_id": end, "class": f"of_{end}"}), end)
-    pair = [F.coalesce("of_a", "a"), F.coalesce("of_b", "b")]
-    stars = materialize(met.select(F.least(*pair).alias("a"), F.greatest(*pair).alias("b")).filter("a <> b").distinct(), "candidates")
+    stars = materialize(met.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).filter("a <> b").distinct(), "candidates")
     clusters = connected_components(stars)
     sizes = slim.filter("n > 0").groupBy("doc_id").agg(F.max("n").alias("n"))
-    links = materialize(_links(docs, clusters, sizes, words, percent), "links")
+    links = materialize(_links(docs, stars, clusters, sizes, words, percent), "links")
     reached = materialize(connected_components(links).withColumnRenamed("node", "class"), "reached")
     # Rows of several-row classes get their class's component, others their own.
     named = join_hot(slim, classes, ["d1", "d2"]).withColumn("class", F.when(F.col("n") > 0, F.coalesce("class", "doc_id")).otherwise(F.col("doc_id")))
