@@ -7,7 +7,7 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from .shared import join_counted, join_salted, written
+from .shared import is_few, join_counted, join_salted, written
 
 
 def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
@@ -226,7 +226,28 @@ def intersection(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.select(key, F.col("row_i").alias("left_i")).join(right.select(key, F.col("row_i").alias("right_i")), key)
 
 
+def with_flu_counts(flus: DataFrame) -> DataFrame:
+    """flus (flustr, ...), which should be cheap to read twice, with how many share their pattern; the rows of a common one are dealt over tasks."""
+    counts = written(flus.groupBy("flustr").agg(F.count("*").alias("flu_count")), "flu-counts")
+    return join_salted(flus, counts, ["flustr"], "inner")
+
+
 def with_flus(peps: DataFrame, flus: DataFrame) -> DataFrame:
     """Peptides with their labelled pattern, how many share it, and its dyes: flus (pep_i, flustr, n_dyes_max_any_ch)."""
-    counts = flus.groupBy("flustr").agg(F.count("*").alias("flu_count"))
-    return peps.join(flus.join(counts, "flustr"), "pep_i", "left")
+    return peps.join(with_flu_counts(flus), "pep_i", "left")
+
+
+def patterned(rows: DataFrame) -> DataFrame:
+    """rows (pro_i, pep_in_pro, pep_start, flustr, ...) with flu_count: with_flus() of peptides that hold their own pattern, which are read once.
+
+    Only proteins whose number repeats go through the join of every peptide with every pattern of its number; those without a number are counted and left out.
+    """
+    every = written(rows, "peptides")
+    rows, counted = (x.filter("pro_i is not null") for x in (every, with_flu_counts(every)))
+    again = rows.filter("pep_in_pro = 0").groupBy("pro_i").count().filter("count > 1").select("pro_i")
+    if is_few(again, 0):
+        return counted
+    again = written(again, "repeated")
+    peps = rows.join(again, "pro_i", "left_semi").select(F.struct("pro_i", "pep_in_pro").alias("pep_i"), "pep_start")
+    known = counted.join(again, "pro_i", "left_semi").withColumn("pep_i", F.struct("pro_i", "pep_in_pro")).drop("pep_start")
+    return counted.join(again, "pro_i", "left_anti").unionByName(peps.join(known, "pep_i").select(*counted.columns))
