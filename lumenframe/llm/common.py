@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 200_000
 #: Bytes up to which a side of unequal rows is broadcast, and tasks that share a hot key beyond it.
 BROADCAST_BYTES, SALTS = 32_000_000, 16
+#: Rows whose texts are Python objects in a worker at once.
+PART = 500
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -71,3 +75,10 @@ def join_by_host(left: DataFrame, right: DataFrame, size: Column) -> DataFrame:
 def n_words(text) -> "F.Column":
     """Number of words of a string column; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of the batches in order, at most PART at once: a worker keeps its largest size, so it should hold no whole batch as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART):
+            yield batch.slice(at, PART)

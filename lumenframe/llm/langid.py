@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import in_parts, materialize
 
 UNKNOWN = "und"
 PER_LANG, MAX_WORDS, MAX_GRAMS, MAX_N = 3000, 60_000, 20_000, 5
@@ -204,7 +204,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = shared.value.predict
-        for batch in batches:
+        for batch in in_parts(batches):
             found = [predict(t) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=[*keep, "lang_pred", "score"])
 
@@ -228,7 +228,7 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = shared.value.predict
-        for batch in batches:
+        for batch in in_parts(batches):
             found = map(predict, batch.column("text").to_pylist())
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import in_parts, materialize
 from .tokens import encoder
 
 #: Tokens in a window, and the id that ends a document.
@@ -164,7 +164,7 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
-        for batch in batches:
+        for batch in in_parts(batches):
             ids = [np.append(encode(text or ""), END_ID).astype("<u4").tobytes() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
@@ -176,7 +176,7 @@ def counted(tokens: DataFrame) -> tuple[np.ndarray, int, float] | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n, length = np.zeros(0, np.int64), 0, 0
-        for batch in batches:
+        for batch in in_parts(batches):
             docs = [np.frombuffer(ids, "<u4") for ids in batch.column("ids").to_pylist()]
             if docs:
                 more = np.bincount(np.concatenate([np.unique(d) for d in docs]))
@@ -217,7 +217,7 @@ def packed(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
         # Up to 2^32 windows a partition; a partition that is read again gives the same ones.
         first = TaskContext.get().partitionId() << 32
         ids, held, tokens = [], [], 0
-        for batch in batches:
+        for batch in in_parts(batches):
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                 ids.append(doc_id)
                 held.append(np.frombuffer(raw, "<u4"))

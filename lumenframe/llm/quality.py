@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_parts
+
 #: Hash buckets of features, documents in the training sample, texts' tokens remembered.
 BUCKETS, SAMPLE, CACHE = 1 << 16, 6000, 200_000
 THRESHOLD = 0.5
@@ -195,7 +197,7 @@ def train_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int =
 def _patterns(docs: DataFrame, fields: str, features: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(features)
-        for batch in batches:
+        for batch in in_parts(batches):
             found = []
             for text in batch.column("text").to_pylist():
                 measures, n, at, value = reader.read(text)
@@ -229,7 +231,7 @@ def scored(docs: DataFrame, labels: Labels, weights: np.ndarray, bias: float, ke
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, weights, bias = shared.value
         reader, known = Reader(), {}
-        for batch in batches:
+        for batch in in_parts(batches):
             weak, score = [], []
             for text in batch.column("_text").to_pylist():
                 measures, n, at, value = reader.read(text)
@@ -255,7 +257,7 @@ def accepted(docs: DataFrame, labels: Labels, weights: np.ndarray, bias: float)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
         reader = Reader()
-        for batch in batches:
+        for batch in in_parts(batches):
             keep = []
             for text in batch.column("text").to_pylist():
                 measures, _, at, value = reader.read(text)
