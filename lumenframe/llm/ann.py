@@ -2,9 +2,10 @@
 
 Equal vectors are one point that keeps its K + 1 smallest ids, enough for any answer. Points are dealt
 to shards of about SHARD by a hash. Each shard builds a hierarchical navigable small-world graph,
-stored as flat arrays of neighbours, one a level. Every query is searched in every shard; a shard's
-EF best points are ranked again in double precision, and shard results are merged by a window a
-query. Queries reach the shards in blocks, so no task holds all of them.
+stored as flat arrays of neighbours, one a level; walks of many queries go on together in array
+operations. Every query is searched in every shard; a shard's EF best points are ranked again in
+double precision, and shard results, which carry a query's number only, are merged by a window a
+query. Queries and graphs meet by a shuffle, in blocks, so no task or driver holds all of them.
 
 Cases: vectors that are null, zero or hold a null or non-finite component take no part, nor do rows
 with a null id; vectors of another length than a query's aren't its candidates; a query's own id is no
@@ -21,19 +22,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
 
 #: Neighbours returned; points in a shard and queries in a block on average.
-K, SHARD, BLOCK = 5, 12_000, 20_000
+K, SHARD, BLOCK = 5, 25_000, 20_000
+#: Tasks a group, so that few of them get two, and tasks at most.
+TASKS, MOST_TASKS = 6, 4_000
 #: Links of a point above the ground level (twice as many there), and points kept while building and searching.
-M, EF_BUILD, EF = 16, 64, 160
+M, EF_BUILD, EF = 16, 64, 280
+#: Points put in and queries walked at once, points that a walk leaves at once, and numbers in a table of likeness.
+STEP, WALKS, LEAVES, TABLE = 512, 128, 16, 2_000_000
 
 
 class Graph:
-    """A hierarchical navigable small-world graph over rows of unit vectors."""
+    """A hierarchical navigable small-world graph over rows of unit vectors.
+
+    Points are put in by steps no larger than the graph so far; those of a step may link to each other.
+    """
 
     def __init__(self, unit: np.ndarray, seed: int = 3):
         self.unit = unit
@@ -44,87 +52,134 @@ class Graph:
         #: Where a point's neighbours lie at each level, and the flat arrays, -1 where there are none.
         self.slot = [np.cumsum(self.level >= h) - 1 for h in range(int(self.level.max(initial=0)) + 1)]
         self.links = [np.full((int((self.level >= h).sum()), 2 * M if h == 0 else M), -1, np.int32) for h in range(len(self.slot))]
-        self.stamp, self.now = np.zeros(n, np.int64), 0
-        for i in range(1, n):
-            self._insert(i)
-
-    def _layer(self, q: np.ndarray, entries: list[tuple[float, int]], ef: int, h: int) -> list[tuple[float, int]]:
-        """The ef points of level h most like q that a greedy walk finds, as a heap."""
-        self.now += 1
-        for _, e in entries:
-            self.stamp[e] = self.now
-        open_ = [(-s, e) for s, e in entries]
-        heapq.heapify(open_)
-        best = list(entries)
-        heapq.heapify(best)
-        links, slot, unit, stamp = self.links[h], self.slot[h], self.unit, self.stamp
-        while open_:
-            s, c = heapq.heappop(open_)
-            if len(best) >= ef and -s < best[0][0]:
-                break
-            near = links[slot[c]]
-            near = near[near >= 0]
-            near = near[stamp[near] != self.now]
-            if not len(near):
-                continue
-            stamp[near] = self.now
-            for x, e in zip((unit[near] @ q).tolist(), near.tolist(), strict=True):
-                if len(best) < ef:
-                    heapq.heappush(best, (x, e))
-                    heapq.heappush(open_, (-x, e))
-                elif x > best[0][0]:
-                    heapq.heapreplace(best, (x, e))
-                    heapq.heappush(open_, (-x, e))
-        return best
-
-    def _choose(self, sims: np.ndarray, points: np.ndarray, most: int) -> np.ndarray:
-        """Neighbours in different directions: each nearer to the point than to those chosen before; then the nearest others."""
-        order = np.argsort(-sims, kind="stable")
-        sims, points = sims[order], points[order]
-        if len(points) <= most:
-            return points
-        between = self.unit[points] @ self.unit[points].T
-        chosen: list[int] = []
-        closest = np.full(len(points), -2.0, np.float32)
-        for i in range(len(points)):
-            if closest[i] < sims[i]:
-                chosen.append(i)
-                if len(chosen) == most:
+        at = 1
+        while at < n:
+            upto = min(n, at + min(at, STEP))
+            self._insert(np.arange(at, upto))
+            at = upto
+
+    def _layer(self, q: np.ndarray, start: np.ndarray, ef: int, h: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ef points of level h most like each row of q that greedy walks find, most like first, and their likeness; -1 beyond them."""
+        found, unit, links, slot, n = [], self.unit, self.links[h], self.slot[h], len(self.unit)
+        for low in range(0, len(q), WALKS):
+            part = q[low : low + WALKS]
+            ids, sims = np.full((len(part), ef), -1, np.int64), np.full((len(part), ef), -np.inf, np.float32)
+            ids[:, 0] = start[low : low + WALKS]
+            sims[:, 0] = np.einsum("ij,ij->i", unit[ids[:, 0]], part)
+            left = sims == -np.inf
+            mark = np.zeros(len(part) * n, np.int32)
+            mark[np.arange(len(part)) * n + ids[:, 0]] = 1
+            stamp, wide = 1, min(ef, LEAVES)
+            while True:
+                waiting = np.where(left, -np.inf, sims)
+                rows = np.flatnonzero(waiting.max(axis=1) > -np.inf)
+                if not len(rows):
                     break
-                np.maximum(closest, between[i], out=closest)
-        if len(chosen) < most:
-            chosen += [i for i in range(len(points)) if i not in set(chosen)][: most - len(chosen)]
-        return points[chosen]
-
-    def _insert(self, i: int) -> None:
-        q, top = self.unit[i], len(self.links) - 1
-        entries = [(float(self.unit[0] @ q), 0)]
-        for h in range(top, -1, -1):
-            if h > self.level[i]:
-                entries = [max(self._layer(q, entries, 1, h))]
+                pick = np.argpartition(waiting[rows], ef - wide, axis=1)[:, ef - wide :]
+                real = ~left[rows[:, None], pick]
+                left[rows[:, None], pick] = True
+                near = links[slot[ids[rows[:, None], pick]]]
+                at = np.nonzero((near >= 0) & real[:, :, None])
+                row, x = rows[at[0]], near[at].astype(np.int64)
+                # Each point once a row: the last that marks it is the one.
+                code = row * n + x
+                fresh = mark[code] == 0
+                row, x, code = row[fresh], x[fresh], code[fresh]
+                turn = np.arange(stamp + 1, stamp + 1 + len(x), dtype=np.int32)
+                mark[code] = turn
+                stamp += len(x)
+                once = mark[code] == turn
+                row, x = row[once], x[once]
+                s = np.einsum("ij,ij->i", unit[x], part[row])
+                better = s > sims.min(axis=1)[row]
+                row, x, s = row[better], x[better], s[better]
+                if not len(row):
+                    continue
+                rows, first, count = np.unique(row, return_index=True, return_counts=True)
+                place = np.repeat(np.arange(len(rows)), count), ef + np.arange(len(row)) - np.repeat(first, count)
+                width = ef + int(count.max())
+                both = [np.full((len(rows), width), fill, kind) for fill, kind in ((-1, np.int64), (-np.inf, np.float32), (True, bool))]
+                for table, old, more in zip(both, (ids, sims, left), (x, s, False), strict=True):
+                    table[:, :ef] = old[rows]
+                    table[place] = more
+                keep = np.argpartition(both[1], width - ef, axis=1)[:, width - ef :]
+                ids[rows], sims[rows], left[rows] = (np.take_along_axis(table, keep, axis=1) for table in both)
+            order = np.argsort(-sims, axis=1, kind="stable")
+            found.append((np.take_along_axis(ids, order, axis=1), np.take_along_axis(sims, order, axis=1)))
+        return np.concatenate([i for i, _ in found]), np.concatenate([s for _, s in found])
+
+    def _choose(self, points: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
+        """For each row neighbours in different directions: each nearer to the point than to those chosen before; then the nearest others; -1 beyond them."""
+        many = points.shape[1]
+        out = np.full((len(points), most), -1, np.int64)
+        step = max(1, TABLE // (many * many))
+        for low in range(0, len(points), step):
+            order = np.argsort(-sims[low : low + step], axis=1, kind="stable")
+            some, like = np.take_along_axis(points[low : low + step], order, axis=1), np.take_along_axis(sims[low : low + step], order, axis=1)
+            vectors = self.unit[some]
+            between = vectors @ vectors.transpose(0, 2, 1)
+            chosen, closest = np.zeros(some.shape, bool), np.full(some.shape, -2.0, np.float32)
+            count = np.zeros(len(some), np.int64)
+            for i in range(many):
+                new = (some[:, i] >= 0) & (closest[:, i] < like[:, i]) & (count < most)
+                chosen[:, i] = new
+                count += new
+                closest[new] = np.maximum(closest[new], between[new, i])
+            best = np.argsort(np.where(chosen, 0, np.where(some >= 0, 1, 2)), axis=1, kind="stable")[:, :most]
+            out[low : low + step, : best.shape[1]] = np.take_along_axis(some, best, axis=1)
+        return out
+
+    def _insert(self, new: np.ndarray) -> None:
+        q, start = self.unit[new], np.zeros(len(new), np.int64)
+        for h in range(len(self.links) - 1, -1, -1):
+            into = self.level[new] >= h
+            if not into.all():
+                start[~into] = self._layer(q[~into], start[~into], 1, h)[0][:, 0]
+            if not into.any():
                 continue
-            entries = self._layer(q, entries, EF_BUILD, h)
-            sims, points = np.array([s for s, _ in entries], np.float32), np.array([e for _, e in entries])
-            chosen = self._choose(sims, points, M)
-            links, slot = self.links[h], self.slot[h]
-            links[slot[i], : len(chosen)] = chosen
-            for e in chosen.tolist():
-                row = links[slot[e]]
-                held = int((row >= 0).sum())
-                if held < len(row):
-                    row[held] = i
-                else:
-                    all_ = np.append(row, i)
-                    kept = self._choose(self.unit[all_] @ self.unit[e], all_, len(row))
-                    row[: len(kept)] = kept
-
-    def search(self, q: np.ndarray, ef: int) -> list[int]:
-        if not len(self.unit):
-            return []
-        entries = [(float(self.unit[0] @ q), 0)]
+            points, sims = self._layer(q[into], start[into], EF_BUILD, h)
+            start[into] = points[:, 0]
+            own = new[into]
+            among = q[into] @ q[into].T
+            np.fill_diagonal(among, -np.inf)
+            few = np.argsort(-among, axis=1, kind="stable")[:, : min(2 * M, len(own) - 1)]
+            chosen = self._choose(np.concatenate([points, own[few]], axis=1), np.concatenate([sims, np.take_along_axis(among, few, axis=1)], axis=1), M)
+            self.links[h][self.slot[h][own], :M] = chosen
+            self._link_back(np.repeat(own, M), chosen.ravel(), h)
+
+    def _link_back(self, new: np.ndarray, points: np.ndarray, h: int) -> None:
+        """Gives points the new ones as neighbours; of more than there is room for, those that _choose takes stay."""
+        links, slot = self.links[h], self.slot[h]
+        new, points = new[points >= 0], points[points >= 0]
+        missing = ~(links[slot[points]] == new[:, None]).any(axis=1)
+        order = np.argsort(points[missing], kind="stable")
+        new, points = new[missing][order], points[missing][order]
+        targets, first, count = np.unique(points, return_index=True, return_counts=True)
+        # Targets with equally many new neighbours are widened alike.
+        size = np.ceil(np.log2(count)).astype(np.int64)
+        room = links.shape[1]
+        for k in np.unique(size).tolist():
+            some = np.flatnonzero(size == k)
+            more = np.full((len(some), 1 << k), -1, np.int64)
+            for j in range(1 << k):
+                has = count[some] > j
+                more[has, j] = new[first[some[has]] + j]
+            wide = np.concatenate([links[slot[targets[some]]], more], axis=1)
+            full = (wide >= 0).sum(axis=1) > room
+            packed = np.take_along_axis(wide[~full], np.argsort(wide[~full] < 0, axis=1, kind="stable"), axis=1)
+            links[slot[targets[some[~full]]]] = packed[:, :room]
+            at, rest = targets[some[full]], wide[full]
+            for low in range(0, len(at), STEP):
+                points_, own = rest[low : low + STEP], self.unit[at[low : low + STEP]]
+                sims = np.where(points_ >= 0, (self.unit[points_] @ own[:, :, None])[:, :, 0], -np.inf)
+                links[slot[at[low : low + STEP]]] = self._choose(points_, sims, room)
+
+    def search(self, q: np.ndarray, ef: int) -> np.ndarray:
+        """The points that walks for each row of q find, most like first; -1 beyond them."""
+        start = np.zeros(len(q), np.int64)
         for h in range(len(self.links) - 1, 0, -1):
-            entries = [max(self._layer(q, entries, 1, h))]
-        return [e for _, e in self._layer(q, entries, ef, 0)]
+            start = self._layer(q, start, 1, h)[0][:, 0]
+        return self._layer(q, start, min(ef, len(self.unit)), 0)[0]
 
 
 def _saved(graph: Graph, **more: np.ndarray) -> bytes:
@@ -136,12 +191,11 @@ def _saved(graph: Graph, **more: np.ndarray) -> bytes:
 def _loaded(blob: bytes) -> tuple[Graph, dict[str, np.ndarray]]:
     data = dict(np.load(io.BytesIO(blob)))
     graph = Graph.__new__(Graph)
-    vectors = data["vectors"]
+    vectors = data["vectors"] = data["vectors"].astype(np.float64)
     graph.unit = _unit(vectors)
     graph.level = data["level"]
     graph.links = [data[f"links{h}"] for h in range(int(graph.level.max()) + 1)]
     graph.slot = [np.cumsum(graph.level >= h) - 1 for h in range(len(graph.links))]
-    graph.stamp, graph.now = np.zeros(len(vectors), np.int64), 0
     return graph, data
 
 
@@ -154,6 +208,12 @@ def _unit(scaled: np.ndarray) -> np.ndarray:
     return (scaled / np.linalg.norm(scaled, axis=-1, keepdims=True)).astype(np.float32)
 
 
+def _narrow(scaled: np.ndarray) -> np.ndarray:
+    """The same numbers in half the bytes, where nothing is lost."""
+    half = scaled.astype(np.float32)
+    return half if (half == scaled).all() else scaled
+
+
 def points(vectors: DataFrame, k: int) -> DataFrame:
     """(embedding, ids): each distinct vector that takes part, with its k + 1 smallest ids."""
     wide = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).filter("vec_id is not null and embedding is not null and size(embedding) > 0")
@@ -174,45 +234,57 @@ def points(vectors: DataFrame, k: int) -> DataFrame:
 def nearest(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row of vectors that the condition chooses."""
     known = materialize(points(vectors, k), "points")
-    asked = materialize(points(vectors.filter(queries).select("vec_id", "embedding"), 0).select("vector").distinct(), "queries")
+    # Written, so that a query's number stays; results carry it in place of the vector.
+    asked = materialize(points(vectors.filter(queries).select("vec_id", "embedding"), 0).select("vector").distinct().withColumn("number", F.monotonically_increasing_id()), "queries")
     shards, blocks = max(1, -(-known.count() // SHARD)), max(1, -(-asked.count() // BLOCK))
     dealt = known.withColumn("size", F.length("vector")).withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)))
 
     def build(group: pa.Table) -> pa.Table:
         vectors = _scaled(np.stack([np.frombuffer(x) for x in group.column("vector").to_pylist()]))
         ids = group.column("ids").combine_chunks()
-        blob = _saved(Graph(_unit(vectors)), vectors=vectors, ids=ids.flatten().to_numpy(), at=np.asarray(ids.offsets) - ids.offsets[0].as_py())
+        blob = _saved(Graph(_unit(vectors)), vectors=_narrow(vectors), ids=ids.flatten().to_numpy(), at=np.asarray(ids.offsets) - ids.offsets[0].as_py())
         return pa.table({"size": group.column("size")[:1], "shard": group.column("shard")[:1], "index": pa.array([blob], pa.binary())})
 
-    indexes = materialize(dealt.groupBy("size", "shard").applyInArrow(build, "size int, shard long, index binary"), "graphs")
-
-    def block(group: pa.Table) -> pa.Table:
-        return pa.table({"size": group.column("size")[:1], "block": group.column("block")[:1], "asked": pa.array([b"".join(group.column("vector").to_pylist())], pa.binary())})
-
-    packed = asked.withColumn("size", F.length("vector")).withColumn("block", F.pmod(F.xxhash64("vector", F.lit(1)), F.lit(blocks))).groupBy("size", "block").applyInArrow(block, "size int, block long, asked binary")
-    pairs = packed.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))).join(indexes, ["size", "shard"])
-
-    def search(group: pa.Table) -> pa.Table:
-        graph, data = _loaded(group.column("index")[0].as_py())
-        asked = np.frombuffer(group.column("asked")[0].as_py()).reshape(-1, group.column("size")[0].as_py() // 8)
-        vectors, ids, at = data["vectors"], data["ids"], data["at"]
-        norms = np.linalg.norm(vectors, axis=1)
-        out: list[list] = [[], [], []]
-        for q, scaled in zip(asked, _scaled(asked), strict=True):
-            found = np.array(graph.search(_unit(scaled), EF))
-            score = np.clip((vectors[found] * scaled).sum(axis=1) / (norms[found] * np.linalg.norm(scaled)), -1, 1)
-            best = heapq.nsmallest(k + 1, ((-float(s), i) for s, f in zip(score, found, strict=True) for i in ids[at[f] : at[f + 1]].tolist()))
-            out[0] += [q.tobytes()] * len(best)
-            out[1] += [i for _, i in best]
-            out[2] += [-s for s, _ in best]
-        return pa.table({"vector": pa.array(out[0], pa.binary()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
-
-    found = pairs.groupBy("size", "shard", "block").applyInArrow(search, "vector binary, vec_id long, score double")
-    order = Window.partitionBy("vector").orderBy(F.col("score").desc(), "vec_id")
+    def tasks(groups: int) -> int:
+        """A group is long work over few bytes: a number by bytes would put many in one task."""
+        return min(TASKS * groups, MOST_TASKS)
+
+    indexes = materialize(dealt.repartition(tasks(shards), "size", "shard").groupBy("size", "shard").applyInArrow(build, "size int, shard long, index binary"), "graphs")
+
+    def each(column: str, many: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(many - 1).cast("long"))).alias(column)
+
+    keys = ["size", "shard", "block"]
+    graphs = indexes.select("*", each("block", blocks)).repartition(tasks(shards * blocks), *keys)
+    walks = asked.select(F.length("vector").alias("size"), F.pmod(F.xxhash64("vector", F.lit(1)), F.lit(blocks)).alias("block"), "number", "vector").select("*", each("shard", shards)).repartition(tasks(shards * blocks), *keys)
+
+    def search(graphs: pa.Table, walks: pa.Table) -> pa.Table:
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+        if graphs.num_rows and walks.num_rows:
+            graph, data = _loaded(graphs.column("index")[0].as_py())
+            numbers = walks.column("number").to_numpy()
+            vectors, ids, at = data["vectors"], data["ids"], data["at"]
+            norms = np.linalg.norm(vectors, axis=1)
+            for low in range(0, len(numbers), WALKS):
+                scaled = _scaled(np.stack([np.frombuffer(x) for x in walks.column("vector").slice(low, WALKS).to_pylist()]))
+                for number, q, found in zip(numbers[low : low + WALKS].tolist(), scaled, graph.search(_unit(scaled), EF), strict=True):
+                    found = found[found >= 0]
+                    score = np.clip((vectors[found] * q).sum(axis=1) / (norms[found] * np.linalg.norm(q)), -1, 1)
+                    # Each point has an id, so no other can come before these.
+                    near = score >= np.partition(score, max(0, len(score) - k - 1))[max(0, len(score) - k - 1)]
+                    best = heapq.nsmallest(k + 1, ((-s, i) for s, f in zip(score[near].tolist(), found[near].tolist(), strict=True) for i in ids[at[f] : at[f + 1]].tolist()))
+                    out[0].append(np.full(len(best), number))
+                    out[1].append(np.array([i for _, i in best], np.int64))
+                    out[2].append(np.array([-s for s, _ in best]))
+        return pa.table({name: np.concatenate(x) for name, x in zip(("number", "vec_id", "score"), out, strict=True)})
+
+    # Queries meet graphs by a shuffle alone: a join whose one side is taken for small would send a copy a shard through the driver.
+    found = graphs.groupBy(*keys).cogroup(walks.groupBy(*keys)).applyInArrow(search, "number long, vec_id long, score double")
+    order = Window.partitionBy("number").orderBy(F.col("score").desc(), "vec_id")
     best = found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1).drop("place")
     # Each query has its vector's answers but for itself; queries with equal vectors share one search.
-    answers = materialize(best.groupBy("vector").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("order"), "vec_id", "score"))).alias("found")), "answers")
-    rows = _asking(vectors.filter(queries)).join(answers, "vector")
+    answers = materialize(best.groupBy("number").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("order"), "vec_id", "score"))).alias("found")), "answers")
+    rows = _asking(vectors.filter(queries)).join(asked, "vector").select("query_id", "number").join(answers, "number")
     others = F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     return rows.select("query_id", F.posexplode(others).alias("place", "hit")).select("query_id", (F.col("place") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
 
