@@ -47,9 +47,12 @@ def join_counted(left: DataFrame, right: DataFrame, on, how: str = "left", most:
 
 
 def join_salted(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", most: int = FEW) -> DataFrame:
-    """As join_counted for keys of which the left side may hold very many rows: by a shuffle, they are dealt over SALTS tasks."""
+    """As join_counted for keys of which the left side may hold very many rows: by a shuffle, they are dealt over SALTS tasks.
+
+    Spark takes the copies for as small as one of them, and would broadcast them.
+    """
     if is_few(right, most):
         return left.join(F.broadcast(right), on, how)
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
