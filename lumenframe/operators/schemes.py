@@ -119,18 +119,33 @@ def surveyed(proteins: DataFrame, enzymes: DataFrame, labels: DataFrame, n_cycle
     return found.select("scheme", "pro_i", "pro_len", "pep_in_pro", "pep_len", "flustr", "n_dyes", "flu_count", "nn_dist")
 
 
-def ranked_schemes(survey: DataFrame, n_targets: int, n_best: int = 1) -> DataFrame:
+def lengths(proteins: DataFrame, enzymes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(scheme, residues): letters of the proteins that a scheme digests; a protein of several of its panels counts once, with its longest text.
+
+    Schemes of the same panels share one pass over their proteins.
+    """
+    of = enzymes.join(labels, "panel").groupBy(F.concat_ws("-", "protease", "labels").alias("scheme")).agg(F.array_sort(F.collect_set("panel")).alias("panels"))
+    of = written(of, "scheme-panels")
+    panels = written(of.select("panels").distinct().select("panels", F.explode("panels").alias("panel")), "panels")
+    texts = join_counted(proteins.select("panel", "pro_i", F.char_length("seq").alias("n")).filter("n > 0"), panels, "panel", "inner")
+    sums = texts.groupBy("panels", "pro_i").agg(F.max("n").alias("n")).groupBy("panels").agg(F.sum("n").alias("residues"))
+    return of.join(sums, "panels").select("scheme", "residues")
+
+
+def ranked_schemes(survey: DataFrame, n_targets: int, n_best: int = 1, residues: DataFrame | None = None) -> DataFrame:
     """(scheme, n_found, n_unique, coverage, avg_dist, min_dist, place): schemes by the isolation of their proteins' best peptides with a pattern of their own.
 
     n_best: peptides of a protein that count. A target protein without such a peptide is as near to
-    others as can be: it counts as 0 in the mean, and makes the least distance 0.
+    others as can be: it counts as 0 in the mean, and makes the least distance 0. residues: lengths() of the
+    same proteins and rules; without them they are taken from the survey, by all its rows.
     """
     unique = survey.filter("flu_count = 1 and nn_dist is not null")
     order = Window.partitionBy("scheme", "pro_i").orderBy(F.col("nn_dist").desc(), "pep_in_pro")
     first = unique.withColumn("_rank", F.row_number().over(order))
     best = first.groupBy("scheme", "pro_i").agg(F.count("*").alias("n_unique"), F.sum("pep_len").alias("held"), F.avg(F.when(F.col("_rank") <= n_best, F.col("nn_dist"))).alias("mean"), F.min(F.when(F.col("_rank") <= n_best, F.col("nn_dist"))).alias("least"))
     sums = best.groupBy("scheme").agg(F.count("*").alias("n_found"), F.sum("n_unique").alias("n_unique"), F.sum("held").alias("held"), F.sum("mean").alias("sum"), F.min("least").alias("least"))
-    lengths = survey.groupBy("scheme", "pro_i").agg(F.max("pro_len").alias("n")).groupBy("scheme").agg(F.sum("n").alias("residues"))
-    every = lengths.join(sums, "scheme", "left").na.fill(0, ["n_found", "n_unique", "held"]).na.fill(0.0, ["sum"])
+    if residues is None:
+        residues = survey.groupBy("scheme", "pro_i").agg(F.max("pro_len").alias("n")).groupBy("scheme").agg(F.sum("n").alias("residues"))
+    every = residues.join(sums, "scheme", "left").na.fill(0, ["n_found", "n_unique", "held"]).na.fill(0.0, ["sum"])
     scored = every.select("scheme", "n_found", "n_unique", (F.col("held") / F.col("residues")).alias("coverage"), (F.col("sum") / n_targets).alias("avg_dist"), F.when(F.col("n_found") == n_targets, F.col("least")).otherwise(0.0).alias("min_dist"))
     return scored.withColumn("place", F.row_number().over(Window.orderBy(F.round("avg_dist", 9).desc(), "scheme")))  # one row a scheme

@@ -31,18 +31,17 @@ near AS (SELECT x.scheme, x.flustr, min(list_sum(list_transform(range(1, 19), la
 survey AS (SELECT l.scheme, pro_i, pro_len, pep_in_pro, pep_len, n_dyes, l.flustr, flu_count, nn_dist FROM labelled l JOIN patterns p ON p.scheme = l.scheme AND p.flustr = l.flustr LEFT JOIN near n ON n.scheme = l.scheme AND n.flustr = l.flustr)"""
 
 
-def surveyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as proteins: their names' letters, and digits of a number as residues."""
+def panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Parts as proteins: their names' letters, and digits of a number as residues; with the rules of all schemes."""
     digits = F.translate((F.col("p_partkey") * 7919 % 1000003).cast("string"), DIGITS, RESIDUES)
     pros = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pro_i"), F.lit("all").alias("panel"), F.concat(F.regexp_replace(F.upper("p_name"), "[^A-Z]", ""), digits).alias("seq"))
-    enzymes, labels = schemes.rules(spark, {"all": (ENZYMES, LABELS, 2)})
-    return schemes.surveyed(pros, enzymes, labels, CYCLES)
+    return pros, *schemes.rules(spark, {"all": (ENZYMES, LABELS, 2)})
 
 
 @query(f"WITH {SCHEMES} SELECT scheme, pro_i, pep_in_pro, pep_len, n_dyes, flustr, flu_count, nn_dist FROM survey")
 def scheme_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every peptide of every scheme, with how isolated its pattern is in the scheme."""
-    return surveyed(spark, sf_dir).select("scheme", "pro_i", "pep_in_pro", "pep_len", "n_dyes", "flustr", "flu_count", "nn_dist")
+    return schemes.surveyed(*panel(spark, sf_dir), CYCLES).select("scheme", "pro_i", "pep_in_pro", "pep_len", "n_dyes", "flustr", "flu_count", "nn_dist")
 
 
 @query(f"""WITH {SCHEMES}, ranked AS (SELECT *, row_number() OVER (PARTITION BY scheme, pro_i ORDER BY nn_dist DESC, pep_in_pro) AS r FROM survey WHERE flu_count = 1 AND nn_dist IS NOT NULL),
@@ -53,7 +52,8 @@ scored AS (SELECT l.scheme, coalesce(n_found, 0) AS n_found, CAST(coalesce(n_uni
 SELECT scheme, n_found, n_unique, round(coverage, 9) AS coverage, round(avg_dist, 9) AS avg_dist, min_dist, row_number() OVER (ORDER BY round(avg_dist, 9) DESC, scheme) AS place FROM scored""")
 def schemes_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schemes by the isolation of each protein's two best peptides; lost proteins count as 0."""
-    ranks = schemes.ranked_schemes(surveyed(spark, sf_dir), table(spark, sf_dir, "part").count(), 2)
+    rules = panel(spark, sf_dir)
+    ranks = schemes.ranked_schemes(schemes.surveyed(*rules, CYCLES), table(spark, sf_dir, "part").count(), 2, schemes.lengths(*rules))
     return ranks.withColumns({"coverage": F.round("coverage", 9), "avg_dist": F.round("avg_dist", 9)})
 
 
